@@ -265,9 +265,17 @@ def normalizer(rules: dict[str, str]) -> Normalizer:
     return _compiled(tuple(rules.items()))
 
 
+_ANY_MARK = re.compile(f"[{MARK}]")
+_RUN = re.compile(r"[^\W_]+")
+
+
 def plain_words(form: str | None) -> list[str]:
-    """Words of a consistent form: runs of letters and digits; marks and joiners inside a word belong to it."""
-    return [re.sub(f"[{MARK}]", "", w) for w in WORD.findall(form or "")]
+    """Words of a consistent form: runs of letters and digits; marks and joiners inside a word belong to it and are left out."""
+    if not form:
+        return []
+    if not _ANY_MARK.search(form):
+        return _RUN.findall(form)
+    return [_ANY_MARK.sub("", w) for w in WORD.findall(form)]
 
 
 def character_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
