@@ -188,7 +188,7 @@ QUERIES: dict[str, tuple] = {
     "classified": (
         classified,
         f"""WITH {_SCORES}, rs AS (SELECT *, row_number() OVER w AS r, lead(score) OVER w AS nx FROM sc WINDOW w AS (PARTITION BY id ORDER BY score DESC, category)), b AS (SELECT * FROM rs WHERE r = 1)
-          SELECT c.id, coalesce(b.category, 'other') AS category, coalesce(b.score, 0) AS score, coalesce(round(greatest(least((b.score - coalesce(b.nx, 0) + least(b.score, 10)) / 20.0, 0.99), 0.05), 3), 0.0)::DOUBLE AS confidence FROM crawler_results c LEFT JOIN b USING (id)""",
+          SELECT c.id, coalesce(b.category, 'other') AS category, coalesce(b.score, 0) AS score, CASE WHEN b.score IS NULL THEN 0.0 ELSE round(greatest(least((b.score - coalesce(b.nx, 0) + least(b.score, 10)) / 20.0, 0.99), 0.05), 3) END::DOUBLE AS confidence FROM crawler_results c LEFT JOIN b USING (id)""",
     ),
     "light_extract": (light_extract, _LIGHT),
     "ingest_rows": (ingest_rows, f"WITH {_INGEST} SELECT id, url, title, search_text, url <> '' AND search_text <> '' AS valid FROM rr"),
