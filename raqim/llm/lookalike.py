@@ -5,8 +5,8 @@ equivalent to the two letters it shows), chooses each class's representative by
 rewriting rules.  ``Normalizer`` applies them greedily, leftmost-longest, with a multi-pattern (Aho-Corasick) automaton;
 letters that only look foreign inside a word are decided by the word and by the language of the record.
 
-Edge cases: a null or empty value has no marks and its form is itself; ties of frequency go to the compatibility
-mapping of the Unicode standard, then to the smaller code point; texts of any length are processed whole.
+Edge cases: a null or empty value has no marks and its form is itself; of equally frequent plain members the shorter,
+then the one with the smaller code point represents the class; texts of any length are processed whole.
 """
 
 from __future__ import annotations
@@ -49,7 +49,9 @@ _RANGES = ((0x300, 0x3FF), (0x400, 0x52F), (0x653, 0x655), 0x6A9, 0x6AA, 0x6BE,
 SUSPECT = re.compile("[" + re.escape(INVISIBLE + SPACES) + "".join(re.escape(chr(r)) if isinstance(r, int) else f"{chr(r[0])}-{chr(r[1])}" for r in _RANGES) + "]")
 MARK = f"{chr(0x300)}-{chr(0x36F)}{chr(0x64B)}-{chr(0x65F)}{chr(0x670)}{ZWNJ}{ZWJ}"
 WORD = re.compile(rf"[^\W_]+(?:[{MARK}]+[^\W_]*)*")
-FOREIGN = re.compile(f"[{chr(0x370)}-{chr(0x3FF)}{chr(0x400)}-{chr(0x52F)}{''.join(a for a, _ in ARABIC_LOOKALIKES)}{chr(0x643)}{chr(0x64A)}]")
+_OTHER = f"{chr(0x370)}-{chr(0x3FF)}{chr(0x400)}-{chr(0x52F)}"
+#: What a word of the language must not hold, and what makes other words worth a look.
+FOREIGN = {"fa": re.compile(f"[{_OTHER}{chr(0x643)}{chr(0x64A)}]"), "ar": re.compile(f"[{_OTHER}{''.join(a for a, _ in ARABIC_LOOKALIKES)}]"), "": re.compile(f"[{_OTHER}]")}
 FA_WORDS = {"در", "را", "به", "از", "که", "این", "با", "های", "می", "است", "برای", "یک", "شد", "ها", "هم", "گفت"}
 AR_WORDS = {"في", "من", "على", "إلى", "عن", "قد", "كما", "هذا", "ما", "لا", "أن", "خلال", "بعد", "قبل", "منذ", "كل", "عند", "حتى", "كيف", "لماذا"}
 
@@ -110,7 +112,7 @@ def _edges() -> tuple[tuple[str, str], ...]:
 
 def form_table(counts: dict[str, int] | None = None) -> dict[str, str]:
     """Rewriting rules {string: representative} of the context-free classes.  ``counts``: how often each character occurs
-    in the corpus; its size is bounded by the number of code points."""
+    in the corpus; its size is bounded by the number of code points.  A form is never the representative, however frequent."""
     counts = counts or {}
     sets, plain = UnionFind(), {}
     for a, b in _edges():
@@ -122,7 +124,7 @@ def form_table(counts: dict[str, int] | None = None) -> dict[str, str]:
     rules = {}
     for group in members.values():
         targets = {plain[x] for x in group if x in plain}
-        best = max(group, key=lambda x: (min((counts.get(c, 0) for c in x), default=0), x in targets, -len(x), x < "Ā"))
+        best = max(group, key=lambda x: (x in targets, min((counts.get(c, 0) for c in x), default=0), -len(x), [-ord(c) for c in x]))
         for x in group:
             if x != best:
                 rules[x] = best
@@ -130,7 +132,7 @@ def form_table(counts: dict[str, int] | None = None) -> dict[str, str]:
         rules[c] = ""
     for c in SPACES:
         rules[c] = " "
-    return {k: v for k, v in rules.items() if k != VS16}
+    return {k: "".join(rules.get(c, c) for c in v) for k, v in rules.items() if k != VS16}
 
 
 def language(text: str) -> str:
@@ -208,7 +210,7 @@ class Normalizer:
         return lang == "fa" and text[start] == ZWNJ and _script(a) == "A" and _script(b) == "A"
 
     def _words(self, s: str, lang: str, marks: set[str]) -> str:
-        if not FOREIGN.search(s):
+        if not FOREIGN[lang].search(s):
             return s
         words = [m for m in WORD.finditer(s)]
         own = {"C": False, "G": False}  # does the value hold genuine words of the script?
@@ -242,12 +244,12 @@ class Normalizer:
                 elif len(k) == 1 and latin and not own[next(iter(k))] and all(c in self.to_latin for c in w if c.isalpha()):
                     new = "".join(self.to_latin.get(c, c) for c in w)
                     marks.add("foreign")
-            elif "A" in k:
+            if "A" in k:
                 table = self.to_persian if lang == "fa" else self.to_arabic if lang == "ar" else {}
                 if lang == "ar" and any(c in "گپچژ" for c in w):
                     table = {}
                 if table and any(c in table for c in w):
-                    new = "".join(table.get(c, c) for c in w)
+                    new = "".join(table.get(c, c) for c in new)
                     marks.add("foreign")
             if new is not w:
                 out.append(s[last : m.start()] + new)

@@ -134,7 +134,7 @@ def _keys(values: np.ndarray, group: int, errors: int) -> Iterator[np.ndarray]:
         yield k
 
 
-KEYS = "key long, id long, fold long, size short, scheme byte, grp byte"
+KEYS = "key long, id long, fold long, size int, scheme byte, grp short"
 
 
 def _first_keys(threshold: float):
@@ -152,7 +152,7 @@ def _first_keys(threshold: float):
                 values = _chunk_values(pdf["words"][part], g)[1]
                 for group in range(g):
                     for k in _keys(values, group, 1):
-                        yield pd.DataFrame({"key": k.view(np.int64), "id": ids[part], "fold": fold[part].view(np.int64), "size": sizes[part].astype(np.int16), "scheme": np.int8(scheme), "grp": np.int8(group)})
+                        yield pd.DataFrame({"key": k.view(np.int64), "id": ids[part], "fold": fold[part].view(np.int64), "size": sizes[part].astype(np.int32), "scheme": np.int8(scheme), "grp": np.int16(group)})
 
     return run
 
@@ -171,7 +171,7 @@ def _second_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         yield pd.DataFrame({"key": _mixed(first ^ (k << np.uint64(1)), 5).view(np.int64), "id": part["id"], "fold": part["fold"], "size": part["size"], "scheme": part["scheme"], "grp": part["grp"]})
 
 
-FOUND = "a long, b long, key long, id long, fold long, size short, scheme byte, grp byte"
+FOUND = "a long, b long, key long, id long, fold long, size int, scheme byte, grp short"
 
 
 def _compare(ids: np.ndarray, fold: np.ndarray, size: np.ndarray, threshold: float, blocks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -216,7 +216,7 @@ def _small(starts: np.ndarray, ends: np.ndarray, ids: np.ndarray, fold: np.ndarr
 
 def _pairs_frame(a: np.ndarray, b: np.ndarray, hot: pd.DataFrame | None = None) -> pd.DataFrame:
     out = pd.DataFrame({"a": pd.Series(a, dtype="Int64"), "b": pd.Series(b, dtype="Int64")})
-    for c, kind in (("key", "Int64"), ("id", "Int64"), ("fold", "Int64"), ("size", "Int16"), ("scheme", "Int8"), ("grp", "Int8")):
+    for c, kind in (("key", "Int64"), ("id", "Int64"), ("fold", "Int64"), ("size", "Int32"), ("scheme", "Int8"), ("grp", "Int16")):
         out[c] = pd.Series([None] * len(out), dtype=kind)
     if hot is None or not len(hot):
         return out
