@@ -5,7 +5,7 @@ UTF-8 bytes, UTF-16 units, HTML-escaped, JSON-escaped, line breaks as CR LF, and
 encoding; lengths at which values without an end stop pile up are the limits (``limits``).
 
 Endings are then inspected.  A cut mark or note, a broken character, entity, tag or escape decides at once.  A value that
-ends without a stop is compared with the corpus: its last sentence is reduced to a template of its language's most
+ends without a stop is compared with the corpus: its last sentence is reduced to a template of its script's most
 frequent words, and the templates of *all* sentences say whether text that begins like this usually goes on (cut) or ends
 here (a headline, a notice).  A last word that is nowhere a whole word is a cut word.  Where neither tells, a limit does.
 
@@ -22,6 +22,7 @@ from collections import Counter
 from collections.abc import Iterator
 from html.entities import html5
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
@@ -29,7 +30,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from raqim.llm.hosts import site
-from raqim.llm.lookalike import INVISIBLE, SPACES, SUSPECT, character_counts, form_table, language, normalizer
+from raqim.llm.lookalike import INVISIBLE, SPACES, SUSPECT, form_table, normalizer
 from raqim.llm.residue import MARKS, NAME, WHOLE, _contexts, is_empty_value, is_filler
 from raqim.llm.site_lines import line_key
 from raqim.llm.stuffing import SEPARATOR, features, is_stuffed, tongue, units
@@ -51,7 +52,7 @@ _ENTITY_STARTS = frozenset(n.rstrip(";")[:i] for n in ("amp", "lt", "gt", "quot"
 EDGE = INVISIBLE + SPACES + " \r\n"
 TRAIL = re.compile("[" + re.escape(EDGE) + "☀-➿️‍\U0001f000-\U0001faff]+$".replace("️", chr(0xFE0F)).replace("‍", chr(0x200D)))
 #: Words of a template by level, and raw words at its start; the last figure bounds the words kept of each language.
-FINE, COARSE, KNOWN = (200, 2), (100, 1), 1500
+FINE, COARSE, KNOWN = (200, 2), (100, 1), 2000
 DIGITS = re.compile(r"\d+$")
 LISTED = re.compile(r"[|/·•>,،;#»]|\s[-–—]\s|\s{2,}")
 LINKED = re.compile(r"://|www\.|[a-z]\.[a-z]")
@@ -61,6 +62,14 @@ ENCODINGS = ("characters", "utf8", "utf16", "html", "json", "crlf", "utf8_crlf",
 LEAST_LIMIT, LEAST_PILE, PILE = 80, 8, 3.0
 
 
+_ARABIC = re.compile("[؀-ۿ]{2}")
+
+
+def script(text: str) -> str:
+    """The group whose words are ranked together: Arabic letters or others."""
+    return "A" if _ARABIC.search(text) else "L"
+
+
 def lengths(value: str) -> list[int]:
     """The value's length under each of ENCODINGS."""
     crlf = re.sub(r"\r\n|\n|\r", "\r\n", value)
@@ -100,25 +109,30 @@ def mark_of(tail: str) -> str:
     return ""
 
 
-def templates(words: list[str], known: dict[str, int]) -> tuple[str, str]:
-    """The sentence by both levels: the first words and those of low rank; a run of others is one gap, a number is 0."""
-    fine: list[str] = []
-    coarse: list[str] = []
-    last_fine = last_coarse = ""
-    for i, w in enumerate(words):
-        if w[0] in "0123456789" and w.isdigit():
-            a = b = "0"
-        else:
-            r = known.get(w, KNOWN)
-            a = w if r < FINE[0] or (i < FINE[1] and r < KNOWN) else "*"
-            b = w if r < COARSE[0] or (i < COARSE[1] and r < KNOWN) else "*"
-        if a != "*" or last_fine != "*":
-            fine.append(a)
-            last_fine = a
-        if b != "*" or last_coarse != "*":
-            coarse.append(b)
-            last_coarse = b
-    return " ".join(fine), " ".join(coarse)
+def _template_hashes(ranks: np.ndarray, first: np.ndarray, group: np.ndarray, level: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of each sentence's template, hashes of all its proper prefixes), for all sentences at once.  ``ranks`` are the
+    words' ranks, sentence by sentence; ``first`` is where each begins.  A template keeps the words of low rank and known ones
+    among the first; a run of others is one gap."""
+    most, raw = level
+    n = np.diff(np.append(first, len(ranks)))
+    at = np.arange(len(ranks)) - np.repeat(first, n)
+    gap = (ranks >= most) & ~((at < raw) & (ranks < KNOWN))
+    follows = np.zeros(len(ranks), dtype=bool)
+    follows[1:] = gap[1:] & gap[:-1]
+    keep = ~(follows & (at > 0))
+    tokens = np.where(gap, 0, ranks + 1)[keep].astype(np.uint64)
+    sizes = np.add.reduceat(keep.astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
+    starts = np.cumsum(sizes) - sizes
+    h = group.astype(np.uint64) * np.uint64(1_000_003) + np.uint64(raw)
+    prefixes = []
+    with np.errstate(over="ignore"):
+        for i in range(int(sizes.max(initial=0))):
+            live = np.nonzero(sizes > i)[0]
+            if i:
+                prefixes.append(h[live])
+            x = (h[live] ^ tokens[starts[live] + i]) * np.uint64(0x9E3779B97F4A7C15)
+            h[live] = x ^ (x >> np.uint64(29))
+    return h.view(np.int64), (np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64)).view(np.int64)
 
 
 def _hash(text: str) -> int:
@@ -129,18 +143,15 @@ def _count_words(fields: list[str], final: bool):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """How often each word stands anywhere but at the end of its value."""
         counts: dict[str, Counter] = {}
-        norm = normalizer(form_table())
         for pdf in batches:
             for f in fields:
                 for v in pdf[f]:
                     if isinstance(v, str) and v:
-                        if SUSPECT.search(v):
-                            v = norm.scan(v)[1]
                         words = WORD.findall(v.lower())
                         if words:
                             if v[-1].isalnum():
                                 words.pop()
-                            counts.setdefault(tongue(v), Counter()).update(words)
+                            counts.setdefault(script(v), Counter()).update(words)
             if sum(map(len, counts.values())) > 200_000:
                 yield _words_frame(counts)
                 counts.clear()
@@ -170,14 +181,15 @@ _ARROW = pa.schema(
 
 def _batch_of(n: int, **columns: list) -> pa.RecordBatch:
     """A batch of the row schema; columns that aren't given are null."""
-    return pa.RecordBatch.from_arrays([pa.array(columns[f.name], type=f.type) if f.name in columns else pa.nulls(n, type=f.type) for f in _ARROW], schema=_ARROW)
+    return pa.RecordBatch.from_arrays([(columns[f.name] if isinstance(columns[f.name], pa.Array) else pa.array(columns[f.name], type=f.type)) if f.name in columns else pa.nulls(n, type=f.type) for f in _ARROW], schema=_ARROW)
 
 
-def _is_listing(text: str, tail: str, lang: str) -> bool:
+def _is_listing(text: str, tail: str) -> bool:
     """Spam, a list or links, judged on the whole value and on its last line."""
     words = text.split()
     if len(set(words)) > 0.6 * len(words) and len(LISTED.findall(text)) < 5 and text.count("\n") < 4 and not LINKED.search(text):
         return False
+    lang = tongue(text)
     stuffed = [(len(u), is_stuffed(u, features(u, lang), BASE_LIMITS)) for u in units(text)]
     if sum(n for n, bad in stuffed if bad) > 0.5 * sum(n for n, _ in stuffed):
         return True
@@ -200,32 +212,16 @@ def _is_residue(text: str, own: tuple[str, ...]) -> tuple[bool, str]:
     return bool(WHOLE.search(re.sub(r"\d+", "0", low))), ""
 
 
-def _prefixes(whole: Counter) -> tuple[Counter, Counter]:
-    """(how often a template ends without a stop, how often it goes on), from the counts of whole sentences."""
-    ends: Counter = Counter()
-    goes: Counter = Counter()
-    levels: tuple[Counter, Counter] = (Counter(), Counter())
-    for (lang, fine, coarse, ended), n in whole.items():
-        levels[0][lang + "2 " + fine, ended] += n
-        levels[1][lang + "1 " + coarse, ended] += n
-    for level in levels:
-        for (t, ended), n in level.items():
-            if not ended:
-                ends[t] += n
-            i = t.find(" ", t.index(" ") + 1)
-            while i > 0:
-                goes[t[:i]] += n
-                i = t.find(" ", i + 1)
-    return ends, goes
-
-
 def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         norm = normalizer(form_table())
         for batch in batches:
             rows: list[tuple] = []
-            whole: Counter = Counter()
             piles: Counter = Counter()
+            flat: list[int] = []  # ranks of all words, sentence by sentence
+            first: list[int] = []
+            ended: list[bool] = []
+            group: list[bool] = []
             data = batch.to_pydict()
             for i, (k, s, path) in enumerate(zip(data["id"], data["site__"], data["path__"], strict=True)):
                 own = tuple(o for o in (path, s) if len(o) > 4)
@@ -235,44 +231,55 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                         continue
                     v = norm.scan(raw)[1] if SUSPECT.search(raw) else raw
                     text = TRAIL.sub("", v)
-                    lang = tongue(text)
+                    lang = script(text)
                     known = ranks.get(lang) or ranks.get("*") or {}
                     lines = [x.strip() for x in BREAK.split(text) if x.strip()]
                     if not lines:
                         continue
-                    lens = lengths(raw)
                     cut = mark_of(text)
                     stopped = not cut and bool(STOP.search(text))
-                    for e, n in zip(ENCODINGS, lens, strict=True):
-                        piles[f, e, n, stopped] += 1
+                    if not stopped:
+                        lens = lengths(raw)
+                        for e, n in zip(ENCODINGS, lens, strict=True):
+                            piles[f, e, n] += 1
                     part: list[str] = []
-                    pair = ("", "")
+                    get = known.get
+                    arabic = lang == "A"
+                    mine = -1
                     for j, line in enumerate(lines):
                         sentences = SENTENCE.split(line) if STOPS.search(line) else [line]
                         for m, sentence in enumerate(sentences):
                             part = WORD.findall(sentence.lower())
-                            open_ = j == len(lines) - 1 and m == len(sentences) - 1 and not stopped
+                            open_ = not stopped and j == len(lines) - 1 and m == len(sentences) - 1
                             if not part or (open_ and cut):
                                 continue
-                            pair = templates(part, known)
-                            whole[lang, *pair, sentence[-1:] in ".!?؟" or STOP.search(sentence) is not None] += 1
+                            mine = len(first)
+                            first.append(len(flat))
+                            flat += [get(w, KNOWN) for w in part]
+                            ended.append(sentence[-1] in ".!?؟" or STOP.search(sentence) is not None)
+                            group.append(arabic)
                     if stopped:
                         continue
                     tail = lines[-1]
                     residue, about = _is_residue(v, own) if f == "snippet" else (False, "")
-                    if residue or _is_listing(text, tail, lang):
+                    if residue or _is_listing(text, tail):
                         continue
                     last = part[-1] if part and tail[-1:].isalnum() and not DIGITS.match(part[-1]) else ""
-                    rows.append((k, s, f, cut, _hash(f"{lang}2 {pair[0]}"), _hash(f"{lang}1 {pair[1]}"), f"{lang} {last}" if last else None, _hash(f"{s}\n{line_key(tail)}"), about or None, lens))
+                    rows.append((k, s, f, cut, mine, mine, f"{lang} {last}" if last else None, _hash(f"{s}\n{line_key(tail)}"), about or None, lens))
+            levels = [_template_hashes(np.array(flat, dtype=np.int64), np.array(first, dtype=np.int64), np.array(group, dtype=np.int64), x) for x in (FINE, COARSE)]
             if rows:
                 c = list(zip(*rows, strict=True))
-                yield _batch_of(len(rows), kind=["tail"] * len(rows), id=c[0], site=c[1], field=c[2], cut=c[3], fine=c[4], coarse=c[5], last=c[6], line=c[7], about=c[8], lens=c[9])
-            ends, goes = _prefixes(whole)
-            keys = list(ends.keys() | goes.keys())
-            if keys:
-                yield _batch_of(len(keys), kind=["template"] * len(keys), key=[_hash(x) for x in keys], ends=[ends[x] for x in keys], goes=[goes[x] for x in keys])
+                fine, coarse = ([int(h[0][i]) if i >= 0 else 0 for i in c[4]] for h in levels)
+                yield _batch_of(len(rows), kind=["tail"] * len(rows), id=c[0], site=c[1], field=c[2], cut=c[3], fine=fine, coarse=coarse, last=c[6], line=c[7], about=c[8], lens=c[9])
+            open_ends = ~np.array(ended, dtype=bool)
+            for full, prefixes in levels:
+                for name, values in (("ends", full[open_ends]), ("goes", prefixes)):
+                    keys, n = np.unique(values, return_counts=True)
+                    if len(keys):
+                        zero = np.zeros(len(keys), dtype=np.int64)
+                        yield _batch_of(len(keys), kind=pa.array(["template"] * len(keys)), key=keys, ends=n if name == "ends" else zero, goes=n if name == "goes" else zero)
             if piles:
-                yield _batch_of(len(piles), kind=["pile"] * len(piles), field=[x[0] for x in piles], cut=[x[1] for x in piles], key=[x[2] for x in piles], ends=[0 if x[3] else n for x, n in piles.items()], goes=list(piles.values()))
+                yield _batch_of(len(piles), kind=["pile"] * len(piles), field=[x[0] for x in piles], cut=[x[1] for x in piles], key=[x[2] for x in piles], ends=list(piles.values()))
 
     return run
 
@@ -322,12 +329,12 @@ def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str,
     zero = F.lit(0)
     e1, g1, e2, g2 = (F.coalesce(c, zero) for c in ("e1", "g1", "e2", "g2"))
     limited = F.coalesce(F.exists("limits", lambda x: (F.element_at("lens", x["e"]) == x["length"]) | (F.element_at("lens", x["e"]) == x["length"] - 1)), F.lit(False))
-    # a cut word is nowhere whole, or is a stump that open ends have more often than sentences do
+    # a cut word is nowhere whole (nor a habitual last word), or is a stump that open ends have more often than sentences do
     stump = (F.length(F.substring_index("last", " ", -1)) <= 4) & (F.col("open_ends") * 2 >= F.coalesce("whole", zero)) & (F.col("open_ends") >= 2)
     enough = e1 + g1 >= 5
     goes_on = F.when(enough, g1 > e1).otherwise(g2 > e2)
     ends_here = F.when(enough, e1 > 4 * g1).otherwise((e2 > 4 * g2) & (e2 >= 5))
-    unknown = F.col("last").isNotNull() & ((F.coalesce("whole", zero) == 0) | (stump & ~ends_here))
+    unknown = F.col("last").isNotNull() & (((F.coalesce("whole", zero) == 0) & (~ends_here | (F.col("open_ends") <= 2) | (F.length(F.substring_index("last", " ", -1)) <= 3))) | (stump & ~ends_here))
     cut = (
         F.when(F.coalesce("recurs", F.lit(False)) & ~limited, F.lit(None))
         .when(unknown, F.lit("word"))
