@@ -61,7 +61,7 @@ _REASON = """CASE WHEN error IS NOT NULL AND error <> '' THEN CASE WHEN contains
 def attempt_days(spark: SparkSession, d: str) -> DataFrame:
     """Attempts by day and status, whole-row repeats counted once: how many, how many sites, median duration."""
     rows = attempts(spark, d).dropDuplicates(["id"])
-    return rows.groupBy(F.to_date("started_at").alias("day"), "status").agg(F.count("*").alias("attempts"), F.countDistinct("site_id").alias("sites"), F.max("duration_ms").alias("slowest_ms"))
+    return rows.groupBy(F.date_format("started_at", "yyyy-MM-dd").alias("day"), "status").agg(F.count("*").alias("attempts"), F.countDistinct("site_id").alias("sites"), F.max("duration_ms").alias("slowest_ms"))
 
 
 def site_overview(spark: SparkSession, d: str) -> DataFrame:
@@ -95,6 +95,23 @@ def acquire_batch(spark: SparkSession, d: str) -> DataFrame:
     return queue.acquire(_queue(spark, d), 20).select("id", "url", "crawl_status", "crawl_attempts", "phase")
 
 
+def claim_batch(spark: SparkSession, d: str) -> DataFrame:
+    return queue.claim(_queue(spark, d), 50, "worker-x").select("id", "url", "worker_id", "crawl_status", "crawl_attempts")
+
+
+def finished(spark: SparkSession, d: str) -> DataFrame:
+    """The queue after every page in process was finished as completed."""
+    rows = _queue(spark, d)
+    done = rows.filter("crawl_status = 'processing'").select("id", F.lit("completed").alias("status"))
+    return queue.finish(rows, done).select("id", "crawl_status", "worker_id")
+
+
+def batch_scan(spark: SparkSession, d: str) -> DataFrame:
+    from raqim.sources import seeds
+
+    return seeds.batch_scan(_queue(spark, d), "batch", 100).select("id", "url", "crawl_status")
+
+
 def recover_stale(spark: SparkSession, d: str) -> DataFrame:
     """Leases that have run out half an hour before the newest change of the queue."""
     rows = _queue(spark, d)
@@ -180,12 +197,15 @@ QUERIES: dict[str, tuple] = {
     "error_codes": (error_codes, f"WITH {_ATTEMPTS} SELECT id, {_CODE} AS code FROM r"),
     "failure_histogram": (failure_histogram, f"WITH {_ATTEMPTS} SELECT site_id, status, {_CODE} AS code, count(*) AS n, CAST(sum(duration_ms) AS BIGINT) AS duration_ms FROM r WHERE status <> 'completed' GROUP BY ALL"),
     "review_reasons": (review_reasons, f"WITH {_ATTEMPTS} SELECT id, {_REASON} AS reason FROM r"),
-    "attempt_days": (attempt_days, f"WITH {_ATTEMPTS}, u AS (SELECT DISTINCT ON (id) * FROM r) SELECT CAST(started_at AT TIME ZONE 'UTC' AS DATE) AS day, status, count(*) AS attempts, count(DISTINCT site_id) AS sites, max(duration_ms) AS slowest_ms FROM u GROUP BY ALL"),
+    "attempt_days": (attempt_days, f"WITH {_ATTEMPTS}, u AS (SELECT DISTINCT ON (id) * FROM r) SELECT strftime(started_at AT TIME ZONE 'UTC', '%Y-%m-%d') AS day, status, count(*) AS attempts, count(DISTINCT site_id) AS sites, max(duration_ms) AS slowest_ms FROM u GROUP BY ALL"),
     "acquire_batch": (
         acquire_batch,
         f"""WITH {_QUEUE}, t AS (SELECT *, CASE WHEN coalesce(crawl_status, 'pending') IN ('pending', 'queued', 'processing') THEN 1 WHEN crawl_status = 'needs_review' AND coalesce(crawl_attempts, 0) < 2 THEN 2 END AS tier FROM q), b AS (SELECT *, min(tier) OVER () AS best FROM t WHERE tier IS NOT NULL)
           SELECT id, url, crawl_status, crawl_attempts, CASE WHEN tier = 1 THEN 'pending' ELSE 'review' END AS phase FROM b WHERE tier = best ORDER BY id LIMIT 20""",
     ),
+    "claim_batch": (claim_batch, f"WITH {_QUEUE} SELECT id, url, 'worker-x' AS worker_id, 'processing' AS crawl_status, crawl_attempts + 1 AS crawl_attempts FROM q WHERE crawl_status IN ('pending', 'queued') ORDER BY id LIMIT 50"),
+    "finished": (finished, f"WITH {_QUEUE} SELECT id, CASE WHEN crawl_status = 'processing' THEN 'completed' ELSE crawl_status END AS crawl_status, CASE WHEN crawl_status = 'processing' THEN NULL ELSE worker_id END AS worker_id FROM q"),
+    "batch_scan": (batch_scan, f"WITH {_QUEUE}, t AS (SELECT *, count(*) FILTER (crawl_status = 'pending') OVER () AS pending FROM q) SELECT id, url, crawl_status FROM t WHERE CASE WHEN pending > 0 THEN crawl_status = 'pending' ELSE crawl_status = 'needs_review' AND crawl_attempts < 2 END ORDER BY id LIMIT 100"),
     "recover_stale": (recover_stale, f"WITH {_QUEUE}, n AS (SELECT max(updated_at) AS now FROM q) SELECT id, 'pending' AS crawl_status, CAST(NULL AS VARCHAR) AS worker_id FROM q, n WHERE crawl_status = 'processing' AND processing_started_at < now - INTERVAL 30 MINUTE"),
     "outcome_route": (
         outcome_route,

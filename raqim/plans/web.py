@@ -128,6 +128,58 @@ _TREE_SQL = f"""WITH RECURSIVE {S.url_parts('crawler_results', 'url', 'id')}, c
   SELECT root, node, CAST(min(depth) AS BIGINT) AS depth FROM b GROUP BY root, node"""
 
 
+CHUNK = 1000
+
+
+def _sitemaps(spark: SparkSession, d: str) -> DataFrame:
+    """The results written as sitemaps of at most 1000 ids of one host: (map, base, site, body)."""
+    rows = table(spark, d, "crawler_results").select("id", F.col("url"), urls.bare_host(F.col("url")).alias("host"), F.floor(F.col("id") / CHUNK).cast("long").alias("chunk"))
+    entry = F.concat(F.lit("<url><loc>"), F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit("</loc></url>"))
+    maps = rows.filter("host <> ''").groupBy("host", "chunk").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("id", entry.alias("e")))), lambda x: x["e"]), "").alias("urls"))
+    site = F.concat(F.lit("https://"), F.col("host"), F.lit("/"))
+    return maps.select(F.concat_ws("#", "host", "chunk").alias("map"), F.concat(site, F.lit("sitemap.xml")).alias("base"), site.alias("site"), F.concat(F.lit('<?xml version="1.0"?><urlset>'), F.col("urls"), F.lit("</urlset>")).alias("body"))
+
+
+def sitemap_listed(spark: SparkSession, d: str) -> DataFrame:
+    return sitemaps.listed(_sitemaps(spark, d), "map", "base", "site").select("map", "format", "kind", "url", "reason")
+
+
+def sitemap_pages(spark: SparkSession, d: str) -> DataFrame:
+    """Pages that each sitemap lists, once."""
+    return sitemaps.first_seen(sitemaps.listed(_sitemaps(spark, d), "map", "base", "site"), "map").select("map", "kind", "url")
+
+
+def sitemap_rejections(spark: SparkSession, d: str) -> DataFrame:
+    return sitemaps.rejections(sitemaps.listed(_sitemaps(spark, d), "map", "base", "site"), "map")
+
+
+_LISTED = f"""WITH {S.url_parts('crawler_results', 'url', 'id')}, j AS (SELECT *, bare AS site_bare, '' AS site_port FROM parts WHERE host <> ''), c AS (SELECT *, {S.canonical_discovery()} AS c FROM j),
+  l AS (SELECT bare || '#' || CAST(floor(id / {CHUNK}) AS BIGINT) AS map, 'urlset' AS format, c, {S.reason()} AS reason FROM c)"""
+
+
+def page_links(spark: SparkSession, d: str) -> DataFrame:
+    """Each result as a page that links to itself, to a foreign language, a feed and another host: (id, reason, n, score)."""
+    from raqim.functions import html
+
+    rows = table(spark, d, "crawler_results").select("id", "url")
+    page = F.concat(F.lit('<body><a href="'), F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit('">x</a><p><a href="/en/news">y<a href="/feed">z</a><a href="https://other.example/">o</a>'))
+    fields = html.fields(rows.withColumn("html", page))
+    links = sitemaps.page_links(fields, "id", "url", "url")
+    return links.groupBy("id", F.coalesce("reason", F.lit("admitted")).alias("reason")).agg(F.count("*").alias("n"))
+
+
+_LINKS = f"""WITH {S.url_parts('crawler_results', 'url', 'id')}, j AS (SELECT *, bare AS site_bare, port AS site_port FROM parts), r AS (SELECT id, coalesce({S.reason()}, 'admitted') AS reason FROM j
+  UNION ALL SELECT id, unnest(['non_arabic_language', 'administrative_or_feed_path', 'external_host']) FROM crawler_results) SELECT id, reason, count(*) AS n FROM r GROUP BY ALL"""
+
+
+def robots_policies(spark: SparkSession, d: str) -> DataFrame:
+    """Attempts read as fetches of a robots file: which statuses deny everything."""
+    from raqim.plans.crawl import attempts
+
+    rows = attempts(spark, d).select(F.col("id").alias("origin"), F.when(F.col("error").isNull(), F.col("http_status")).alias("status"), F.lit(None).cast("binary").alias("body"))
+    return robots.policies(rows).select(F.col("origin").alias("id"), "deny_all")
+
+
 def _safe_sql() -> str:
     return f"CASE WHEN {S.WEB} THEN scheme || '://' || host || {S.AT} || path || CASE WHEN query <> '' THEN '?[redacted]' ELSE '' END ELSE '' END"
 
@@ -157,6 +209,14 @@ QUERIES: dict[str, tuple] = {
     "feed_candidates": (feed_candidates, _candidates_sql(sitemaps.FEED_PATHS)),
     "robots_rules": (robots_rules, "SELECT CAST(policy AS INTEGER) AS policy, allow, pattern FROM (VALUES (0, false, '/blog/'), (0, true, '/blog/qamar'), (0, false, '/*suq*$'), (1, false, '/p/'), (1, true, '/p/'), (1, false, '/news/*river')) t(policy, allow, pattern)"),
     "robots_allowed": (robots_allowed, _ROBOTS_SQL),
+    "robots_policies": (
+        robots_policies,
+        """WITH a AS (SELECT id, CASE WHEN error IS NULL AND json_valid(metadata) THEN TRY_CAST(json_extract_string(CASE WHEN json_valid(metadata) THEN metadata END, '$.httpStatus') AS INTEGER) END AS s FROM crawler_attempts) SELECT id, s IS NULL OR s = 429 OR s >= 500 AS deny_all FROM a""",
+    ),
+    "sitemap_listed": (sitemap_listed, f"{_LISTED} SELECT map, format, CASE WHEN reason IS NULL THEN 'page' ELSE 'refused' END AS kind, CASE WHEN reason IS NULL THEN c ELSE '' END AS url, reason FROM l"),
+    "sitemap_pages": (sitemap_pages, f"{_LISTED} SELECT DISTINCT map, 'page' AS kind, c AS url FROM l WHERE reason IS NULL"),
+    "sitemap_rejections": (sitemap_rejections, f"{_LISTED} SELECT map, reason, count(*) AS n FROM l WHERE reason IS NOT NULL GROUP BY ALL"),
+    "page_links": (page_links, _LINKS),
     "seed_urls": (seed_urls, f"WITH {S.url_parts('crawler_sites', 'url', 'id')} SELECT DISTINCT {S.canonical_seed()} AS url FROM parts"),
     "url_tree": (url_tree, _TREE_SQL),
 }
