@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from raqim.llm.hosts import site
 from raqim.llm.lookalike import INVISIBLE, SPACES, SUSPECT, form_table, normalizer
-from raqim.llm.residue import MARKS, NAME, WHOLE, _contexts, is_empty_value, is_filler
+from raqim.llm.residue import MARKS, MESSAGES, NAME, PATH, WHOLE, _contexts, is_empty_value, is_filler, trailing_empty
 from raqim.llm.site_lines import line_key
 from raqim.llm.stuffing import SEPARATOR, features, is_stuffed, tongue, units
 from raqim.session import checkpointed
@@ -207,7 +207,10 @@ def _is_residue(text: str, own: tuple[str, ...]) -> tuple[bool, str]:
             for c in _contexts(line):
                 return (not c), c
     low = text.lower()
-    if any(o in low for o in own) and ("/" in text or NAME.search(text)):
+    if "/" in text or NAME.search(text):
+        if any(o in low for o in own) or (PATH.search(low) and MESSAGES.search(low)):
+            return True, ""
+    if text.rstrip()[-1:] in "dlnNLaAtT])D" and trailing_empty(BREAK.split(text)[-1]):
         return True, ""
     return bool(WHOLE.search(re.sub(r"\d+", "0", low))), ""
 
@@ -285,7 +288,7 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
 
 
 def _scanned(df: DataFrame, key: str, fields: tuple[str, ...], counts: DataFrame) -> DataFrame:
-    top = counts.withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("r") <= KNOWN)
+    top = counts.filter(~F.col("word").rlike("^[0-9]+$")).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("r") <= KNOWN)
     ranks: dict[str, dict[str, int]] = {}
     for r in top.collect():  # KNOWN words for each of the known languages
         ranks.setdefault(r["lang"], {})[r["word"]] = r["r"] - 1

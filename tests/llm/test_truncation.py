@@ -20,7 +20,7 @@ def corpus(n=400, seed=1):
 def test_endings(spark):
     base = corpus()
     u = "https://s1.example/x"
-    cut = [(1, "Demand for tea in Leeds grew by 5 perc"), (2, "Demand for maps in York grew by"), (3, "The committee in Bath reviews tea before…"), (4, "The committee in Bath reviews [...]"), (5, "Demand for tea in York grew &nbs"), (6, "Demand for tea <span class=\"no"), (7, "Demand for tea in Leeds \\u06"), (8, "Demand for tea %D8%"), (9, "Demand for te" + chr(0xFFFD)), (10, "The committee in Ely reviews tea... Read more"), (11, "Demand for tea in Leeds grew by 5 percent this week, yet moving")]
+    cut = [(1, "Demand for tea in Leeds grew by 5 perc"), (2, "Demand for maps in York grew by"), (3, "The committee in Bath reviews tea before…"), (4, "The committee in Bath reviews [...]"), (5, "Demand for tea in York grew &nbs"), (6, "Demand for tea <span class=\"no"), (7, "Demand for tea in Leeds \\u06"), (8, "Demand for tea %D8%"), (9, "Demand for te" + chr(0xFFFD)), (10, "The committee in Ely reviews tea... Read more")]
     fine = [(50, "Demand for tea in Leeds grew by 5 percent this week, yet moving soup lagged."), (51, "The committee in Bath reviews tea before the holiday.\nShare this page"), (52, None), (53, ""), (54, "tea, maps, tea, maps, tea, maps, tea, maps, tea, maps, tea, maps"), (55, "null")]
     rows = base + [(i, u, "t", s, None, "") for i, s in cut + fine] + [(60, u, "t", None, "Guide of Leeds to choosing tea and storing wood in early spring", "")]
     got = {(r.id, r.field) for r in T.truncated(spark.createDataFrame(rows, SCHEMA)).collect()}
