@@ -5,7 +5,7 @@ equivalent to the two letters it shows), chooses each class's representative by
 rewriting rules.  ``Normalizer`` applies them greedily, leftmost-longest, with a multi-pattern (Aho-Corasick) automaton;
 letters that only look foreign inside a word are decided by the word and by the language of the record.
 
-Edge cases: a null or empty value has no marks and its form is itself; of equally frequent plain members the shorter,
+Edge cases: rows without a key have no row here; a null or empty value has no marks and its form is itself; of equally frequent plain members the shorter,
 then the one with the smaller code point represents the class; texts of any length are processed whole.
 """
 
@@ -336,7 +336,7 @@ def forms(df: DataFrame, key: str, fields: list[str], rules: dict[str, str], con
             yield pd.DataFrame({key: pd.Series(ids, dtype=pdf[key].dtype), "field": pd.Series(fs, dtype=object), "kinds": pd.Series(kinds, dtype=object), "form": pd.Series(out, dtype=object)})
 
     schema = T.StructType([T.StructField(key, key_type), *FORMS_SCHEMA.fields])
-    return df.select(key, *columns).mapInPandas(run, schema)
+    return df.filter(F.col(key).isNotNull()).select(key, *columns).mapInPandas(run, schema)
 
 
 def marked(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("title", "snippet"), context: tuple[str, ...] = ("description",)) -> DataFrame:

@@ -11,7 +11,7 @@ be repeated anywhere.
 The boundary in the order is found without collecting or sorting a source: tokens are summed over bins of the rank's
 logarithm (at most ``BINS`` a source and mix), and only the rows of one bin are put in order.
 
-Edge cases: documents without tokens or source aren't used; a source without documents gives nothing and stays in the
+Edge cases: documents without tokens, source or key aren't used; a source without documents gives nothing and stays in the
 report; a document that is stored twice counts as two; shares need not sum to 1; ties of rank go to the smaller id.
 """
 
@@ -48,7 +48,7 @@ def _copies(classes: list[tuple[int, int, int]], tokens: float, most: int) -> di
 
 def mixed(sized: DataFrame, targets: DataFrame, key: str = "doc_id", source: str = "source", seed: int = SEED) -> DataFrame:
     """(mix_name, source, key, copies, tokens) of each document a mix uses; ``tokens`` is the document's size."""
-    docs = checkpointed(sized.filter(F.col(source).isNotNull() & (F.col("tokens") > 0)).select(F.col(key).alias("id"), F.col(source).alias("source"), "tokens", F.floor(F.log2("tokens")).cast("int").alias("class")))
+    docs = checkpointed(sized.filter(F.col(source).isNotNull() & F.col(key).isNotNull() & (F.col("tokens") > 0)).select(F.col(key).alias("id"), F.col(source).alias("source"), "tokens", F.floor(F.log2("tokens")).cast("int").alias("class")))
     spark = docs.sparkSession
     classes: dict[str, list[tuple[int, int, int]]] = {}
     for r in docs.groupBy("source", "class").agg(F.count("*").alias("n"), F.sum("tokens").alias("t")).collect():  # some 30 classes a source

@@ -15,7 +15,7 @@ with a second group (within distance 2g - 1, the other g - 1 groups leave one wi
 and what is still too common after that is split into blocks, each pair of blocks being one task.  No pair is lost,
 none is compared in an unbounded group.  Survivors are verified exactly on their word sets.
 
-Edge cases: null and empty fields have no words; records under ``min_words`` different words are never paired; a row that
+Edge cases: rows without an id are left out; null and empty fields have no words; records under ``min_words`` different words are never paired; a row that
 is repeated as a whole is one record; ties do not arise (pairs are ordered by id).
 """
 
@@ -86,7 +86,7 @@ def word_sets(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("title"
                     sets.append(a)
             yield pd.DataFrame({"id": pd.Series(ids, dtype="int64"), "content": pd.Series(contents, dtype="int64"), "words": pd.Series(sets, dtype=object)})
 
-    return df.select(F.col(key).alias("id"), *present).mapInPandas(run, "id long, content long, words array<int>")
+    return df.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), *present).mapInPandas(run, "id long, content long, words array<int>")
 
 
 def _mixed(x: np.ndarray, seed: int) -> np.ndarray:

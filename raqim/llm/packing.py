@@ -8,7 +8,7 @@ repetitions, and for each length the slots in which its 1st, 2nd, ... text goes.
 and look their slot up, so no task sees more than a share of one length.  Containers are numbered by fill and dealt to
 step groups in a snake order, which balances the tokens of the groups.
 
-Edge cases: null and empty texts have no tokens and are in no container; a text longer than the capacity, and only such a
+Edge cases: null and empty texts have no tokens and are in no container, nor are rows without a key; a text longer than the capacity, and only such a
 one, is split into full containers and a rest; repeated rows are packed as often as they occur (told apart by a number);
 ties of length are ranked by id.
 """
@@ -115,7 +115,7 @@ class Plan:
 
 def pieces(sized: DataFrame, capacities: DataFrame, key: str = "doc_id") -> DataFrame:
     """One row per container size and piece: (container, capacity, key, copy, piece, from_token, tokens)."""
-    numbered = sized.filter("tokens > 0").withColumn("copy", F.row_number().over(Window.partitionBy(key).orderBy("tokens")) - 1)
+    numbered = sized.filter((F.col("tokens") > 0) & F.col(key).isNotNull()).withColumn("copy", F.row_number().over(Window.partitionBy(key).orderBy("tokens")) - 1)
     crossed = numbered.select(key, "copy", "tokens").join(F.broadcast(capacities.filter("capacity > 0").select("container", "capacity").distinct()), how="cross")  # a handful of sizes
     n = F.ceil(F.col("tokens") / F.col("capacity")).cast("int")
     each = crossed.withColumn("piece", F.explode(F.sequence(F.lit(0), n - 1)))

@@ -11,7 +11,8 @@ A record that holds a block twice counts once: within each record the suffixes a
 takes the prefix they share off the count again (the colour-set-size correction).
 
 Edge cases: null and empty values have no lines; blank lines are no lines to remove; a record repeated as a whole row
-(same id and value) counts once; a null URL belongs to no site, its values are returned unchanged.
+(same id and value) counts once; a null URL belongs to no site, its values are returned unchanged; so are those of
+rows without a key.
 """
 
 from __future__ import annotations
@@ -43,7 +44,7 @@ def lines(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("snippet",
     fields = tuple(f for f in fields if f in df.columns)
     if rules is None:
         rules = form_table(character_counts(df, [*fields]))
-    source = df.filter(F.col(url).isNotNull()).select(F.col(key).alias("id"), *fields, site(F.col(url)).alias("site__"))
+    source = df.filter(F.col(url).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("id"), *fields, site(F.col(url)).alias("site__"))
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         norm = normalizer(rules)

@@ -6,7 +6,7 @@ limits of the repetition and function-word shares are quantiles of the units tha
 the whole corpus (a table of one row per language).  A unit beyond its language's limits is no sentence; a record is spam
 if more than half of its snippet's characters lie in such units, or if one keyword occurs five times or more.
 
-Edge cases: null and empty snippets or keywords count as not stuffed; a language with fewer than ``MIN_UNITS`` sentences
+Edge cases: rows without a key are left out; null and empty snippets or keywords count as not stuffed; a language with fewer than ``MIN_UNITS`` sentences
 uses the limits of all languages together; keywords are compared in consistent form; repeated rows are judged alike.
 """
 
@@ -187,6 +187,7 @@ def _limits(found: DataFrame) -> dict[str, dict[str, float]]:
 
 def stuffing(df: DataFrame, key: str = "id", share: float = 0.5, max_term: int = MAX_TERM) -> DataFrame:
     """(id, stuffed: share of the snippet's characters that form no sentences, term: most frequent keyword's count, spam)."""
+    df = df.filter(F.col(key).isNotNull())
     found = checkpointed(df.select(F.col(key).alias("id"), "snippet").mapInPandas(_units, UNITS))
     limits = _limits(found)
 
