@@ -9,7 +9,7 @@ ends without a stop is compared with the corpus: its last sentence is reduced to
 frequent words, and the templates of *all* sentences say whether text that begins like this usually goes on (cut) or ends
 here (a headline, a notice).  A last word that is nowhere a whole word is a cut word.  Where neither tells, a limit does.
 
-Edge cases: null and empty values are not cut; values of repeated rows are judged alike; lines that recur through a site,
+Edge cases: rows without a key are left out; null and empty values are not cut; values of repeated rows are judged alike; lines that recur through a site,
 lists, links, spam (problem 2) and template residue (problem 5) are not cut on account of how they end.
 """
 
@@ -54,6 +54,8 @@ TRAIL = re.compile("[" + re.escape(EDGE) + "☀-➿️‍\U0001f000-\U0001faff]+
 #: Words of a template by level, and raw words at its start; the last figure bounds the words kept of each language.
 FINE, COARSE, KNOWN = (200, 2), (100, 1), 2000
 DIGITS = re.compile(r"\d+$")
+#: Template hashes that a worker holds before it counts them.
+FLUSH = 4_000_000
 LISTED = re.compile(r"[|/·•>,،;#»]|\s[-–—]\s|\s{2,}")
 LINKED = re.compile(r"://|www\.|[a-z]\.[a-z]")
 BASE_LIMITS = {"top": 0.25, "pairs": 0.25, "distinct": 0.75, "function": 0.0}
@@ -70,6 +72,14 @@ def script(text: str) -> str:
     return "A" if _ARABIC.search(text) else "L"
 
 
+_CLOSING = frozenset(".!?؟。！？'\"”»’)]")
+
+
+def ends_sentence(text: str) -> bool:
+    """A stop at the end, with or without closing marks."""
+    return text[-1:] in _CLOSING and text != "" and STOP.search(text) is not None
+
+
 def lengths(value: str) -> list[int]:
     """The value's length under each of ENCODINGS."""
     crlf = re.sub(r"\r\n|\n|\r", "\r\n", value)
@@ -88,7 +98,8 @@ def mark_of(tail: str) -> str:
     last = tail[-1]
     if last == chr(0xFFFD) or 0xD800 <= ord(last) <= 0xDFFF:
         return "character"
-    if MARK.search(tail[-60:]):
+    end = tail[-60:]
+    if ("…" in end or ".." in end or last in "])") and MARK.search(end):
         return "mark"
     near = tail[-200:]
     if "<" in near and (m := TAG.search(near)) and (m.start() == 0 or not near[m.start() - 1].isdigit() or len(m.group()) > 1) and not m.group().startswith("<?"):
@@ -215,9 +226,21 @@ def _is_residue(text: str, own: tuple[str, ...]) -> tuple[bool, str]:
     return bool(WHOLE.search(re.sub(r"\d+", "0", low))), ""
 
 
+def _template_rows(kept: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
+    """Counts of the template hashes that were kept, which are forgotten."""
+    for name, values in kept.items():
+        if values:
+            keys, n = np.unique(np.concatenate(values), return_counts=True)
+            values.clear()
+            if len(keys):
+                zero = np.zeros(len(keys), dtype=np.int64)
+                yield _batch_of(len(keys), kind=pa.array(["template"] * len(keys)), key=keys, ends=n if name == "ends" else zero, goes=n if name == "goes" else zero)
+
+
 def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         norm = normalizer(form_table())
+        kept: dict[str, list[np.ndarray]] = {"ends": [], "goes": []}
         for batch in batches:
             rows: list[tuple] = []
             piles: Counter = Counter()
@@ -233,14 +256,14 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                     if not raw or not raw.strip(EDGE):
                         continue
                     v = norm.scan(raw)[1] if SUSPECT.search(raw) else raw
-                    text = TRAIL.sub("", v)
+                    text = v if v[-1].isalnum() or v[-1] in _CLOSING else TRAIL.sub("", v)
                     lang = script(text)
                     known = ranks.get(lang) or ranks.get("*") or {}
                     lines = [x.strip() for x in BREAK.split(text) if x.strip()]
                     if not lines:
                         continue
                     cut = mark_of(text)
-                    stopped = not cut and bool(STOP.search(text))
+                    stopped = not cut and ends_sentence(text)
                     if not stopped:
                         lens = lengths(raw)
                         for e, n in zip(ENCODINGS, lens, strict=True):
@@ -259,7 +282,7 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                             mine = len(first)
                             first.append(len(flat))
                             flat += [get(w, KNOWN) for w in part]
-                            ended.append(sentence[-1] in ".!?؟" or STOP.search(sentence) is not None)
+                            ended.append(ends_sentence(sentence))
                             group.append(arabic)
                     if stopped:
                         continue
@@ -276,13 +299,13 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                 yield _batch_of(len(rows), kind=["tail"] * len(rows), id=c[0], site=c[1], field=c[2], cut=c[3], fine=fine, coarse=coarse, last=c[6], line=c[7], about=c[8], lens=c[9])
             open_ends = ~np.array(ended, dtype=bool)
             for full, prefixes in levels:
-                for name, values in (("ends", full[open_ends]), ("goes", prefixes)):
-                    keys, n = np.unique(values, return_counts=True)
-                    if len(keys):
-                        zero = np.zeros(len(keys), dtype=np.int64)
-                        yield _batch_of(len(keys), kind=pa.array(["template"] * len(keys)), key=keys, ends=n if name == "ends" else zero, goes=n if name == "goes" else zero)
+                kept["ends"].append(full[open_ends])
+                kept["goes"].append(prefixes)
+            if sum(map(len, kept["goes"])) > FLUSH:
+                yield from _template_rows(kept)
             if piles:
                 yield _batch_of(len(piles), kind=["pile"] * len(piles), field=[x[0] for x in piles], cut=[x[1] for x in piles], key=[x[2] for x in piles], ends=list(piles.values()))
+        yield from _template_rows(kept)
 
     return run
 
@@ -293,7 +316,7 @@ def _scanned(df: DataFrame, key: str, fields: tuple[str, ...], counts: DataFrame
     for r in top.collect():  # KNOWN words for each of the known languages
         ranks.setdefault(r["lang"], {})[r["word"]] = r["r"] - 1
     path = F.lower(F.regexp_extract("url", r"^\s*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*?)/?(?:index\.html?)?(?:[?#].*)?$", 1))
-    source = df.select(F.col(key).alias("id"), F.coalesce(site(F.col("url")), F.lit("")).alias("site__"), F.coalesce(path, F.lit("")).alias("path__"), *fields)
+    source = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.coalesce(site(F.col("url")), F.lit("")).alias("site__"), F.coalesce(path, F.lit("")).alias("path__"), *fields)
     return checkpointed(source.mapInArrow(_scan(list(fields), ranks), ROWS))
 
 
