@@ -26,6 +26,27 @@ def rows(records: DataFrame) -> DataFrame:
     return step.withColumn("valid", (F.col("url") != "") & (F.col("search_text") != "")).drop("keywords", "snippet")
 
 
+RECORD = "url string, page_url string, site_url string, domain string, title string, description string, keywords string, snippet string, content string, icon_url string"
+
+
+def read_requests(requests: DataFrame, request: str, body: str = "body") -> DataFrame:
+    """(request, pos, fields of RECORD) of JSON requests: an array of rows, an object with ``rows``, or one row.
+    Requests that aren't JSON, and those of no row or more than 100, give nothing."""
+    text_ = F.col(body)
+    listed = F.from_json(text_, f"array<struct<{RECORD.replace(' string', ': string')}>>")
+    inside = F.from_json(text_, f"rows array<struct<{RECORD.replace(' string', ': string')}>>")["rows"]
+    single = F.array(F.from_json(text_, RECORD))
+    rows_ = F.when(text_.rlike(r"^\s*\["), listed).when(F.get_json_object(text_, "$.rows").rlike(r"^\s*\["), inside).when(F.expr(f"try_parse_json({body})").isNotNull() & text_.rlike(r"^\s*\{"), single)
+    kept = requests.select(request, rows_.alias("rows__")).filter(F.size("rows__").between(1, MAX_ROWS))
+    return kept.select(request, F.posexplode("rows__").alias("pos", "r")).select(request, "pos", "r.*")
+
+
+def chunks(rows_: DataFrame, size: int = MAX_ROWS) -> DataFrame:
+    """``rows_`` with ``chunk``, a number shared by at most ``size`` neighbouring rows of one partition: no shuffle, no global order."""
+    number = F.monotonically_increasing_id()
+    return rows_.withColumn("chunk", F.xxhash64(F.shiftright(number, 33), F.floor(number.bitwiseAND((1 << 33) - 1) / size)))
+
+
 def accepted(ingest: DataFrame, request: str) -> DataFrame:
     """Rows of requests of 1 to 100 rows that are all valid: one bad row rejects its whole request."""
     per = ingest.groupBy(request).agg(F.bool_and("valid").alias("good"), F.count("*").alias("n")).filter(F.col("good") & (F.col("n") <= MAX_ROWS)).select(request)

@@ -38,6 +38,32 @@ def delete(table: DataFrame, rows: DataFrame, key: str = "id") -> DataFrame:
     return table.join(rows.select(key), key, "left_anti")
 
 
+def delete_shipped(table: DataFrame, shipped: DataFrame, key: str = "id") -> DataFrame:
+    """The table without the shipped rows; fails if the table doesn't hold each of them once."""
+    wanted = shipped.select(key).distinct()
+    there, n = table.join(wanted, key, "left_semi").count(), wanted.count()
+    if there != n:
+        raise ValueError(f"{n} rows were shipped, but {there} are there to delete")
+    return delete(table, wanted, key)
+
+
+def append_events(events: DataFrame, path: str) -> None:
+    """Page events as lines of JSON, added to those that are there."""
+    events.write.mode("append").json(path)
+
+
+def with_cursor(sites: DataFrame, cursors: DataFrame, key: str = "id") -> DataFrame:
+    """Sites with the discovery cursor replaced by ``cursors`` (key and the cursor's own columns) as JSON, where there is one."""
+    own = [c for c in cursors.columns if c != key]
+    written = cursors.select(key, F.to_json(F.struct(*own)).alias("new__"))
+    return sites.join(written, key, "left").withColumn("discovery_cursor", F.coalesce("new__", "discovery_cursor")).drop("new__")
+
+
+def split_columns(table: DataFrame, key: str, *groups: list[str]) -> tuple[DataFrame, ...]:
+    """One projection per group of columns, each with the key: a table split without its rows going apart."""
+    return tuple(table.select(key, *g).filter(F.col(key).isNotNull()) for g in groups)
+
+
 def stale(remote: DataFrame, local: DataFrame, key: str = "id") -> DataFrame:
     """Keys that the remote table holds and the local one doesn't any more."""
     return remote.select(key).join(local.select(key), key, "left_anti")

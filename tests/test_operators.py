@@ -60,6 +60,32 @@ def test_ingest(spark):
     assert ingest.search(index, ["second"], 2).first().url == "https://a.org/x"
 
 
+def test_requests(spark):
+    rows = [(1, '[{"url": "a.org", "title": "t"}, {"page_url": "b.org", "content": "c"}]'), (2, '{"rows": [{"url": "c.org"}]}'), (3, '{"url": "d.org", "title": "x"}'), (4, "not json"), (5, "[]"), (6, json.dumps([{"url": "e.org"}] * 101)), (7, None)]
+    got = ingest.read_requests(spark.createDataFrame(rows, "request int, body string"), "request")
+    assert [(r.request, r.pos, r.url or r.page_url) for r in got.orderBy("request", "pos").collect()] == [(1, 0, "a.org"), (1, 1, "b.org"), (2, 0, "c.org"), (3, 0, "d.org")]
+    sizes = ingest.chunks(spark.range(0, 1000, 1, 3), 100).groupBy("chunk").count().collect()
+    assert max(r["count"] for r in sizes) == 100 and sum(r["count"] for r in sizes) == 1000
+
+
+def test_shipping(spark, tmp_path):
+    table_ = spark.range(5).withColumn("discovery_cursor", F.lit("{}"))
+    assert state.delete_shipped(table_, spark.range(2)).count() == 3
+    try:
+        state.delete_shipped(table_, spark.range(4, 7))
+        raise AssertionError("rows that aren't there were deleted")
+    except ValueError:
+        pass
+    state.append_events(table_, str(tmp_path / "e"))
+    state.append_events(table_, str(tmp_path / "e"))
+    assert spark.read.json(str(tmp_path / "e")).count() == 10
+    cursors = spark.createDataFrame([(1, ["a"], 7)], "id long, pendingSitemaps array<string>, currentPageIndex int")
+    got = {r.id: r.discovery_cursor for r in state.with_cursor(table_, cursors).collect()}
+    assert json.loads(got[1]) == {"pendingSitemaps": ["a"], "currentPageIndex": 7} and got[0] == "{}"
+    left, right = state.split_columns(table_, "id", ["discovery_cursor"], [])
+    assert left.columns == ["id", "discovery_cursor"] and right.columns == ["id"]
+
+
 def test_frontier(spark):
     edges = spark.createDataFrame([("r", "a"), ("a", "b"), ("b", "r"), ("r", "b"), ("b", "c")], "parent string, child string")
     start = spark.createDataFrame([("r", "r")], "root string, node string")
