@@ -139,7 +139,13 @@ def _meta(root: Node, key: str, value: str) -> str:
 
 
 def _visible(root: Node) -> list[Node]:
-    """Elements below the body that no skipped element holds."""
+    """Elements below the body that no skipped element holds; found once for a document."""
+    if root.attrs.get("visible") is None:
+        root.attrs["visible"] = _find_visible(root)  # type: ignore[assignment]
+    return root.attrs["visible"]  # type: ignore[return-value]
+
+
+def _find_visible(root: Node) -> list[Node]:
     body = _first(root, "body") or root
     out, stack = [], [c for c in reversed(body.children) if isinstance(c, Node)]
     while stack:

@@ -48,17 +48,21 @@ def searchable(c: Column) -> Column:
     return collapse(text)
 
 
+def _let(value: Column, f) -> Column:
+    """``f(value)`` with the value computed once."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
 def without(text: Column, part: Column) -> Column:
     """All occurrences of ``part`` replaced by a space, where it isn't empty."""
-    return F.when((part.isNotNull()) & (part != ""), collapse(F.replace(text, part, F.lit(" ")))).otherwise(text)
+    return _let(text, lambda x: F.when((part.isNotNull()) & (part != ""), collapse(F.replace(x, part, F.lit(" ")))).otherwise(x))
 
 
 def summary(title: Column, description: Column, text: Column, most: int = 320) -> Column:
     """The text without redirect notice and title; else the description, else the title."""
-    body = collapse(F.regexp_replace(strip_tags(text), REDIRECT, ""))
-    body = without(body, title)
-    chosen = F.coalesce(F.nullif(body, F.lit("")), F.nullif(F.coalesce(description, F.lit("")), F.lit("")), F.coalesce(title, F.lit("")))
-    return trim(F.substring(chosen, 1, most))
+    body = without(collapse(F.regexp_replace(strip_tags(text), REDIRECT, "")), title)
+    other = F.coalesce(F.nullif(F.coalesce(description, F.lit("")), F.lit("")), F.coalesce(title, F.lit("")))
+    return _let(body, lambda x: trim(F.substring(F.when(x != "", x).otherwise(other), 1, most)))
 
 
 def content_lines(text: Column) -> Column:
@@ -72,8 +76,8 @@ def search_snippet(title: Column, description: Column, summary_: Column, text: C
     parts = F.filter(F.concat(F.array(lead), content_lines(text)), lambda x: x != "")
     body = collapse(F.array_join(parts, " "))
     name = F.coalesce(title, F.lit(""))
-    headed = F.when((name != "") & ~F.startswith(F.lower(body), F.lower(name)), F.concat(name, F.lit(" — "), body)).otherwise(body)
-    return F.substring(headed, 1, most)
+    headed = lambda x: F.when((name != "") & ~F.startswith(F.lower(x), F.lower(name)), F.concat(name, F.lit(" — "), x)).otherwise(x)
+    return _let(body, lambda x: F.substring(headed(x), 1, most))
 
 
 def letters(c: Column, kind: str) -> Column:

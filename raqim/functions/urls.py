@@ -186,14 +186,14 @@ def resolve(raw: Column, base: Column) -> Column:
     return F.when(ok, let(F.struct(trim(F.coalesce(raw, F.lit(""))).alias("r"), trim(F.coalesce(base, F.lit(""))).alias("b")), join)).otherwise("")
 
 
-def _assumed(raw: Column) -> Column:
-    r = trim(F.coalesce(raw, F.lit("")))
+def _assumed(r: Column) -> Column:
+    """A trimmed address, with https where it names no scheme."""
     return F.when(F.rlike(r, F.lit(r"(?i)^[a-z][a-z\d+.\-]*://")), r).otherwise(F.concat(F.lit("https://"), r))
 
 
 def site_domain(raw: Column) -> Column:
     """Host in lower case without ``www.``; https is assumed where no scheme is given."""
-    return F.when(trim(F.coalesce(raw, F.lit(""))) == "", "").otherwise(parts(_assumed(raw))["bare"])
+    return let(trim(F.coalesce(raw, F.lit(""))), lambda r: F.when(r == "", "").otherwise(parts(_assumed(r))["bare"]))
 
 
 def page_url(raw: Column) -> Column:
@@ -203,7 +203,7 @@ def page_url(raw: Column) -> Column:
         at = F.when(p["port"] == "", "").otherwise(F.concat(F.lit(":"), p["port"]))
         return F.when(_web(p), F.concat(p["scheme"], F.lit("://"), p["host"], at, p["path"], F.when(p["asked"], F.concat(F.lit("?"), p["query"])).otherwise(""))).otherwise("")
 
-    return F.when(trim(F.coalesce(raw, F.lit(""))) == "", "").otherwise(let(parts(_assumed(raw)), build))
+    return let(trim(F.coalesce(raw, F.lit(""))), lambda r: F.when(r == "", "").otherwise(let(parts(_assumed(r)), build)))
 
 
 def safe_url(raw: Column) -> Column:

@@ -20,10 +20,18 @@ def rows(records: DataFrame) -> DataFrame:
 
     clean = lambda c: text.collapse(c, MAX_TEXT)
     keep = [c for c in records.columns if c not in ("url", "title", "description", "icon_url", "keywords", "snippet", "content", "page_url", "site_url", "domain")]
-    step = records.select(*keep, urls.page_url(field("url", "page_url", "site_url", "domain")).alias("url"), clean(field("title")).alias("title"), clean(field("description")).alias("description"), clean(field("keywords")).alias("keywords"), clean(field("snippet", "content")).alias("snippet"), clean(field("icon_url")).alias("icon_url"))
-    parts = F.filter(F.array("title", "description", "keywords", "snippet", urls.site_domain(F.col("url"))), lambda x: x != "")
-    step = step.withColumn("search_text", clean(F.array_join(parts, " ")))
-    return step.withColumn("valid", (F.col("url") != "") & (F.col("search_text") != "")).drop("keywords", "snippet")
+    cleaned = F.struct(
+        urls.page_url(field("url", "page_url", "site_url", "domain")).alias("url"), clean(field("title")).alias("title"), clean(field("description")).alias("description"), clean(field("keywords")).alias("keywords"),
+        clean(field("snippet", "content")).alias("snippet"), clean(field("icon_url")).alias("icon_url"),
+    )
+
+    def build(x: Column) -> Column:
+        parts = F.filter(F.array(x["title"], x["description"], x["keywords"], x["snippet"], urls.site_domain(x["url"])), lambda y: y != "")
+        named = lambda t: F.struct(x["url"].alias("url"), x["title"].alias("title"), x["description"].alias("description"), x["icon_url"].alias("icon_url"), t.alias("search_text"), ((x["url"] != "") & (t != "")).alias("valid"))
+        return urls.let(clean(F.array_join(parts, " ")), named)
+
+    # one expression with bound parts: a filter on ``valid`` that is pushed below it computes each part once more, not many times
+    return records.select(*keep, urls.let(cleaned, build).alias("row__")).select(*keep, "row__.*")
 
 
 RECORD = "url string, page_url string, site_url string, domain string, title string, description string, keywords string, snippet string, content string, icon_url string"
