@@ -207,30 +207,40 @@ FIELDS = T.StructType(
 )
 
 
-def raw_fields(html: str | None) -> dict[str, object]:
-    root = parse(html)
+def _title(root: Node) -> str:
     title = _first(root, "title")
-    icon = next((n.attrs.get("href", "") for n in root.walk() if n.name == "link" and "icon" in n.attrs.get("rel", "").lower().split() and n.attrs.get("href")), "")
-    body = _first(root, "body") or root
-    return {
-        "title": title.text() if title else "", "og_title": _meta(root, "property", "og:title"), "description": _meta(root, "name", "description"), "og_description": _meta(root, "property", "og:description"),
-        "meta_keywords": _meta(root, "name", "keywords"), "icon": icon, "light_text": light_text(root), "useful_text": useful_text(root), "article_text": article_text(root),
-        "anchors": anchors(root), "content_anchors": anchors(root, True), "links": links(root), "text_length": len(_SPACE.sub(" ", body.text()).strip()),
-    }
+    return title.text() if title else ""
+
+
+def _icon(root: Node) -> str:
+    return next((n.attrs.get("href", "") for n in root.walk() if n.name == "link" and "icon" in n.attrs.get("rel", "").lower().split() and n.attrs.get("href")), "")
+
+
+_READ = {
+    "title": _title, "og_title": lambda r: _meta(r, "property", "og:title"), "description": lambda r: _meta(r, "name", "description"), "og_description": lambda r: _meta(r, "property", "og:description"),
+    "meta_keywords": lambda r: _meta(r, "name", "keywords"), "icon": _icon, "light_text": light_text, "useful_text": useful_text, "article_text": article_text, "anchors": anchors,
+    "content_anchors": lambda r: anchors(r, True), "links": links, "text_length": lambda r: len(_SPACE.sub(" ", (_first(r, "body") or r).text()).strip()),
+}
+
+
+def raw_fields(html: str | None, only: tuple[str, ...] = tuple(_READ)) -> dict[str, object]:
+    """The wanted raw fields of a document."""
+    root = parse(html)
+    return {name: _READ[name](root) for name in only}
 
 
-def fields(pages: DataFrame, html: str = "html") -> DataFrame:
-    """``pages`` without the document, with its raw fields as columns of FIELDS."""
+def fields(pages: DataFrame, html: str = "html", only: tuple[str, ...] = tuple(_READ)) -> DataFrame:
+    """``pages`` without the document, with its raw fields as columns; only those named are read."""
     keep = [c for c in pages.columns if c != html]
-    names = [f.name for f in FIELDS.fields]
+    names = [f.name for f in FIELDS.fields if f.name in only]
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for pdf in batches:
-            rows = [raw_fields(h if isinstance(h, str) else None) for h in pdf[html]]
+            rows = [raw_fields(h if isinstance(h, str) else None, tuple(names)) for h in pdf[html]]
             out = pdf[keep].reset_index(drop=True)
             for n in names:
                 out[n] = pd.Series([r[n] for r in rows], dtype="int32" if n == "text_length" else object)
             yield out
 
-    schema = T.StructType([pages.schema[c] for c in keep] + FIELDS.fields)
+    schema = T.StructType([pages.schema[c] for c in keep] + [FIELDS[n] for n in names])
     return pages.mapInPandas(run, schema)

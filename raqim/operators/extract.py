@@ -17,7 +17,7 @@ def _or(a: Column, b: Column) -> Column:
 
 def light(pages: DataFrame, url: str = "url", document: str = "html") -> DataFrame:
     """The production extraction: url, title, description, snippet, icon_url, content_hash, quality, beside the other columns."""
-    raw = html.fields(pages, document)
+    raw = html.fields(pages, document, ("title", "og_title", "description", "og_description", "icon", "light_text"))
     title = _or(text.strip_tags(F.col("title")), text.strip_tags(F.col("og_title")))
     description = F.substring(text.strip_tags(_or(F.col("description"), F.col("og_description"))), 1, DESCRIPTION)
     keep = [c for c in pages.columns if c not in (document,)]
@@ -40,7 +40,7 @@ def compact(extracted: DataFrame, url: str = "url") -> DataFrame:
 
 def rich(pages: DataFrame, url: str = "url", document: str = "html", content_type: str = "content_type") -> DataFrame:
     """The library extraction: title, description, summary, search_snippet, text, quality, language, links by kind, hash."""
-    raw = html.fields(pages, document)
+    raw = html.fields(pages, document, ("title", "og_title", "description", "og_description", "meta_keywords", "icon", "useful_text", "article_text", "content_anchors"))
     host = urls.bare_host(F.col(url))
     name = text.tidy(_or(text.tidy(F.col("title")), F.col("og_title")))
     named = F.when(name.rlike("(?i)^https?://"), F.concat(F.lit("موقع "), host)).otherwise(name)

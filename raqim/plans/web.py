@@ -163,7 +163,7 @@ def page_links(spark: SparkSession, d: str) -> DataFrame:
 
     rows = table(spark, d, "crawler_results").select("id", "url")
     page = F.concat(F.lit('<body><a href="'), F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit('">x</a><p><a href="/en/news">y<a href="/feed">z</a><a href="https://other.example/">o</a>'))
-    fields = html.fields(rows.withColumn("html", page))
+    fields = html.fields(rows.withColumn("html", page), "html", ("anchors",))
     links = sitemaps.page_links(fields, "id", "url", "url")
     return links.groupBy("id", F.coalesce("reason", F.lit("admitted")).alias("reason")).agg(F.count("*").alias("n"))
 
