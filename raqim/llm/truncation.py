@@ -8,6 +8,7 @@ Endings are then inspected.  A cut mark or note, a broken character, entity, tag
 ends without a stop is compared with the corpus: its last sentence is reduced to a template of its script's most
 frequent words, and the templates of *all* sentences say whether text that begins like this usually goes on (cut) or ends
 here (a headline, a notice).  A last word that is nowhere a whole word is a cut word.  Where neither tells, a limit does.
+Templates, last words and recurring lines are counted over different values, so copies of a value are no evidence about it.
 
 Edge cases: rows without a key are left out; null and empty values are not cut; values of repeated rows are judged alike; lines that recur through a site,
 lists, links, spam (problem 2) and template residue (problem 5) are not cut on account of how they end.
@@ -62,6 +63,8 @@ BASE_LIMITS = {"top": 0.25, "pairs": 0.25, "distinct": 0.75, "function": 0.0}
 ENCODINGS = ("characters", "utf8", "utf16", "html", "json", "crlf", "utf8_crlf", "html_utf8")
 #: A limit: at least so long, so many open values there, so many times the mean within 12 of it.
 LEAST_LIMIT, LEAST_PILE, PILE = 80, 8, 3.0
+#: A last line is the site's own if it follows so many different texts.
+OWN_LINE = 3
 
 
 _ARABIC = re.compile("[؀-ۿ]{2}")
@@ -120,8 +123,8 @@ def mark_of(tail: str) -> str:
     return ""
 
 
-def _template_hashes(ranks: np.ndarray, first: np.ndarray, group: np.ndarray, level: tuple[int, int]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of each sentence's template, hashes of all its proper prefixes), for all sentences at once.  ``ranks`` are the
+def _template_hashes(ranks: np.ndarray, first: np.ndarray, group: np.ndarray, level: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(hash of each sentence's template, sentence of each of its proper prefixes, their hashes), for all sentences at once.  ``ranks`` are the
     words' ranks, sentence by sentence; ``first`` is where each begins.  A template keeps the words of low rank and known ones
     among the first; a run of others is one gap."""
     most, raw = level
@@ -135,15 +138,16 @@ def _template_hashes(ranks: np.ndarray, first: np.ndarray, group: np.ndarray, le
     sizes = np.add.reduceat(keep.astype(np.int64), first) if len(first) else np.zeros(0, np.int64)
     starts = np.cumsum(sizes) - sizes
     h = group.astype(np.uint64) * np.uint64(1_000_003) + np.uint64(raw)
-    prefixes = []
+    owners, prefixes = [np.zeros(0, np.int64)], [np.zeros(0, np.uint64)]
     with np.errstate(over="ignore"):
         for i in range(int(sizes.max(initial=0))):
             live = np.nonzero(sizes > i)[0]
             if i:
+                owners.append(live)
                 prefixes.append(h[live])
             x = (h[live] ^ tokens[starts[live] + i]) * np.uint64(0x9E3779B97F4A7C15)
             h[live] = x ^ (x >> np.uint64(29))
-    return h.view(np.int64), (np.concatenate(prefixes) if prefixes else np.zeros(0, np.uint64)).view(np.int64)
+    return h.view(np.int64), np.concatenate(owners), np.concatenate(prefixes).view(np.int64)
 
 
 def _hash(text: str) -> int:
@@ -181,11 +185,11 @@ def word_counts(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     return df.select(*fields).mapInPandas(_count_words(list(fields), True), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-ROWS = "kind string, id long, site string, field string, cut string, fine long, coarse long, last string, line long, about string, lens array<int>, key long, ends long, goes long"
+ROWS = "kind string, id long, site string, field string, cut string, fine long, coarse long, last string, line long, before long, value long, about string, lens array<int>, key long, ends long, goes long"
 _ARROW = pa.schema(
     [
         ("kind", pa.string()), ("id", pa.int64()), ("site", pa.string()), ("field", pa.string()), ("cut", pa.string()), ("fine", pa.int64()), ("coarse", pa.int64()), ("last", pa.string()),
-        ("line", pa.int64()), ("about", pa.string()), ("lens", pa.list_(pa.int32())), ("key", pa.int64()), ("ends", pa.int64()), ("goes", pa.int64()),
+        ("line", pa.int64()), ("before", pa.int64()), ("value", pa.int64()), ("about", pa.string()), ("lens", pa.list_(pa.int32())), ("key", pa.int64()), ("ends", pa.int64()), ("goes", pa.int64()),
     ]
 )
 
@@ -241,6 +245,7 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         norm = normalizer(form_table())
         kept: dict[str, list[np.ndarray]] = {"ends": [], "goes": []}
+        seen: set[tuple[int, str]] = set()  # values counted, where rows are repeated
         for batch in batches:
             rows: list[tuple] = []
             piles: Counter = Counter()
@@ -248,10 +253,11 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
             first: list[int] = []
             ended: list[bool] = []
             group: list[bool] = []
+            counts: list[bool] = []  # whether the sentence's value is the one counted among its copies
             data = batch.to_pydict()
-            for i, (k, s, path) in enumerate(zip(data["id"], data["site__"], data["path__"], strict=True)):
+            for i, (k, s, path, counted) in enumerate(zip(data["id"], data["site__"], data["path__"], data["counted__"], strict=True)):
                 own = tuple(o for o in (path, s) if len(o) > 4)
-                for f in fields:
+                for bit, f in enumerate(fields):
                     raw = data[f][i]
                     if not raw or not raw.strip(EDGE):
                         continue
@@ -269,6 +275,9 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                         for e, n in zip(ENCODINGS, lens, strict=True):
                             piles[f, e, n] += 1
                     part: list[str] = []
+                    count = bool(counted >> bit & 1) and (k, f) not in seen
+                    if count:
+                        seen.add((k, f))
                     get = known.get
                     arabic = lang == "A"
                     mine = -1
@@ -284,6 +293,7 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                             flat += [get(w, KNOWN) for w in part]
                             ended.append(ends_sentence(sentence))
                             group.append(arabic)
+                            counts.append(count)
                     if stopped:
                         continue
                     tail = lines[-1]
@@ -291,16 +301,17 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                     if residue or _is_listing(text, tail):
                         continue
                     last = part[-1] if part and tail[-1:].isalnum() and not DIGITS.match(part[-1]) else ""
-                    rows.append((k, s, f, cut, mine, mine, f"{lang} {last}" if last else None, _hash(f"{s}\n{line_key(tail)}"), about or None, lens))
+                    rows.append((k, s, f, cut, mine, mine, f"{lang} {last}" if last else None, _hash(f"{s}\n{line_key(tail)}"), _hash(line_key(" ".join(lines[:-1]))) if len(lines) > 1 else 0, _hash(f"{f}\n{raw}"), about or None, lens))
             levels = [_template_hashes(np.array(flat, dtype=np.int64), np.array(first, dtype=np.int64), np.array(group, dtype=np.int64), x) for x in (FINE, COARSE)]
             if rows:
                 c = list(zip(*rows, strict=True))
                 fine, coarse = ([int(h[0][i]) if i >= 0 else 0 for i in c[4]] for h in levels)
-                yield _batch_of(len(rows), kind=["tail"] * len(rows), id=c[0], site=c[1], field=c[2], cut=c[3], fine=fine, coarse=coarse, last=c[6], line=c[7], about=c[8], lens=c[9])
-            open_ends = ~np.array(ended, dtype=bool)
-            for full, prefixes in levels:
+                yield _batch_of(len(rows), kind=["tail"] * len(rows), id=c[0], site=c[1], field=c[2], cut=c[3], fine=fine, coarse=coarse, last=c[6], line=c[7], before=c[8], value=c[9], about=c[10], lens=c[11])
+            once = np.array(counts, dtype=bool)
+            open_ends = ~np.array(ended, dtype=bool) & once
+            for full, owners, prefixes in levels:
                 kept["ends"].append(full[open_ends])
-                kept["goes"].append(prefixes)
+                kept["goes"].append(prefixes[once[owners]])
             if sum(map(len, kept["goes"])) > FLUSH:
                 yield from _template_rows(kept)
             if piles:
@@ -317,6 +328,11 @@ def _scanned(df: DataFrame, key: str, fields: tuple[str, ...], counts: DataFrame
         ranks.setdefault(r["lang"], {})[r["word"]] = r["r"] - 1
     path = F.lower(F.regexp_extract("url", r"^\s*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*?)/?(?:index\.html?)?(?:[?#].*)?$", 1))
     source = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.coalesce(site(F.col("url")), F.lit("")).alias("site__"), F.coalesce(path, F.lit("")).alias("path__"), *fields)
+    # one record of each different value counts for all its copies; only hashes are grouped for it
+    bits = F.array(*(F.struct(F.lit(1 << i).alias("bit"), F.xxhash64(f).alias("h")) for i, f in enumerate(fields)))
+    values = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.explode(bits).alias("v")).select("id", "v.bit", "v.h")
+    counted = values.groupBy("bit", "h").agg(F.min("id").alias("id")).groupBy("id").agg(F.bit_or("bit").alias("counted__"))
+    source = source.join(counted.hint("shuffle_hash"), "id", "left").withColumn("counted__", F.coalesce("counted__", F.lit(0)))
     return checkpointed(source.mapInArrow(_scan(list(fields), ranks), ROWS))
 
 
@@ -338,14 +354,14 @@ def truncated(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("snippe
 def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
     counts = checkpointed(word_counts(df, (*fields, *(e for e in extra if e in df.columns))))
     scanned = _scanned(df, key, fields, counts)
-    tails = scanned.filter("kind = 'tail'").select("id", "site", "field", "cut", "fine", "coarse", "last", "line", "about", "lens")
+    tails = scanned.filter("kind = 'tail'").select("id", "site", "field", "cut", "fine", "coarse", "last", "line", "before", "value", "about", "lens")
     templates = scanned.filter("kind = 'template'").groupBy("key").agg(F.sum("ends").alias("ends"), F.sum("goes").alias("goes"))
     found = limits(scanned).select("field", F.array_position(F.array(*map(F.lit, ENCODINGS)), F.col("encoding")).cast("int").alias("e"), F.col("length").cast("int").alias("length"))
     at = F.broadcast(found.groupBy("field").agg(F.collect_set(F.struct("e", "length")).alias("limits")))  # at most a few lengths an encoding
     open_ = tails.filter("cut = ''")
     # the site's own recurring lines, as they stand at the end of values
-    own = open_.groupBy("line").agg(F.countDistinct("id").alias("same")).filter("same >= 3").select("line", F.lit(True).alias("recurs"))
-    pieces = open_.filter("last is not null").groupBy("last").agg(F.count("*").alias("open_ends"))
+    own = open_.groupBy("line").agg(F.countDistinct("before").alias("texts")).filter(F.col("texts") >= OWN_LINE).select("line", F.lit(True).alias("recurs"))
+    pieces = open_.filter("last is not null").groupBy("last").agg(F.countDistinct("value").alias("open_ends"))
     words = counts.select(F.concat_ws(" ", "lang", "word").alias("last"), F.col("n").alias("whole"))
     judged = (
         open_.join(templates.select(F.col("key").alias("fine"), F.col("ends").alias("e1"), F.col("goes").alias("g1")), "fine", "left")
@@ -353,6 +369,7 @@ def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str,
         .join(words, "last", "left").join(pieces, "last", "left").join(own, "line", "left").join(at, "field", "left")
     )
     zero = F.lit(0)
+    # with all its copies, the value itself is one of the ends
     e1, g1, e2, g2 = (F.coalesce(c, zero) for c in ("e1", "g1", "e2", "g2"))
     limited = F.coalesce(F.exists("limits", lambda x: (F.element_at("lens", x["e"]) == x["length"]) | (F.element_at("lens", x["e"]) == x["length"] - 1)), F.lit(False))
     # a cut word is nowhere whole (nor a habitual last word), or is a stump that open ends have more often than sentences do
@@ -367,11 +384,11 @@ def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str,
         .when(goes_on, F.lit("sentence"))
         .when(limited & ~ends_here & ~F.coalesce("recurs", F.lit(False)), F.lit("limit"))
     )
-    judged = judged.withColumn("cut", cut).filter("cut is not null").select("id", "site", "field", "cut", "about")
-    all_ = tails.filter("cut <> ''").select("id", "site", "field", "cut", "about").union(judged)
+    judged = judged.withColumn("cut", cut).filter("cut is not null").select("id", "site", "field", "cut", "about", "value")
+    all_ = tails.filter("cut <> ''").select("id", "site", "field", "cut", "about", "value").union(judged)
     # placeholders with words on both sides are residue unless the same words surround them in record after record
-    text_about = all_.filter("about is not null").groupBy("about").agg(F.countDistinct("id").alias("n")).filter("n >= 2").select("about")
-    kept = all_.filter("about is null").union(all_.filter("about is not null").join(text_about, "about", "left_semi").select("id", "site", "field", "cut", "about"))
+    text_about = all_.filter("about is not null").groupBy("about").agg(F.countDistinct("value").alias("n")).filter("n >= 2").select("about")
+    kept = all_.filter("about is null").select("id", "site", "field", "cut", "about").union(all_.filter("about is not null").join(text_about, "about", "left_semi").select("id", "site", "field", "cut", "about"))
     return kept.select("id", "site", "field", "cut"), scanned
 
 

@@ -38,3 +38,13 @@ def test_edges(spark):
     assert T.truncated(df).count() == 0 and T.report(df).count() == 0
     df = spark.createDataFrame([(1, None, None, None, None, None), (2, "u", None, "a b. " * 40_000, "x" * 50_000 + ".", None)], SCHEMA)
     assert T.truncated(df).count() == 0
+
+
+def test_copies_are_no_evidence(spark):
+    u = "https://s1.example/x"
+    sentence, word = "Demand for tea in Leeds grew by", "The committee in Bath reviews tea before the holiday.\nDemand for maps in York grew by 5 perc"
+    rows = corpus() + [(i, u, "t", sentence, None, "") for i in range(1, 401)] + [(i, u, "t", word, None, "") for i in range(401, 801)]
+    rows += [(i, f"https://s{i % 7}.example/m", "t", "Demand for books in Ely grew by", None, "") for i in range(801, 900)]
+    rows += [(i, "https://s9.example/y", "t", f"The committee in {NAMES[i % 6]} reviews tea before the holiday. Seen {'ab' * (i - 899)} now.\nDemand for tea in Leeds grew by", None, "") for i in range(900, 910)]
+    got = {(r.id, r.field) for r in T.truncated(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {(i, "snippet") for i in range(1, 900)}  # the last ten end with a line of their site
