@@ -3,12 +3,14 @@
 Lines of one template are *aligned*: what varies from record to record (paths, hosts, numbers, codes, and the placeholder
 itself) is masked, and lines with the same remaining words form a template.  Its masked positions are the slots.
 
-* A slot that retains a variable name, a default or a blank is residue.  A placeholder that stands at the same place of
-  the same words in record after record, where no record ever has anything else, is no slot but part of a text about
-  placeholders, and is not marked.
+* A slot that retains a variable name, a default or a blank is residue.  A placeholder among words whose sentence speaks
+  of variables, templates or how they are written is no slot but part of a text about placeholders, and is not marked:
+  with two such words at once, with one if the same words surround it in several different texts.  However often it is
+  repeated, a placeholder without such words is marked.
 * A whole-page template (error, maintenance, default page, script notice, browser check) is one whose words come from the
   server, with the request's path or the host in its slot: a line that repeats the record's own path or host, in a
-  template that several records share or whose words are known messages.
+  template that several records share or whose words are known messages.  Without a path or host, a short snippet that is
+  nothing but a known title, or a known message that several sites share word for word, is one too.
 * A title is compared as a whole, without the site's name, with the known messages, and with titles that mostly head
   records whose text is such a page.
 
@@ -22,6 +24,7 @@ import re
 from collections.abc import Iterator
 
 import pandas as pd
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -79,6 +82,15 @@ NAME = re.compile(r"[a-z0-9]\.[a-z]|\.\.\. noscript|\(most recent|Uncaught|\(\):
 BREAK = re.compile(r"\r\n|\n|\r")
 SUFFIX = re.compile(r" (?:\||-|–|—|::|·|») [^|]*$")
 WORDS = re.compile(r"[^\W_]+")
+#: Words of texts about placeholders, as they are searched in the sentence around one.
+ABOUT = re.compile(
+    r"\b(?:placeholders?|templates?|templating|variables?|syntax|written as|write it as|merge (?:tags?|fields?)|double braces|curly braces|markup|modèles?|gabarits?|syntaxe|s'écrit|balises?|accolades|espaces? réservés?|"
+    r"vorlagen?|platzhalter|variablen?|plantillas?|marcador(?:es)?|modelos?|variáveis|variável|шаблон\w*|переменн\w*|skabelon\w*|variabel\w*)\b|القوالب|قوالب|القالب|المتغيرات|متغيرات|المتغير|العناصر النائبة|الصيغة البرمجية|متغیر|قالب‌",
+    re.IGNORECASE,
+)
+SENTENCES = re.compile(r"(?<=[.!?؟])\s+|[\r\n]+")
+#: A whole-snippet message without a path is at most so long.
+MESSAGE_LENGTH = 160
 MIN_SHARED = 3
 ABOUT_MIN = 3
 #: A title heads error pages if so many of its records, on so many sites, are such pages.
@@ -141,6 +153,27 @@ def _contexts(line: str) -> list[str]:
     return out
 
 
+def _spoken_of(line: str) -> list[int]:
+    """For each placeholder, in order: how many different words of its sentence, two at most, speak of placeholders."""
+    hits = [m.start() for m in PLACEHOLDER.finditer(line)]
+    bare = PLACEHOLDER.sub(lambda m: "\x02" * len(m.group()), line)
+    ends = [m.start() for m in SENTENCES.finditer(bare)]
+    out = []
+    for at in hits:
+        start, end = max((e for e in ends if e < at), default=0), min((e for e in ends if e > at), default=len(bare))
+        out.append(min(2, len({m.group().lower() for m in ABOUT.finditer(bare[start:end])})))
+    return out
+
+
+def _placeholders(out: list, k: int, s: str, field: str, line: str, text: str) -> None:
+    found = _contexts(line)
+    if found:
+        shape = xxhash.xxh64_intdigest(mask(text)) - (1 << 63)
+        for c, n in zip(found, _spoken_of(line), strict=True):
+            if not c or n < 2:
+                out.append((k, s, field, "placeholder", c, not c or not n, shape))
+
+
 def _candidates(rules: dict[str, str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         norm = normalizer(rules)
@@ -157,6 +190,7 @@ def _candidates(rules: dict[str, str]):
                 {
                     "id": pd.Series([r[0] for r in out], dtype="int64"), "site": pd.Series([r[1] for r in out], dtype=object), "field": pd.Series([r[2] for r in out], dtype=object),
                     "rule": pd.Series([r[3] for r in out], dtype=object), "template": pd.Series([r[4] for r in out], dtype=object), "sure": pd.Series([r[5] for r in out], dtype=bool),
+                    "shape": pd.Series([r[6] for r in out], dtype="int64"),
                 }
             )
 
@@ -166,12 +200,17 @@ def _candidates(rules: dict[str, str]):
 def _snippet(out: list, k: int, s: str, path: str, text: str) -> None:
     pieces = BREAK.split(text)
     if (len(text) < 200 and is_empty_value(text)) or any(trailing_empty(x) for x in pieces if x[-1:] in "dlnNLaAtT])D" and x):
-        out.append((k, s, "snippet", "empty", "", True))
+        out.append((k, s, "snippet", "empty", "", True, 0))
     if is_filler(text):
-        out.append((k, s, "snippet", "filler", "", True))
+        out.append((k, s, "snippet", "filler", "", True, 0))
+    if len(text) <= MESSAGE_LENGTH:
+        whole = mask(text.lower())
+        if TITLES.fullmatch(title_core(text)):
+            out.append((k, s, "snippet", "page", whole, True, 0))
+        elif MESSAGES.search(re.sub(r"\d+", "0", text.lower())):
+            out.append((k, s, "snippet", "page", whole, False, 0))
     for line in pieces:
-        for c in _contexts(line):
-            out.append((k, s, "snippet", "placeholder", c, not c))
+        _placeholders(out, k, s, "snippet", line, text)
         if "/" not in line and not NAME.search(line):
             continue
         low = line.lower()
@@ -184,41 +223,40 @@ def _snippet(out: list, k: int, s: str, path: str, text: str) -> None:
                 shape = mask(part)
                 said = MESSAGES.search(shape.replace("\x04", "/p").replace("\x03", "h")) or (message and MESSAGES.search(low))
                 if has and said:
-                    out.append((k, s, "snippet", "page", shape, True))
+                    out.append((k, s, "snippet", "page", shape, True, 0))
                 elif has and own:
-                    out.append((k, s, "snippet", "page", shape, False))
+                    out.append((k, s, "snippet", "page", shape, False, 0))
             if WHOLE.search(re.sub(r"\d+", "0", low)):
-                out.append((k, s, "snippet", "page", mask(low), True))
+                out.append((k, s, "snippet", "page", mask(low), True, 0))
 
 
 def _title(out: list, k: int, s: str, text: str) -> None:
     core = title_core(text)
     bare = SUFFIX.sub("", " ".join(text.split()))
     if len(text) < 120 and (is_empty_value(text) or is_empty_value(bare)):
-        out.append((k, s, "title", "empty", core, True))
+        out.append((k, s, "title", "empty", core, True, 0))
     if is_filler(text):
-        out.append((k, s, "title", "filler", core, True))
-    for c in _contexts(text):
-        out.append((k, s, "title", "placeholder", c, not c))
+        out.append((k, s, "title", "filler", core, True, 0))
+    _placeholders(out, k, s, "title", text, text)
     if TITLES.fullmatch(core):
-        out.append((k, s, "title", "page", core, True))
-    out.append((k, s, "title", "head", core, False))
+        out.append((k, s, "title", "page", core, True, 0))
+    out.append((k, s, "title", "head", core, False, 0))
 
 
 def residue(df: DataFrame, key: str = "id") -> DataFrame:
     """(id, field, rule) of each value that holds residue; a value may be marked by several rules."""
     path = F.lower(F.regexp_extract("url", r"^\s*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*?)/?(?:index\.html?)?(?:[?#].*)?$", 1))
     source = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.coalesce(site(F.col("url")), F.lit("")).alias("site__"), F.coalesce(path, F.lit("")).alias("path__"), "title", "snippet")
-    rows = source.mapInPandas(_candidates(form_table()), "id long, site string, field string, rule string, template string, sure boolean")
+    rows = source.mapInPandas(_candidates(form_table()), "id long, site string, field string, rule string, template string, sure boolean, shape long")
     found = checkpointed(rows)
     sure = found.filter("sure").select("id", "field", "rule")
 
-    # placeholders among words: the aligned records decide whether the place is a slot
+    # placeholders among words, of which one speaks of placeholders: different texts decide whether the place is a slot
     placed = found.filter("rule = 'placeholder' and not sure")
-    about = placed.groupBy("template").agg(F.countDistinct("id").alias("records")).filter(F.col("records") >= ABOUT_MIN)
+    about = placed.groupBy("template").agg(F.countDistinct("shape").alias("texts")).filter(F.col("texts") >= ABOUT_MIN)
     slots = placed.join(about.hint("shuffle_hash"), "template", "left_anti").select("id", "field", "rule")
 
-    # whole-page templates without a known message: shared by several sites, each with its own path or host in the slot
+    # whole-page templates without a known message and messages without a path: shared by several sites
     shapes = found.filter("rule = 'page' and not sure and field = 'snippet'")
     shared = shapes.groupBy("template").agg(F.countDistinct("site").alias("sites")).filter(F.col("sites") >= MIN_SHARED)
     pages = shapes.join(shared, "template", "left_semi").select("id", "field", "rule")

@@ -30,3 +30,18 @@ def test_edges(spark):
     assert R.residue(spark.createDataFrame([], SCHEMA)).count() == 0
     df = spark.createDataFrame([(1, None, None, None, None), (2, P, "x" * 100_000, "y " * 100_000, None)], SCHEMA)
     assert R.residue(df).count() == 0
+
+
+def test_repeated_leaks_stay_marked(spark):
+    leak = [(i, f"https://s{i}.example/p", "t", f"Welcome to {{{{ site_name }}}} in Cairo, guest {'abcdef'[i]}.", "") for i in range(6)] + [(10 + i, P, "t", "Opening hours of ${SHOP} in Leeds are long.", "") for i in range(3)]
+    about = [(20, P, "t", "In this lesson a template variable is written as {{ name }} and filled in by a portal.", "")]
+    about += [(21 + i, P, "t", f"The {'abc'[i]} team shows how templates get {{{{ city }}}} from a table.", "") for i in range(3)]
+    got = {(r.id, r.field) for r in R.residue(spark.createDataFrame(leak + about, SCHEMA)).collect()}
+    assert got == {(i, "snippet") for i, *_ in leak}
+
+
+def test_messages_without_a_path(spark):
+    rows = [(i, f"https://s{i}.example/p{i}", "Tea " + "abcd"[i], "You need to enable JavaScript to run this app.", "") for i in range(4)] + [(5, P, "t", "Access denied", "")]
+    fine = [(9, P, "t", "Readers learn how to enable JavaScript in an old browser.", "")]
+    got = {(r.id, r.field) for r in R.residue(spark.createDataFrame(rows + fine, SCHEMA)).collect()}
+    assert got == {(i, "snippet") for i, *_ in rows}
