@@ -145,7 +145,7 @@ def _first_keys(threshold: float):
             sizes, fold = _fold(pdf["words"])
             ids = pdf["id"].to_numpy()
             least, most = sizes + np.ceil(sizes * threshold - 1e-9), sizes + np.floor(sizes / threshold + 1e-9)
-            for scheme, (g, lo, hi) in enumerate(ladder(int(sizes.max()), threshold)):
+            for scheme, (g, lo, hi) in enumerate(ladder(int(most.max()), threshold)):  # partners may be in other batches and larger
                 part = (least <= hi) & (most > lo)
                 if not part.any():
                     continue

@@ -1,5 +1,8 @@
 import random
 
+import numpy as np
+import pandas as pd
+
 from raqim.llm import neardup as N
 
 SCHEMA = "id long, url string, title string, snippet string, a long"
@@ -58,3 +61,12 @@ def test_edges(spark):
     long = " ".join(f"w{i}" for i in range(3000))
     same = spark.createDataFrame([(1, "", long, None, 0), (2, "", None, long, 0), (2, "", None, long, 0)], SCHEMA)
     assert [tuple(r) for r in N.duplicate_pairs(same).collect()] == [(1, 2)]
+
+
+def test_partners_of_other_batches_share_a_key():
+    for a, b in ((48, 60), (24, 32), (150, 199), (600, 800)):
+        keys = []
+        for i, n in enumerate((a, b)):
+            batch = pd.DataFrame({"id": [i], "words": [np.arange(n, dtype=np.int32) * 7919]})
+            keys.append({(k, s) for part in N._first_keys(0.75)([batch]) for k, s in zip(part["key"], part["scheme"], strict=True)})
+        assert keys[0] & keys[1], (a, b)
