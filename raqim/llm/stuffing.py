@@ -130,6 +130,24 @@ def is_stuffed(unit: str, f: tuple, limits: dict[str, float]) -> bool:
     return n >= 6 and top >= 0.4 and function < 0.1
 
 
+def repeats(parts: list[str]) -> list[float]:
+    """For each unit of a snippet: the share of its words in phrases of three that the whole snippet has three times or more; 1 if
+    the unit itself is so frequent."""
+    words = [WORD.findall(u.lower()) for u in parts]
+    if sum(map(len, words)) < 6:
+        return [0.0] * len(parts)
+    same = Counter(map(tuple, words))
+    phrases = Counter(p for w in words for p in zip(w, w[1:], w[2:]))  # noqa: B905
+    out = []
+    for w in words:
+        inside: set[int] = set()
+        for i, p in enumerate(zip(w, w[1:], w[2:])):  # noqa: B905
+            if phrases[p] >= 3:
+                inside.update((i, i + 1, i + 2))
+        out.append(1.0 if w and same[tuple(w)] >= 3 else len(inside) / max(1, len(w)))
+    return out
+
+
 def keyword_repeats(keywords: str) -> int:
     """How often the most frequent keyword occurs."""
     terms = [" ".join(t.lower().split()) for t in KEYWORDS.split(keywords)]
@@ -137,7 +155,7 @@ def keyword_repeats(keywords: str) -> int:
     return max(counts.values(), default=0)
 
 
-UNITS = "id long, lang string, unit string, chars int, words int, top double, pairs double, distinct double, function double, links double, separators double, ends boolean"
+UNITS = "id long, lang string, unit string, chars int, words int, top double, pairs double, distinct double, function double, links double, separators double, ends boolean, again double"
 
 
 def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -150,8 +168,9 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             text = PLACEHOLDER.sub("x", norm.scan(s)[1] if SUSPECT.search(s) else s)
             lang = tongue(text)
-            for u in units(text):
-                out.append((k, lang, u, len(u), *features(u, lang)))
+            parts = units(text)
+            for u, again in zip(parts, repeats(parts), strict=True):
+                out.append((k, lang, u, len(u), *features(u, lang), again))
         frame = pd.DataFrame(out, columns=names)
         yield frame.astype({"id": "int64", "chars": "int32", "words": "int32", "ends": bool}) if len(out) else frame.astype({"id": "int64"})
 
@@ -159,20 +178,21 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 def limits_by_language(found: DataFrame) -> DataFrame:
     """Limits of each language from the units that end like sentences, and of all together as language '*'."""
     sentences = found.filter("ends and words >= 6 and links < 0.2")
-    both = sentences.select("lang", "top", "pairs", "distinct", "function").unionByName(sentences.select(F.lit("*").alias("lang"), "top", "pairs", "distinct", "function"))
+    both = sentences.select("lang", "top", "pairs", "distinct", "function", "again").unionByName(sentences.select(F.lit("*").alias("lang"), "top", "pairs", "distinct", "function", "again"))
     return both.groupBy("lang").agg(
         F.count("*").alias("n"),
         F.percentile_approx("top", 0.995).alias("top"),
         F.percentile_approx("pairs", 0.995).alias("pairs"),
         F.percentile_approx("distinct", 0.005).alias("distinct"),
         F.percentile_approx("function", 0.02).alias("function"),
+        F.percentile_approx("again", 0.995).alias("again"),
     )
 
 
 def _limits(found: DataFrame) -> dict[str, dict[str, float]]:
     """The limits as a dictionary; one row per known language, so its size is bounded by the list above."""
     rows = {r["lang"]: r.asDict() for r in limits_by_language(found).collect()}
-    base = {"top": 0.34, "pairs": 0.2, "distinct": 0.7, "function": 0.0}
+    base = {"top": 0.34, "pairs": 0.2, "distinct": 0.7, "function": 0.0, "again": 0.5}
     out = {}
     for lang in [*_FUNCTION, "", "*"]:
         r = rows.get(lang)
@@ -181,7 +201,7 @@ def _limits(found: DataFrame) -> dict[str, dict[str, float]]:
         if not r or r["n"] < MIN_UNITS:
             r = base
         # sentences of one language may all be regular; the floors keep a limit from lying inside ordinary prose
-        out[lang] = {"top": max(0.25, r["top"]), "pairs": max(0.25, r["pairs"]), "distinct": min(0.75, r["distinct"]), "function": r["function"]}
+        out[lang] = {"top": max(0.25, r["top"]), "pairs": max(0.25, r["pairs"]), "distinct": min(0.75, r["distinct"]), "function": r["function"], "again": min(0.8, max(0.5, r["again"]))}
     return out
 
 
@@ -195,7 +215,8 @@ def stuffing(df: DataFrame, key: str = "id", share: float = 0.5, max_term: int =
         columns = ["words", "top", "pairs", "distinct", "function", "links", "separators", "ends"]
         for pdf in batches:
             rows = pdf[columns].itertuples(index=False, name=None)
-            bad = [is_stuffed(u, f, limits.get(lang, limits["*"])) for u, lang, f in zip(pdf["unit"], pdf["lang"], rows, strict=True)]
+            own = [limits.get(lang, limits["*"]) for lang in pdf["lang"]]
+            bad = [again > x["again"] or is_stuffed(u, f, x) for u, x, f, again in zip(pdf["unit"], own, rows, pdf["again"], strict=True)]
             yield pd.DataFrame({"id": pdf["id"], "chars": pdf["chars"], "bad": pdf["chars"] * pd.Series(bad, dtype="int32", index=pdf.index)})
 
     shares = found.mapInPandas(judge, "id long, chars long, bad long").groupBy("id").agg((F.sum("bad") / F.sum("chars")).alias("stuffed"))

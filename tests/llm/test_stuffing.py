@@ -17,3 +17,11 @@ def test_edges(spark):
     assert S.stuffing(spark.createDataFrame([], SCHEMA)).count() == 0
     df = spark.createDataFrame([(1, "word " * 50_000, "k," * 10_000, None), (1, "word " * 50_000, "k," * 10_000, None), (2, " \n ", " , ", None)], SCHEMA)
     assert [(r.id, r.spam) for r in S.stuffing(df).orderBy("id").collect()] == [(1, True), (2, False)]
+
+
+def test_repeated_sentences_and_lines(spark):
+    spam = ["Buy cheap shoes now! " * 10, "\n".join(["The best price for shoes in Leeds"] * 6)]
+    fine = [PROSE, PROSE + " " + PROSE, ARABIC]
+    rows = [(i, s, None, None) for i, s in enumerate(spam)] + [(100 + i, s, None, None) for i, s in enumerate(fine)]
+    got = {r.id for r in S.stuffing(spark.createDataFrame(rows, SCHEMA)).filter("spam").collect()}
+    assert got == {0, 1}
