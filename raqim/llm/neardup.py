@@ -134,7 +134,7 @@ def _keys(values: np.ndarray, group: int, errors: int) -> Iterator[np.ndarray]:
         yield k
 
 
-KEYS = "key long, id long, fold long, size int, scheme byte, grp short"
+KEYS = "key long, id long, fold long, size int, scheme byte, grp int"
 
 
 def _first_keys(threshold: float):
@@ -152,7 +152,7 @@ def _first_keys(threshold: float):
                 values = _chunk_values(pdf["words"][part], g)[1]
                 for group in range(g):
                     for k in _keys(values, group, 1):
-                        yield pd.DataFrame({"key": k.view(np.int64), "id": ids[part], "fold": fold[part].view(np.int64), "size": sizes[part].astype(np.int32), "scheme": np.int8(scheme), "grp": np.int16(group)})
+                        yield pd.DataFrame({"key": k.view(np.int64), "id": ids[part], "fold": fold[part].view(np.int64), "size": sizes[part].astype(np.int32), "scheme": np.int8(scheme), "grp": np.int32(group)})
 
     return run
 
@@ -171,11 +171,13 @@ def _second_keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                         yield pd.DataFrame({"key": _mixed(first ^ (k << np.uint64(1)), 5).view(np.int64), "id": part["id"], "fold": part["fold"], "size": part["size"], "scheme": part["scheme"], "grp": part["grp"]})
 
 
-FOUND = "a long, b long, key long, id long, fold long, size int, scheme byte, grp short"
+FOUND = "a long, b long, key long, id long, fold long, size int, scheme byte, grp int"
 
 
 def _compare(ids: np.ndarray, fold: np.ndarray, size: np.ndarray, threshold: float, blocks: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of one bucket whose folded signatures lie within the distance bound of their sizes."""
+    """Pairs of one bucket whose folded signatures lie within the distance bound of their sizes; of two ``blocks``, only those between them."""
+    if blocks is not None and (blocks == blocks[0]).all():
+        blocks = None
     left, right = [], []
     for i in range(len(ids) - 1):
         total = size[i + 1 :] + size[i]
@@ -216,7 +218,7 @@ def _small(starts: np.ndarray, ends: np.ndarray, ids: np.ndarray, fold: np.ndarr
 
 def _pairs_frame(a: np.ndarray, b: np.ndarray, hot: pd.DataFrame | None = None) -> pd.DataFrame:
     out = pd.DataFrame({"a": pd.Series(a, dtype="Int64"), "b": pd.Series(b, dtype="Int64")})
-    for c, kind in (("key", "Int64"), ("id", "Int64"), ("fold", "Int64"), ("size", "Int32"), ("scheme", "Int8"), ("grp", "Int16")):
+    for c, kind in (("key", "Int64"), ("id", "Int64"), ("fold", "Int64"), ("size", "Int32"), ("scheme", "Int8"), ("grp", "Int32")):
         out[c] = pd.Series([None] * len(out), dtype=kind)
     if hot is None or not len(hot):
         return out
@@ -225,7 +227,8 @@ def _pairs_frame(a: np.ndarray, b: np.ndarray, hot: pd.DataFrame | None = None)
 
 
 def _buckets(threshold: float, most: int, blocked: bool = False):
-    """Compare a stream sorted by key: buckets of up to ``most`` rows give pairs, rows of larger ones come out as hot."""
+    """Compare a stream sorted by key: buckets of up to ``most`` rows give pairs, rows of larger ones come out as hot.
+    ``blocked``: ``grp`` is the row's block, and a bucket is a block or a pair of blocks."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rest: pd.DataFrame | None = None
@@ -253,11 +256,12 @@ def _buckets(threshold: float, most: int, blocked: bool = False):
         done = len(starts) - int(last_open)
         ids, fold, size = pdf["id"].to_numpy(), pdf["fold"].to_numpy().view(np.uint64), pdf["size"].to_numpy().astype(np.int64)
         pick = ~large[:done] & (sizes[:done] > 1)
-        little = pick & (sizes[:done] <= 64)
+        little = pick & (sizes[:done] <= 64) & (not blocked)
+        block = pdf["grp"].to_numpy() if blocked else None
         left, right = _small(starts[:done][little], ends[:done][little], ids, fold, size, threshold)
         for i in np.nonzero(pick & ~little)[0]:
             s, e = starts[i], ends[i]
-            a, b = _compare(ids[s:e], fold[s:e], size[s:e], threshold)
+            a, b = _compare(ids[s:e], fold[s:e], size[s:e], threshold, None if block is None else block[s:e])
             left.append(a)
             right.append(b)
         a = np.concatenate(left) if left else np.zeros(0, np.int64)
@@ -275,16 +279,16 @@ def _buckets(threshold: float, most: int, blocked: bool = False):
 
 
 def _block_pairs(hot: DataFrame, threshold: float, most: int) -> DataFrame:
-    """What two groups of chunks leave too common: each bucket in blocks, each pair of blocks a task of its own."""
+    """What two groups of chunks leave too common: each bucket in blocks, each block and each pair of blocks a task of its own."""
     n = hot.groupBy("key").agg(F.ceil(F.count("*") / (most // 2)).cast("int").alias("n"))
-    rows = hot.join(n, "key").withColumn("block", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
+    rows = hot.join(n, "key").withColumn("grp", F.pmod(F.xxhash64("id"), F.col("n")).cast("int"))
     each = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n") - 1)))
-    each = each.withColumn("key", F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")))
-    return _joined(each.select("key", "id", "fold", "size", "scheme", "grp"), threshold, 1 << 30)
+    each = each.withColumn("key", F.xxhash64("key", F.least("grp", "other"), F.greatest("grp", "other")))
+    return _joined(each.select("key", "id", "fold", "size", "scheme", "grp"), threshold, 1 << 30, blocked=True)
 
 
-def _joined(keys: DataFrame, threshold: float, most: int) -> DataFrame:
-    return keys.repartition("key").sortWithinPartitions("key").mapInPandas(_buckets(threshold, most), FOUND)
+def _joined(keys: DataFrame, threshold: float, most: int, blocked: bool = False) -> DataFrame:
+    return keys.repartition("key").sortWithinPartitions("key").mapInPandas(_buckets(threshold, most, blocked), FOUND)
 
 
 def candidates(sets: DataFrame, threshold: float = THRESHOLD, most: int = MAX_BUCKET) -> DataFrame:
@@ -300,48 +304,62 @@ def candidates(sets: DataFrame, threshold: float = THRESHOLD, most: int = MAX_BU
 
 
 def similar_pairs(sets: DataFrame, threshold: float = THRESHOLD, most: int = MAX_BUCKET) -> DataFrame:
-    """(a, b, similarity) of the pairs of different word sets that reach the threshold; ids are of ``sets``."""
-    words = sets.select("id", "words")
-    both = candidates(sets, threshold, most).join(words.withColumnsRenamed({"id": "a", "words": "wa"}), "a").join(words.withColumnsRenamed({"id": "b", "words": "wb"}), "b")
+    """(a, b, similarity) of the pairs of different word sets that reach the threshold; ids are of ``sets``.  Where ``sets`` has a
+    column n, the number of copies, its values come out as na and nb."""
+    own = [c for c in sets.columns if c == "n"]
+    words = sets.select("id", "words", *own)
+    left, right = (words.withColumnsRenamed({"id": x, "words": f"w{x}", "n": f"n{x}"}) for x in "ab")
+    both = candidates(sets, threshold, most).join(left, "a").join(right, "b")
     shared = F.size(F.array_intersect("wa", "wb"))
-    return both.select("a", "b", (shared / (F.size("wa") + F.size("wb") - shared)).alias("similarity")).filter(F.col("similarity") >= threshold - 1e-12)
+    similar = both.select("a", "b", (shared / (F.size("wa") + F.size("wb") - shared)).alias("similarity"), *(f"n{x}" for x in "ab" if own))
+    return similar.filter(F.col("similarity") >= threshold - 1e-12)
 
 
 def near_duplicates(df: DataFrame, key: str = "id", threshold: float = THRESHOLD, min_words: int = MIN_WORDS, most: int = MAX_BUCKET) -> tuple[DataFrame, DataFrame]:
-    """(members: id, class id of equal word sets; links: a, b, similarity between classes).  A class is named by its least id."""
+    """(members: id, class id of equal word sets, n members of it; links: a, b, similarity between classes, na, nb).  A class is
+    named by its least id."""
     all_sets = checkpointed(word_sets(df, key, min_words=min_words).dropDuplicates(["id"]))
-    classes = all_sets.groupBy("content").agg(F.min("id").alias("class"))
-    members = all_sets.select("id", "content").join(classes, "content").select("id", "class")
-    sets = all_sets.join(classes, (all_sets["content"] == classes["content"]) & (all_sets["id"] == classes["class"]), "left_semi")
+    classes = all_sets.groupBy("content").agg(F.min("id").alias("class"), F.count("*").alias("n"))
+    members = all_sets.select("id", "content").join(classes, "content").select("id", "class", "n")
+    sets = all_sets.join(classes.select(F.col("class").alias("id"), "n"), "id")
     return members, similar_pairs(sets, threshold, most)
 
 
-def duplicate_pairs(df: DataFrame, **options) -> DataFrame:
-    """(id_a, id_b), id_a < id_b: all pairs of records that reach the threshold, copies included."""
-    members, links = near_duplicates(df, **options)
-    members = checkpointed(members)
-    many = members.groupBy("class").agg(F.count("*").alias("n")).filter("n > 1").select("class")
-    copied = members.join(many, "class")
-    copies = copied.withColumnRenamed("id", "id_a").join(copied.withColumnRenamed("id", "id_b"), "class").filter("id_a < id_b").select("id_a", "id_b")
-    x = links.join(members.withColumnsRenamed({"class": "a", "id": "x"}), "a").join(members.withColumnsRenamed({"class": "b", "id": "y"}), "b")
-    return x.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).union(copies)
+#: Copies of a class that one task pairs with others; larger classes are cut into blocks of about so many.
+COPIES = 4096
 
 
-def groups(df: DataFrame, rounds: int = 50, **options) -> DataFrame:
+def duplicate_pairs(df: DataFrame, copies: int = COPIES, **options) -> DataFrame:
+    """(id_a, id_b), id_a < id_b: all pairs of records that reach the threshold, copies included.  Members of a class are spread
+    over blocks, and a link or a class is expanded block by block, so no key holds more than a block's rows on either side."""
+    members, links = near_duplicates(df, **options)
+    blocks = lambda n: F.greatest(F.lit(1), F.ceil(F.col(n) / copies)).cast("int")
+    each = lambda n: F.explode(F.sequence(F.lit(0), blocks(n) - 1))
+    members = checkpointed(members.withColumn("block", F.pmod(F.xxhash64("id"), blocks("n")).cast("int")))
+    copied = members.filter("n > 1")
+    left = copied.select("class", F.col("id").alias("id_a"), F.col("block").alias("ba"), each("n").alias("bb"))
+    right = copied.select("class", F.col("id").alias("id_b"), F.col("block").alias("bb"), each("n").alias("ba"))
+    same = left.join(right, ["class", "ba", "bb"]).filter("id_a < id_b").select("id_a", "id_b")
+    spread = links.select("a", "b", "nb", each("na").alias("ba"))
+    x = spread.join(members.select(F.col("class").alias("a"), F.col("block").alias("ba"), F.col("id").alias("x")), ["a", "ba"])
+    x = x.select("x", "b", each("nb").alias("bb")).join(members.select(F.col("class").alias("b"), F.col("block").alias("bb"), F.col("id").alias("y")), ["b", "bb"])
+    return x.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).union(same)
+
+
+def groups(df: DataFrame, **options) -> DataFrame:
     """One row per record with enough words: (id, group: least id that links lead to, links: number of near-duplicates)."""
     members, links = near_duplicates(df, **options)
     members, links = checkpointed(members), checkpointed(links)
-    edges = links.select("a", "b").union(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    edges = links.select("a", "b", F.col("nb").alias("n")).union(links.select(F.col("b").alias("a"), F.col("a").alias("b"), F.col("na").alias("n")))
     label = edges.select(F.col("a").alias("v")).distinct().withColumn("label", F.col("v"))
-    for _ in range(rounds):  # the least label spreads along edges, and jumps to the label of the label
+    moved = True
+    while moved:  # the least label spreads along edges, and jumps to the label of the label, until none moves
         spread = edges.join(label.withColumnRenamed("v", "b"), "b").groupBy(F.col("a").alias("v")).agg(F.min("label").alias("near"))
         step = label.join(spread, "v").select("v", F.least("label", "near").alias("new"), "label")
         jump = step.select(F.col("v").alias("new"), F.col("new").alias("far"))
-        after = checkpointed(step.join(jump, "new", "left").select("v", F.least("new", F.coalesce("far", "new")).alias("label"), (F.least("new", F.coalesce("far", "new")) < F.col("label")).alias("moved")))
-        label = after.select("v", "label")
-        if after.filter("moved").isEmpty():
-            break
-    sizes = members.groupBy("class").agg(F.count("*").alias("n"))
-    linked = edges.join(sizes.withColumnRenamed("class", "b"), "b").groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("others"))
-    per_class = sizes.join(linked, "class", "left").join(label.withColumnRenamed("v", "class"), "class", "left")
-    return members.join(per_class, "class").select("id", F.coalesce("label", "class").alias("group"), (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("links"))
+        least = F.least("new", F.coalesce("far", "new"))
+        after = checkpointed(step.join(jump, "new", "left").select("v", least.alias("label"), (least < F.col("label")).alias("moved")))
+        label, moved = after.select("v", "label"), not after.filter("moved").isEmpty()
+    linked = edges.groupBy(F.col("a").alias("class")).agg(F.sum("n").alias("others"))
+    per_class = linked.join(label.withColumnRenamed("v", "class"), "class")
+    return members.join(per_class, "class", "left").select("id", F.coalesce("label", "class").alias("group"), (F.coalesce("others", F.lit(0)) + F.col("n") - 1).alias("links"))

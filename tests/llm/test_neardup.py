@@ -35,11 +35,38 @@ def test_all_pairs_whatever_the_bucket(spark):
     df = spark.createDataFrame(data, SCHEMA)
     want = brute(data)
     assert len(want) > 50
-    for most in (N.MAX_BUCKET, 4):  # with tiny buckets all three levels work
-        got = [(r.id_a, r.id_b) for r in N.duplicate_pairs(df, most=most).collect()]
+    for most, copies in ((N.MAX_BUCKET, N.COPIES), (4, 1)):  # with tiny buckets all three levels work, with tiny blocks copies are spread
+        got = [(r.id_a, r.id_b) for r in N.duplicate_pairs(df, most=most, copies=copies).collect()]
         assert len(got) == len(set(got)) and set(got) == want
 
 
+def test_batches_and_partitions_make_no_difference(spark):
+    data = texts(80, 9)
+    want = brute(data)
+    by_size = spark.createDataFrame(data, SCHEMA).repartitionByRange(6, "snippet")
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    try:
+        for rows in (1, 7, 10_000):
+            spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", rows)
+            got = [(r.id_a, r.id_b) for r in N.duplicate_pairs(by_size).collect()]
+            assert len(got) == len(set(got)) and set(got) == want, rows
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", before)
+
+
+def test_copies_are_paired_across_blocks(spark):
+    words = " ".join(f"w{i}" for i in range(30))
+    near = words.replace("w1 ", "v1 ")
+    data = [(i, "u", words, None, 0) for i in range(25)] + [(100 + i, "u", None, near, 0) for i in range(7)]
+    got = [(r.id_a, r.id_b) for r in N.duplicate_pairs(spark.createDataFrame(data, SCHEMA), copies=3).collect()]
+    assert len(got) == len(set(got)) == 32 * 31 // 2
+
+
+def test_a_long_chain_is_one_group(spark):
+    data = [(i, "u", " ".join(f"w{j}" for j in range(4 * i, 4 * i + 40)), None, 0) for i in range(150)]
+    assert {r.group for r in N.groups(spark.createDataFrame(data, SCHEMA)).collect()} == {0}
+
+
 def test_groups(spark):
     data = texts(60, 5)
     want = brute(data)
