@@ -7,9 +7,16 @@ are sorted further.  Equal suffixes are merged, with their number of records, be
 a third of all rows share costs one row per *different* continuation.  Adjacent suffixes are compared, and every interval
 of common prefixes gives a block with the number of records that hold it.
 
+What is taken out is decided by these intervals: a line recurs if it lies in a block of at least ``min_lines`` lines that
+``min_records`` records share.  Every window of such a block recurs as well, so the intervals that reach the depth of
+``min_lines`` are joined to the positions whose next lines are theirs, and all their lines go.
+
 A record that holds a block twice counts once: within each record the suffixes are sorted, and each pair of neighbours
 takes the prefix they share off the count again (the colour-set-size correction).
 
+A run of more than ``DEPTH`` recurring lines is sorted by windows of that many, which are also the longest blocks reported; what
+is taken out is the same.
+
 Edge cases: null and empty values have no lines; blank lines are no lines to remove; a record repeated as a whole row
 (same id and value) counts once; a null URL belongs to no site, its values are returned unchanged; so are those of
 rows without a key.
@@ -22,7 +29,7 @@ from collections.abc import Iterator
 
 import pandas as pd
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from raqim.llm.hosts import site
@@ -32,6 +39,8 @@ from raqim.session import checkpointed
 BREAK = re.compile(r"\r\n|\n|\r")
 DIGITS = re.compile(r"\d+")
 MIN_RECORDS = 5
+#: The most lines by which suffixes are ordered.
+DEPTH = 64
 
 
 def line_key(form: str) -> str:
@@ -78,28 +87,36 @@ def repeated(found: DataFrame, min_records: int = MIN_RECORDS) -> DataFrame:
     return found.groupBy("line").agg(F.countDistinct("id").alias("records")).filter(F.col("records") >= min_records)
 
 
-def repeated_lines(df: DataFrame, min_records: int = MIN_RECORDS, **options) -> DataFrame:
-    """(id, field, line_no, records) of each line that at least ``min_records`` records of its site hold, in any of the fields.
-    Each line of a longer repeated block is a level-1 interval as well, so these are the lines that all blocks cover."""
+def repeated_lines(df: DataFrame, min_records: int = MIN_RECORDS, min_lines: int = 1, **options) -> DataFrame:
+    """(id, field, line_no, records) of each line of a block of at least ``min_lines`` consecutive lines (a single line is a block
+    of one) that at least ``min_records`` records of its site hold, in any of the fields; ``records`` of the most frequent such block."""
     found = checkpointed(lines(df, **options))
-    return found.join(repeated(found, min_records), "line").select("id", "field", "line_no", "records")
+    blocks_ = _blocks(found, min_records, min_lines)
+    start = blocks_.select(F.slice("block", 1, min_lines).alias("window"), "records").groupBy("window").agg(F.max("records").alias("records"))
+    if min_lines == 1:
+        return found.join(start.select(F.col("window")[0].alias("line"), "records"), "line").select("id", "field", "line_no", "records")
+    follow = Window.partitionBy("id", "field").orderBy("line_no").rowsBetween(Window.currentRow, min_lines - 1)
+    seen = found.distinct().withColumn("window", F.collect_list("line").over(follow)).withColumn("last", F.max("line_no").over(follow))
+    whole = seen.filter((F.size("window") == min_lines) & (F.col("last") - F.col("line_no") == min_lines - 1))
+    covered = whole.join(start, "window").select("id", "field", F.explode(F.sequence("line_no", "last")).alias("line_no"), "records")
+    return covered.groupBy("id", "field", "line_no").agg(F.max("records").alias("records"))
 
 
 def _suffixes(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Per record: suffixes of at least two repeated lines with weight 1, and the correction for what they share."""
+    """Per record: suffixes of repeated lines with weight 1, and the correction for what they share."""
     for pdf in batches:
         out, weights = [], []
         for runs in pdf["runs"]:
             own = []
             for run in {tuple(r) for r in runs}:
-                own += [run[i:] for i in range(len(run) - 1)]
+                own += [run[i : i + DEPTH] for i in range(len(run))]
             own.sort()
             for i, s in enumerate(own):
                 out.append(list(s))
                 weights.append(1)
                 if i:
                     n = _common(own[i - 1], s)
-                    if n > 1:
+                    if n:
                         out.append(list(s[:n]))
                         weights.append(-1)
         yield pd.DataFrame({"suffix": pd.Series(out, dtype=object), "weight": pd.Series(weights, dtype="int64")})
@@ -114,7 +131,7 @@ def _common(a: tuple, b: tuple) -> int:
     return n
 
 
-def _intervals(min_records: int):
+def _intervals(min_records: int, min_lines: int):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """Blocks of a sorted stream of suffixes: a stack of open prefixes, closed as soon as the next suffix leaves them."""
         last: tuple = ()
@@ -124,14 +141,14 @@ def _intervals(min_records: int):
             for suffix, weight in zip(pdf["suffix"], pdf["weight"], strict=True):
                 s = tuple(suffix)
                 n = _common(last, s)
-                _close(last, open_, n, out, min_records)
+                _close(last, open_, n, out, min_records, min_lines)
                 open_ += [0] * (len(s) - n)
                 for i in range(len(s)):
                     open_[i] += weight
                 last = s
             yield _block_rows(out)
         out = []
-        _close(last, open_, 0, out, min_records)
+        _close(last, open_, 0, out, min_records, min_lines)
         yield _block_rows(out)
 
     return run
@@ -141,40 +158,41 @@ def _block_rows(out: list[tuple[list[int], int]]) -> pd.DataFrame:
     return pd.DataFrame({"block": pd.Series([b for b, _ in out], dtype=object), "records": pd.Series([r for _, r in out], dtype="int64")})
 
 
-def _close(last: tuple, open_: list[int], to: int, out: list, min_records: int) -> None:
+def _close(last: tuple, open_: list[int], to: int, out: list, min_records: int, min_lines: int) -> None:
     """Close the prefixes longer than ``to``; report each that has more records than the longer one it belongs to."""
     longer = 0
     while len(open_) > to:
         n, records = len(open_), open_.pop()
-        if records >= min_records and records > longer and n > 1:
+        if records >= min_records and records > longer and n >= min_lines:
             out.append((list(last[:n]), records))
         longer = max(longer, records if records >= min_records else 0)
 
 
-def blocks(df: DataFrame, min_records: int = MIN_RECORDS, **options) -> DataFrame:
-    """Repeated blocks of at least two consecutive lines: (block: line identifiers, lines, records), right-maximal."""
+def blocks(df: DataFrame, min_records: int = MIN_RECORDS, min_lines: int = 2, **options) -> DataFrame:
+    """Repeated blocks of at least ``min_lines`` consecutive lines: (block: line identifiers, lines, records), right-maximal."""
     found = checkpointed(lines(df, **options))
-    return _blocks(found, min_records)
+    return _blocks(found, min_records, min_lines)
 
 
-def _blocks(found: DataFrame, min_records: int) -> DataFrame:
+def _blocks(found: DataFrame, min_records: int, min_lines: int) -> DataFrame:
     kept = found.join(repeated(found, min_records), "line").select("id", "field", "line_no", "line").distinct()
     values = kept.groupBy("id", "field").agg(F.array_sort(F.collect_list(F.struct("line_no", "line"))).alias("v"))
     # a value's lines are cut into runs of consecutive repeated lines; a value is bounded by its field, not by the corpus
-    runs = values.select("id", F.expr("""
-        filter(transform(filter(sequence(0, size(v) - 1), i -> i = 0 or v[i].line_no <> v[i - 1].line_no + 1),
-          a -> transform(filter(sequence(a, size(v) - 1), j -> v[j].line_no - v[a].line_no = j - a), j -> v[j].line)), r -> size(r) > 1)""").alias("r")).filter(F.size("r") > 0)
+    starts = F.expr("filter(sequence(0, size(v) - 1), i -> i = 0 or v[i].line_no <> v[i - 1].line_no + 1)")
+    ends = F.expr("transform(a, (x, i) -> if(i + 1 < size(a), a[i + 1], size(v)) - x)")
+    runs = values.withColumn("a", starts).withColumn("n", ends).select("id", F.expr("filter(zip_with(a, n, (x, k) -> slice(v.line, x + 1, k)), r -> size(r) >= %d)" % min_lines).alias("r")).filter(F.size("r") > 0)
     per_record = runs.groupBy("id").agg(F.flatten(F.collect_list("r")).alias("runs")).select("runs")
     suffixes = per_record.mapInPandas(_suffixes, "suffix array<long>, weight long")
     merged = suffixes.groupBy("suffix").agg(F.sum("weight").alias("weight")).filter("weight <> 0")
-    ordered = merged.repartition(F.expr("suffix[0]"), F.expr("suffix[1]")).sortWithinPartitions("suffix")
-    return ordered.mapInPandas(_intervals(min_records), "block array<long>, records long").withColumn("lines", F.size("block"))
+    # the suffixes of one interval meet in one task; those too short for a block are in none
+    ordered = merged.filter(F.size("suffix") >= min_lines).repartition(*(F.col("suffix")[i] for i in range(min(2, min_lines)))).sortWithinPartitions("suffix")
+    return ordered.mapInPandas(_intervals(min_records, min_lines), "block array<long>, records long").withColumn("lines", F.size("block"))
 
 
-def cleaned(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("snippet", "description"), min_records: int = MIN_RECORDS, **options) -> DataFrame:
-    """Each record's values without their site's repeated lines: (key, one column per field, removed: number of lines taken out).
+def cleaned(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("snippet", "description"), min_records: int = MIN_RECORDS, min_lines: int = 1, **options) -> DataFrame:
+    """Each record's values without its site's repeated blocks: (key, one column per field, removed: number of lines taken out).
     Line breaks between the kept lines stay as they were; a value whose lines all recur becomes the empty string."""
-    hits = repeated_lines(df, min_records, key=key, fields=fields, **options)
+    hits = repeated_lines(df, min_records, min_lines, key=key, fields=fields, **options)
     taken = hits.select("id", "field", "line_no").distinct().groupBy("id").agg(F.collect_list(F.struct("field", "line_no")).alias("taken__"))
     joined = df.select(F.col(key), *fields).join(taken.withColumnRenamed("id", key), key, "left")
     kept = [_without(f).alias(f) for f in fields]
@@ -182,9 +200,9 @@ def cleaned(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("snippet"
 
 
 def _without(field: str) -> Column:
-    """The value without its taken lines; each piece keeps the break that follows it."""
-    pieces = F.split(F.regexp_replace(F.col(field), r"(\r\n|\n|\r)", "$1\u0001"), "\u0001")
+    """The value without its taken lines; each line keeps the break that follows it."""
+    pieces, breaks = F.split(F.col(field), r"\r\n|\n|\r"), F.regexp_extract_all(F.col(field), F.lit(r"(\r\n|\n|\r)"), F.lit(1))
     numbers = F.transform(F.filter("taken__", lambda t: t["field"] == field), lambda t: t["line_no"])
-    rest = F.filter(pieces, lambda p, i: ~F.array_contains(numbers, i + 1))
-    text = F.regexp_replace(F.array_join(rest, ""), r"[\r\n]+$", "")
+    ended = F.transform(pieces, lambda p, i: F.when(F.array_contains(numbers, i + 1), "").otherwise(F.concat(p, F.coalesce(F.get(breaks, i), F.lit("")))))
+    text = F.regexp_replace(F.array_join(ended, ""), r"[\r\n]+$", "")
     return F.when(F.col("taken__").isNull() | (F.size(numbers) == 0), F.col(field)).otherwise(text)

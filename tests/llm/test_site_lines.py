@@ -67,6 +67,32 @@ def test_cleaning(spark):
     assert out[0] == ("Own a", 2) and out[9] == ("", 1) and out[10] == ("Same line", 0)
 
 
+def test_blocks_are_taken_out_whole(spark):
+    foot = "Rights reserved\nContact us"
+    data = [(i, "https://x.example/", f"Own {'abcdef'[i]} \u0001 kept\r\n{foot}\n", None, "") for i in range(5)] + [(9, "https://x.example/", "Contact us\nnothing\nRights reserved", foot, "")]
+    df = spark.createDataFrame(data, SCHEMA)
+    by_line = {r.id: (r.snippet, r.description, r.removed) for r in S.cleaned(df).collect()}
+    by_block = {r.id: (r.snippet, r.description, r.removed) for r in S.cleaned(df, min_lines=2).collect()}
+    assert by_line[0] == by_block[0] == ("Own a \u0001 kept", None, 2)
+    assert by_line[9] == ("nothing", "", 4) and by_block[9] == ("Contact us\nnothing\nRights reserved", "", 2)
+
+
+def test_windows_of_longer_blocks(spark):
+    for seed in (3, 4):
+        data = rows(seed=seed)
+        docs, where = defaultdict(set), defaultdict(list)
+        for i, url, *values, _ in data:
+            site = re.sub("^www[.]", "", url.split("/")[2])
+            for field, v in zip(("snippet", "description"), values, strict=True):
+                keys = [re.sub(r"\d+", "0", " ".join(x.lower().split())) for x in re.split("\r\n|\n|\r", v)] if v else []
+                for a in range(len(keys) - 1):
+                    docs[site, *keys[a : a + 2]].add(i)
+                    where[site, *keys[a : a + 2]] += [(i, field, a + 1), (i, field, a + 2)]
+        want = {x for k, w in where.items() if len(docs[k]) >= 5 for x in w}
+        got = [(r.id, r.field, r.line_no) for r in S.repeated_lines(spark.createDataFrame(data, SCHEMA), 5, 2).collect()]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
 def test_edges(spark):
     df = spark.createDataFrame([(1, None, None, None, None), (2, "https://x.example", "", "\n\n", None), (3, "https://x.example", "a\n" * 50_000, None, None)], SCHEMA)
     assert S.repeated_lines(df, 1).filter("id < 3").count() == 0
