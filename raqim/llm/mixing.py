@@ -26,6 +26,8 @@ from raqim.session import checkpointed
 
 BINS, SCALE = 1 << 14, 200.0
 SEED = 42
+#: Rows of the table of targets; plans, edges and shares have as many, and some 30 times as many size classes, and are broadcast.
+TARGETS = 10_000
 
 
 def _copies(classes: list[tuple[int, int, int]], tokens: float, most: int) -> dict[int, float]:
@@ -54,7 +56,10 @@ def mixed(sized: DataFrame, targets: DataFrame, key: str = "doc_id", source: str
     for r in docs.groupBy("source", "class").agg(F.count("*").alias("n"), F.sum("tokens").alias("t")).collect():  # some 30 classes a source
         classes.setdefault(r["source"], []).append((r["class"], r["n"], r["t"]))
     plan, rest = [], {}
-    for r in targets.select("mix_name", "source", "target_share", "max_repeats", "budget_tokens").distinct().collect():  # the table of targets
+    wanted_rows = targets.select("mix_name", "source", "target_share", "max_repeats", "budget_tokens").distinct().limit(TARGETS + 1).collect()
+    if len(wanted_rows) > TARGETS:
+        raise ValueError(f"more than {TARGETS} rows of targets")
+    for r in wanted_rows:
         own = classes.get(r["source"], [])
         c = _copies(own, (r["target_share"] or 0) * (r["budget_tokens"] or 0), max(0, r["max_repeats"] or 0))
         left = 0.0
@@ -107,7 +112,7 @@ def shares(selection: DataFrame, targets: DataFrame) -> DataFrame:
     the share of what the mix holds, and of what it was to hold."""
     got = selection.groupBy("mix_name", "source").agg(F.count("*").alias("documents"), F.max("copies").alias("most_copies"), F.sum(F.col("copies") * F.col("tokens")).alias("tokens"))
     zero = F.lit(0)
-    all_ = targets.select("mix_name", "source", "target_share", "budget_tokens").distinct().join(F.broadcast(got), ["mix_name", "source"], "left")
+    all_ = targets.select("mix_name", "source", "target_share", "budget_tokens").distinct().join(got, ["mix_name", "source"], "left")
     total = F.sum(F.coalesce("tokens", zero)).over(Window.partitionBy("mix_name"))
     share = F.when(total > 0, F.coalesce("tokens", zero) / total).otherwise(F.lit(0.0))
     return all_.select("mix_name", "source", "target_share", "budget_tokens", F.coalesce("documents", zero).alias("documents"), F.coalesce("most_copies", zero).alias("most_copies"), F.coalesce("tokens", zero).alias("tokens"), share.alias("actual_share"), (F.coalesce("tokens", zero) / F.col("budget_tokens")).alias("share_of_budget"))

@@ -8,12 +8,14 @@ from collections.abc import Iterator
 from functools import lru_cache
 
 import pandas as pd
+import regex
 from pyspark.sql import DataFrame
 
 #: The vocabulary file (ranks of a byte-level BPE) and its splitting pattern, a fixed value of that family of tokenizers.
 VOCABULARY = os.environ.get("RAQIM_VOCABULARY", "/opt/tokenizers/byte_bpe_multi_50k.tiktoken")
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 PIECE = 100_000
+_SPLIT = regex.compile(PATTERN)
 
 
 @lru_cache(maxsize=2)
@@ -27,20 +29,17 @@ def encoding(path: str):
 
 
 def count(text: str | None, path: str = VOCABULARY) -> int:
-    """Tokens of a text; 0 for null.  Very long texts are counted line by line in pieces, which the pattern never joins across."""
+    """Tokens of a text; 0 for null.  Very long texts are counted in pieces that end where the splitting pattern ends one."""
     if not text:
         return 0
     enc = encoding(path)
     if len(text) <= PIECE:
         return len(enc.encode_ordinary(text))
     total, start = 0, 0
-    while start < len(text):
-        end = min(len(text), start + PIECE)
-        if end < len(text):
-            cut = text.rfind(" ", start + 1, end)
-            end = cut if cut > start else end
-        total += len(enc.encode_ordinary(text[start:end]))
-        start = end
+    for m in _SPLIT.finditer(text):
+        if m.end() - start >= PIECE or m.end() == len(text):
+            total += len(enc.encode_ordinary(text[start : m.end()]))
+            start = m.end()
     return total
 
 

@@ -27,11 +27,28 @@ def test_packing_is_whole_and_tight(spark):
         assert all(len(p) == 1 or sum(p) > cap for p in split.values())
         used = sum(x.tokens for x in rows) / (len(boxes) * cap)
         assert used > 0.97
-        per = packing.report(spark.createDataFrame(rows)).first()
-        assert per.step_high - per.step_low <= 2 * cap
+        per = packing.report(spark.createDataFrame(rows)).collect()
+        total = next(x for x in per if x.context is None)
+        assert total.step_high - total.step_low <= 2 * cap and total.containers == len(boxes)
+        assert {x.context for x in per} - {None} <= set(packing.contexts(cap)) and sum(x.tokens for x in per) == 2 * total.tokens
+        assert all(x.tokens <= x.context and (x.tokens * packing.RATIO > x.context - packing.RATIO or x.context == packing.contexts(cap)[-1]) for x in rows)
     assert packing.packed(df.limit(0), caps).count() == 0
 
 
+def test_tiers_change_the_plan_and_keep_the_fill(monkeypatch):
+    r = random.Random(4)
+    changed = 0
+    for seed in range(6):
+        counts = {x: r.randint(1, 9) for x in r.sample(range(1, 2049), 60) + r.sample(range(60, 500), 200)}
+        tiered = packing.Plan(2048, counts)
+        with monkeypatch.context() as m:
+            m.setattr(packing, "LEAST", 10**6)  # a single tier: plain best fit
+            flat = packing.Plan(2048, counts)
+        assert tiered.containers <= flat.containers * 1.01 + 1
+        changed += any((tiered.slots[x][1] != flat.slots[x][1]).any() if len(tiered.slots[x][1]) == len(flat.slots[x][1]) else True for x in counts)
+    assert changed == 6
+
+
 def test_hot_length_is_salted(spark, monkeypatch):
     monkeypatch.setattr(packing, "HOT", 50)
     df = spark.range(500).selectExpr("id as doc_id", "10L as tokens")
@@ -69,4 +86,6 @@ def test_copies_are_solved():
 def test_tokens():
     assert tokens.count(None) == 0 and tokens.count("") == 0 and tokens.count("the end") == 2
     long = "word " * 60_000
-    assert abs(tokens.count(long) - 60_000) <= 2
+    whole = tokens.encoding(tokens.VOCABULARY)
+    for text in (long, "ab c  " * 50_000, "x" * 150_000, "don't  \n 12 كتاب," * 15_000):
+        assert tokens.count(text) == len(whole.encode_ordinary(text))
