@@ -1,12 +1,15 @@
 """Problem 4: text that looks the same but is made of other characters.
 
-``form_table`` builds transitive look-alike classes by union-find over code points *and* strings (an Arabic ligature is
-equivalent to the two letters it shows), chooses each class's representative by corpus frequency and compiles the
-rewriting rules.  ``Normalizer`` applies them greedily, leftmost-longest, with a multi-pattern (Aho-Corasick) automaton;
-letters that only look foreign inside a word are decided by the word and by the language of the record.
-
-Edge cases: rows without a key have no row here; a null or empty value has no marks and its form is itself; of equally frequent plain members the shorter,
-then the one with the smaller code point represents the class; texts of any length are processed whole.
+``form_table`` builds transitive look-alike classes by union-find over code points *and* strings: forms and the strings they
+show (an Arabic ligature is equivalent to two letters), decomposed and composed letters, and letters that look alike across
+scripts and languages, so a class may hold the plain letters of several scripts.  The representative of a class is chosen for
+each writing (Latin, Cyrillic, Greek, Armenian letters; Arabic letters in Arabic and in Persian texts) by corpus frequency among
+its plain members there.  ``Normalizer`` rewrites greedily, leftmost-longest, with a multi-pattern (Aho-Corasick) automaton
+what means the same everywhere; letters of the classes are rewritten word by word, by the word's script and the record's
+language.  It repeats this until nothing changes, so the form of a form is itself.
+
+Edge cases: rows without a key have no row here; a null or empty value has no marks and its form is itself; of equally frequent plain members the
+first of the fixed list represents the class; texts of any length are processed whole.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ from __future__ import annotations
 import re
 import sys
 import unicodedata as U
+from collections import Counter
 from collections.abc import Iterator
 from functools import lru_cache
 
@@ -27,12 +31,14 @@ from pyspark.sql import types as T
 # Letters that look like a Latin letter, as pairs (foreign, Latin).
 LATIN_LOOKALIKES = (
     "аa еe оo рp сc уy хx іi јj ѕs ԁd һh ԛq ԝw А A В B Е E К K М M Н H О O Р P С C Т T У Y Х X І I Ј J Ѕ S Ԛ Q Ԝ W "
-    "οo αa νv ιi ρp υu χx κk ϲc ϳj Α A Β B Ε E Ζ Z Η H Ι I Κ K Μ M Ν N Ο O Ρ P Τ T Υ Y Χ X Ϲ C Ϳ J"
+    "οo αa νv ιi ρp υu χx κk ϲc ϳj Α A Β B Ε E Ζ Z Η H Ι I Κ K Μ M Ν N Ο O Ρ P Τ T Υ Y Χ X Ϲ C Ϳ J "
+    "օo սu հh ոn ցg զq Օ O Ս U ɡg ɑa ɩi"
 )
-#: Persian and Urdu letters that look like an Arabic letter inside a word.
-ARABIC_LOOKALIKES = (("ک", "ك"), ("ی", "ي"), ("ڪ", "ك"), ("ہ", "ه"), ("ھ", "ه"), ("ۀ", "هٔ"), ("ە", "ه"))
+#: Letters of the Arabic script that look alike inside a word; the first is Arabic's own, the second Persian's.
+ARABIC_LOOKALIKES = (("ك", "ک", "ڪ"), ("ي", "ی"), ("ه", "ه", "ہ", "ھ", "ە"))
+PERSIAN_ONLY = re.compile("[گپچژ]")
 #: Compatibility decompositions that are forms of a letter; superscripts, fractions and signs are not.
-FORM_TAGS = {"<wide>", "<narrow>", "<initial>", "<medial>", "<final>", "<isolated>", "<font>", "<circle>", "<square>"}
+FORM_TAGS = {"<wide>", "<small>", "<vertical>", "<narrow>", "<initial>", "<medial>", "<final>", "<isolated>", "<font>", "<circle>", "<square>"}
 ZWNJ, ZWJ, VS16 = chr(0x200C), chr(0x200D), chr(0xFE0F)
 
 
@@ -43,15 +49,28 @@ def _characters(*ranges: int | tuple[int, int]) -> str:
 INVISIBLE = _characters(0xAD, 0x34F, 0x61C, (0x115F, 0x1160), (0x17B4, 0x17B5), (0x180B, 0x180E), (0x200B, 0x200F), (0x202A, 0x202E), (0x2060, 0x206F), 0xFEFF, (0xFFF9, 0xFFFB))
 SPACES = _characters(9, 11, 12, 0x85, 0xA0, 0x1680, (0x2000, 0x200A), 0x202F, 0x205F, 0x3000)
 JOINERS = ZWNJ + ZWJ
-#: Greek, Cyrillic, combining marks, Persian look-alikes, styled and presentation forms.
-_RANGES = ((0x300, 0x3FF), (0x400, 0x52F), (0x653, 0x655), 0x6A9, 0x6AA, 0x6BE, 0x6C0, 0x6C1, 0x6CC, 0x6D5, (0x20D0, 0x20FF), (0x2102, 0x214F), (0x2460, 0x24FF), (0x3200, 0x33FF), (0xFB00, 0xFDFF), (0xFE20, 0xFE6F), (0xFE70, 0xFFEF), (0x1D400, 0x1D7FF), (0x1EE00, 0x1EEFF), (0x1F100, 0x1F1FF))
-#: What must be looked at; any other text is in its consistent form already.
-SUSPECT = re.compile("[" + re.escape(INVISIBLE + SPACES) + "".join(re.escape(chr(r)) if isinstance(r, int) else f"{chr(r[0])}-{chr(r[1])}" for r in _RANGES) + "]")
+#: Greek, Cyrillic and Armenian letters, which decide by their word; combining marks, styled and presentation forms.
+_RANGES = ((0x300, 0x3FF), (0x400, 0x58F), (0x653, 0x655), (0x1100, 0x11FF), (0x1F00, 0x1FFF), (0x20D0, 0x20FF), (0x2102, 0x214F), (0x2460, 0x24FF), (0x3099, 0x309A), (0x3200, 0x33FF), (0xF900, 0xFDFF), (0xFE10, 0xFE19), (0xFE20, 0xFE6F), (0xFE70, 0xFFEF), (0x1D400, 0x1D7FF), (0x1EE00, 0x1EEFF), (0x1F100, 0x1F1FF), (0x2F800, 0x2FA1F))
+
+
+class _Gate:
+    """Finds what must be looked at; any other text is in its consistent form already.  Besides single characters these are
+    Latin letters between Arabic ones and the reverse."""
+
+    def __init__(self, extra: str) -> None:
+        self.single = re.compile("[" + re.escape(INVISIBLE + SPACES + extra) + "".join(f"{chr(a)}-{chr(b)}" for a, b in _RANGES) + "]")
+        self.inside = re.compile("[ء-غف-ي][A-Za-zÀ-ɏ]+[ء-غف-ي]|[A-Za-zÀ-ɏ][ء-غف-ي]+[A-Za-zÀ-ɏ]")
+
+    def search(self, text: str) -> re.Match | None:
+        return self.single.search(text) or (None if text.isascii() else self.inside.search(text))
+
+
+EXTRA = "".join(x for row in ARABIC_LOOKALIKES for x in row[1:] if x != row[0]) + "ۀɡɑɩ"
+SUSPECT = _Gate(EXTRA)
 MARK = f"{chr(0x300)}-{chr(0x36F)}{chr(0x64B)}-{chr(0x65F)}{chr(0x670)}{ZWNJ}{ZWJ}"
 WORD = re.compile(rf"[^\W_]+(?:[{MARK}]+[^\W_]*)*")
-_OTHER = f"{chr(0x370)}-{chr(0x3FF)}{chr(0x400)}-{chr(0x52F)}"
-#: What a word of the language must not hold, and what makes other words worth a look.
-FOREIGN = {"fa": re.compile(f"[{_OTHER}{chr(0x643)}{chr(0x64A)}]"), "ar": re.compile(f"[{_OTHER}{''.join(a for a, _ in ARABIC_LOOKALIKES)}]"), "": re.compile(f"[{_OTHER}]")}
+#: A letter with combining marks in any order, and letters of decomposed Korean syllables.
+LOOSE = re.compile(f"[^\\W_][{chr(0x300)}-{chr(0x36F)}]+|[{chr(0x1100)}-{chr(0x11FF)}]+")
 FA_WORDS = {"در", "را", "به", "از", "که", "این", "با", "های", "می", "است", "برای", "یک", "شد", "ها", "هم", "گفت"}
 AR_WORDS = {"في", "من", "على", "إلى", "عن", "قد", "كما", "هذا", "ما", "لا", "أن", "خلال", "بعد", "قبل", "منذ", "كل", "عند", "حتى", "كيف", "لماذا"}
 
@@ -77,24 +96,19 @@ class UnionFind:
 
 
 def _pairs() -> list[tuple[str, str]]:
-    out = []
-    tokens = LATIN_LOOKALIKES.split()
-    i = 0
-    while i < len(tokens):
-        if len(tokens[i]) == 2:
-            out.append((tokens[i][0], tokens[i][1]))
-            i += 1
-        else:
-            out.append((tokens[i], tokens[i + 1]))
-            i += 2
-    return [(a, b) for a, b in out if a != "Α" or b == "A"]
+    """The fixed pairs: a token of two letters is a pair, capitals stand as two tokens."""
+    out, tokens = [], iter(LATIN_LOOKALIKES.split())
+    for t in tokens:
+        out.append((t[0], t[1]) if len(t) == 2 else (t, next(tokens)))
+    return out
 
 
 @lru_cache(maxsize=1)
 def _edges() -> tuple[tuple[str, str], ...]:
-    """(other form, its plain string), from the Unicode data that Python carries: forms and decomposed letters."""
+    """(other form, its plain string), from the Unicode data that Python carries: forms, decomposed letters and letters
+    stored twice."""
     out = []
-    for cp in range(0x80, sys.maxunicode + 1):
+    for cp in range(0x80, 0x30000):
         c = chr(cp)
         d = U.decomposition(c)
         if not d:
@@ -105,34 +119,71 @@ def _edges() -> tuple[tuple[str, str], ...]:
                 plain = U.normalize("NFKC", c)
                 if plain.strip() and plain != c and not (ligature and plain[0] == " "):
                     out.append((c, plain))
-        elif cp < 0x2000 and len(n := U.normalize("NFD", c)) > 1 and U.normalize("NFC", n) == c:
+        elif (n := U.normalize("NFC", c)) != c:
+            out.append((c, n))
+        elif len(n := U.normalize("NFD", c)) > 1:
             out.append((n, c))
+            if len(d.split()) == 2 and len(n) > 2:  # partly composed, as é + a second mark
+                out.append(("".join(chr(int(x, 16)) for x in d.split()), c))
     return tuple(out)
 
 
-def form_table(counts: dict[str, int] | None = None) -> dict[str, str]:
-    """Rewriting rules {string: representative} of the context-free classes.  ``counts``: how often each character occurs
-    in the corpus; its size is bounded by the number of code points.  A form is never the representative, however frequent."""
+class Forms(dict):
+    """Rewriting rules {string: representative} that hold everywhere, and ``words``: {writing: {member: representative}} for letters
+    that are decided by their word."""
+
+    words: dict[str, dict[str, str]]
+
+
+def form_table(counts: dict[str, dict[str, int]] | None = None) -> Forms:
+    """The rules of all classes.  ``counts``: how often each character occurs in Arabic and in Persian values ('ar', 'fa'), as
+    ``character_counts`` gives them; its size is bounded by the number of code points.  A form, a decomposed string or an invisible
+    character is never the representative, however frequent."""
     counts = counts or {}
-    sets, plain = UnionFind(), {}
-    for a, b in _edges():
-        sets.union(b, a)
-        plain[a] = b
+    sets, other = UnionFind(), {}
+    for form, plain in _edges():
+        sets.union(plain, form)
+        other[form] = plain
+    for foreign, latin in _pairs():
+        sets.union(latin, foreign)
+    for row in ARABIC_LOOKALIKES:
+        for x in row[1:]:
+            sets.union(row[0], x)
     members: dict[str, list[str]] = {}
     for x in list(sets.parent):
         members.setdefault(sets.find(x), []).append(x)
-    rules = {}
+    listed = {x: i for i, x in enumerate([*(b for _, b in _pairs()), *(a for a, _ in _pairs()), *(x for row in ARABIC_LOOKALIKES for x in row)])}
+    rules, words = Forms(), {w: {} for w in ("L", "C", "G", "H", "ar", "fa")}
     for group in members.values():
-        targets = {plain[x] for x in group if x in plain}
-        best = max(group, key=lambda x: (x in targets, min((counts.get(c, 0) for c in x), default=0), -len(x), [-ord(c) for c in x]))
-        for x in group:
-            if x != best:
-                rules[x] = best
+        plain = [x for x in group if x not in other]
+        for x in group:  # what a form shows is plain already, whatever class that belongs to
+            if x in other:
+                rules[x] = other[x]
+        if len(plain) < 2:
+            continue
+        for writing, table in words.items():
+            own = [x for x in plain if _script(x) == (writing if len(writing) == 1 else "A")]
+            if not own:
+                continue
+            if writing in ("ar", "fa"):
+                first = {row["ar fa".split().index(writing)] for row in ARABIC_LOOKALIKES}
+                seen = counts.get(writing, {})
+            else:
+                first, seen = set(), {x: sum(c.get(x, 0) for c in counts.values()) for x in own}
+            best = max(own, key=lambda x: (seen.get(x, 0), x in first, -listed[x]))  # noqa: B023
+            table.update((x, best) for x in plain if x != best)
     for c in INVISIBLE:
         rules[c] = ""
     for c in SPACES:
         rules[c] = " "
-    return {k: "".join(rules.get(c, c) for c in v) for k, v in rules.items() if k != VS16}
+    while True:  # strings that hold other members
+        again = {k: v for k, old in rules.items() if (v := "".join(rules.get(c, c) for c in old)) != old}
+        if not again:
+            break
+        rules.update(again)
+    rules.pop(VS16, None)
+    rules.words = words
+    return rules
 
 
 def language(text: str) -> str:
@@ -149,12 +200,14 @@ def language(text: str) -> str:
 
 def _script(c: str) -> str:
     o = ord(c)
-    if o < 0x250 or 0x1E00 <= o <= 0x1EFF:
+    if o < 0x2B0 or 0x1E00 <= o <= 0x1EFF:
         return "L" if c.isalpha() else ""
     if 0x370 <= o <= 0x3FF or 0x1F00 <= o <= 0x1FFF:
         return "G"
     if 0x400 <= o <= 0x52F:
         return "C"
+    if 0x530 <= o <= 0x58F:
+        return "H" if c.isalpha() else ""
     if 0x600 <= o <= 0x6FF or 0x750 <= o <= 0x77F:
         return "A" if c.isalpha() else ""
     return "O" if c.isalpha() else ""
@@ -163,41 +216,58 @@ def _script(c: str) -> str:
 class Normalizer:
     """The compiled rules.  ``marks`` are the kinds of other characters found: form, decomposed, invisible, space, foreign."""
 
-    def __init__(self, rules: dict[str, str]) -> None:
+    def __init__(self, rules: Forms) -> None:
         self.rules = rules
         self.auto = ahocorasick.Automaton()
         for k, v in rules.items():
             self.auto.add_word(k, (len(k), v))
         self.auto.make_automaton()
-        self.to_latin = dict(_pairs())
-        self.from_latin: dict[str, dict[str, str]] = {"C": {}, "G": {}}
-        for f, l in _pairs():
-            self.from_latin[_script(f)].setdefault(l, f)
-        self.to_arabic = dict(ARABIC_LOOKALIKES)
-        self.to_persian = {"ك": "ک", "ي": "ی"}
+        self.words = rules.words
+        #: letters that look like one of another script; a word of others is genuine
+        self.alike = frozenset(self.words["L"]) | {x for x, y in self.words["C"].items() if _script(x) == "L"}
+        #: of the Arabic script, letters that another one represents, by language
+        self.arabic = {w: {x: y for x, y in self.words[w].items() if _script(x) == "A"} for w in ("ar", "fa")}
+        for row in ARABIC_LOOKALIKES[2:]:  # Persian and Urdu texts keep their own letters
+            for x in row:
+                self.arabic["fa"].pop(x, None)
+        latin = "".join(x for x in self.words["L"] if _script(x) == "L")
+        turned = "".join(x for x in self.arabic["ar"] if not SUSPECT.single.search(x))
+        #: what must be looked at under these rules: more than SUSPECT where frequency has turned a class of Arabic letters
+        self.gate = _Gate(EXTRA + turned) if turned else SUSPECT
+        base = f"{chr(0x370)}-{chr(0x3FF)}{chr(0x400)}-{chr(0x58F)}{re.escape(latin)}"
+        self.foreign = {w: re.compile(f"[{base}{''.join(self.arabic.get(w, ''))}{'ۀ' if w == 'ar' else ''}]") for w in ("ar", "fa", "")}
 
     def scan(self, text: str | None, lang: str | None = None) -> tuple[set[str], str | None]:
         """(kinds of marks, consistent form but for case)."""
-        if not text or not SUSPECT.search(text):
+        if not text or not self.gate.search(text):
             return set(), text
+        marks: set[str] = set()
+        while True:
+            new = self._once(text, lang, marks)
+            if new == text or not self.gate.search(new):
+                return marks, new
+            text = new
+
+    def _once(self, text: str, lang: str | None, marks: set[str]) -> str:
         if lang is None:
             lang = language(text)
-        marks: set[str] = set()
         out, last = [], 0
         for end, (n, new) in self.auto.iter_long(text):
             start = end - n + 1
             old = text[start : end + 1]
             if old in JOINERS and self._needed(text, start, end, lang):
-                out.append(text[last:start] + old)
-                last = end + 1
                 continue
-            marks.add("invisible" if new == "" else "space" if new == " " else "decomposed" if n > 1 and U.category(old[-1]) == "Mn" else "form")
-            out.append(text[last:start] + new)
+            marks.add("invisible" if new == "" else "space" if new == " " else "decomposed" if n > 1 else "form")
+            out += [text[last:start], new]
             last = end + 1
-        out.append(text[last:])
-        s = "".join(out)
-        s = self._words(s, lang, marks)
-        return marks, s
+        if out:
+            text = "".join(out) + text[last:]
+        if LOOSE.search(text):
+            whole = LOOSE.sub(lambda m: U.normalize("NFC", m.group()), text)
+            if len(whole) < len(text):
+                marks.add("decomposed")
+            text = whole
+        return self._words(text, lang, marks)
 
     @staticmethod
     def _needed(text: str, start: int, end: int, lang: str) -> bool:
@@ -210,61 +280,76 @@ class Normalizer:
         return lang == "fa" and text[start] == ZWNJ and _script(a) == "A" and _script(b) == "A"
 
     def _words(self, s: str, lang: str, marks: set[str]) -> str:
-        if not FOREIGN[lang].search(s):
+        if not self.foreign[lang].search(s) and not SUSPECT.inside.search(s):
             return s
-        words = [m for m in WORD.finditer(s)]
-        own = {"C": False, "G": False}  # does the value hold genuine words of the script?
-        latin = 0
-        for m in words:
+        s = self._rewritten(s, lambda w, k: self._mixed(w, k, lang), marks)
+        own, latin = set(), False  # the scripts of which the value holds genuine words
+        for m in WORD.finditer(s):
             w = m.group()
             k = {_script(c) for c in w} - {""}
-            latin += k == {"L"}
-            for x in ("C", "G"):
-                if k == {x} and any(c not in self.to_latin for c in w if _script(c) == x):
-                    own[x] = True
+            if len(k) == 1:
+                x = k.pop()
+                latin |= x == "L"
+                if x in "CGH" and any(c not in self.alike for c in w if c.isalpha()):
+                    own.add(x)
+
+        def whole(w: str, k: set[str]) -> tuple[str, bool]:
+            """A word of one other script that is all look-alikes, in a text that has Latin words and no genuine one of that script."""
+            if latin and len(k) == 1 and k <= {"C", "G", "H"} and not k & own and all(c in self.words["L"] for c in w if c.isalpha()):
+                return self._to("L", w), True
+            return w, False
+
+        return self._rewritten(s, whole, marks)
+
+    @staticmethod
+    def _rewritten(s: str, judge, marks: set[str]) -> str:
         out, last = [], 0
-        for m in words:
+        for m in WORD.finditer(s):
             w = m.group()
-            k = {_script(c) for c in w} - {""}
-            new = w
-            if k & {"C", "G"}:
-                if "L" in k:
-                    n_latin = sum(_script(c) == "L" for c in w)
-                    foreign = "C" if "C" in k else "G"
-                    n_foreign = sum(_script(c) == foreign for c in w)
-                    genuine = any(c not in self.to_latin for c in w if _script(c) in ("C", "G"))
-                    if n_foreign > n_latin and genuine:
-                        new = "".join(self.from_latin[foreign].get(c, c) if _script(c) == "L" else c for c in w)
-                    else:
-                        new = "".join(self.to_latin.get(c, c) for c in w)
-                    marks.add("foreign")
-                elif k == {"C", "G"}:
-                    new = "".join(self.to_latin.get(c, c) for c in w)
-                    marks.add("foreign")
-                elif len(k) == 1 and latin and not own[next(iter(k))] and all(c in self.to_latin for c in w if c.isalpha()):
-                    new = "".join(self.to_latin.get(c, c) for c in w)
-                    marks.add("foreign")
-            if "A" in k:
-                table = self.to_persian if lang == "fa" else self.to_arabic if lang == "ar" else {}
-                if lang == "ar" and any(c in "گپچژ" for c in w):
-                    table = {}
-                if table and any(c in table for c in w):
-                    new = "".join(table.get(c, c) for c in new)
-                    marks.add("foreign")
-            if new is not w:
-                out.append(s[last : m.start()] + new)
+            new, foreign = judge(w, {_script(c) for c in w} - {""})
+            if foreign:
+                marks.add("foreign")
+            if new != w:
+                out += [s[last : m.start()], new]
                 last = m.end()
-        return s if not out else "".join(out) + s[last:]
+        return "".join(out) + s[last:] if out else s
+
+    def _to(self, writing: str, word: str, scripts: str = "") -> str:
+        """The word with members of classes as the writing has them (only those of the scripts named)."""
+        table = self.words[writing]
+        return "".join(table.get(c, c) if not scripts or _script(c) in scripts else c for c in word)
+
+    def _mixed(self, w: str, k: set[str], lang: str) -> tuple[str, bool]:
+        """(the word as its script has it, whether it holds a letter of another script or language)."""
+        new, foreign = w, False
+        if k & {"C", "G", "H"} and len(k & {"L", "C", "G", "H"}) > 1:
+            # the script of most letters that look like no other decides, a choice that rewriting does not change; Latin if none has more
+            n = Counter(_script(c) for c in w if c not in self.alike)
+            new, foreign = self._to(max("LCGH", key=lambda x: n[x]), w, "LCGH"), True
+        elif k == {"L"} and any(c in self.words["L"] and _script(c) == "L" for c in w) and any(c.isascii() for c in w):
+            new, foreign = self._to("L", w, "L"), True
+        if "A" in k:
+            foreign |= SUSPECT.inside.search(w) is not None
+            table = self.arabic.get(lang, {})
+            if lang == "ar" and PERSIAN_ONLY.search(w):
+                table = {}
+            if any(c in table for c in w):
+                new, foreign = "".join(table.get(c, c) for c in new), True
+            if lang == "ar" and "ۀ" in w:
+                new, foreign = new.replace("ۀ", "هٔ"), True
+        return new, foreign
 
 
 @lru_cache(maxsize=4)
-def _compiled(rules: tuple[tuple[str, str], ...]) -> Normalizer:
-    return Normalizer(dict(rules))
+def _compiled(rules: tuple[tuple[str, str], ...], words: tuple[tuple[str, tuple[tuple[str, str], ...]], ...]) -> Normalizer:
+    out = Forms(rules)
+    out.words = {w: dict(t) for w, t in words}
+    return Normalizer(out)
 
 
-def normalizer(rules: dict[str, str]) -> Normalizer:
+def normalizer(rules: Forms) -> Normalizer:
     """The compiled rules, once per Python worker."""
-    return _compiled(tuple(rules.items()))
+    return _compiled(tuple(rules.items()), tuple((w, tuple(t.items())) for w, t in rules.words.items()))
 
 
 _ANY_MARK = re.compile(f"[{MARK}]")
@@ -280,29 +365,36 @@ def plain_words(form: str | None) -> list[str]:
     return [_ANY_MARK.sub("", w) for w in WORD.findall(form)]
 
 
-def character_counts(df: DataFrame, columns: list[str]) -> dict[str, int]:
-    """How often each character that has look-alikes, or is one, occurs in the columns; summed in Spark, bounded by the code points."""
+def character_counts(df: DataFrame, columns: list[str]) -> dict[str, dict[str, int]]:
+    """How often each character occurs in the columns, in values with letters that only Persian has ('fa') and in others ('ar');
+    summed in Spark, bounded by the code points."""
     present = [c for c in columns if c in df.columns]
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        total = np.zeros(0x110000, dtype=np.int64)
+        total = np.zeros((2, 0x110000), dtype=np.int64)
         for pdf in batches:
             for c in present:
-                text = "".join(x for x in pdf[c] if isinstance(x, str))
-                if text:
-                    part = np.bincount(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
-                    total[: len(part)] += part
-        cp = np.nonzero(total)[0]
-        yield pd.DataFrame({"cp": cp.astype(np.int32), "n": total[cp]})
-
-    rows = df.select(*present).mapInPandas(count, "cp int, n long").groupBy("cp").agg(F.sum("n").alias("n")).collect()
-    return {chr(r.cp): r.n for r in rows}
+                values = [x for x in pdf[c] if isinstance(x, str)]
+                persian = [PERSIAN_ONLY.search(x) is not None for x in values]
+                for group in (0, 1):
+                    text = "".join(x for x, p in zip(values, persian, strict=True) if p == group)
+                    if text:
+                        part = np.bincount(np.frombuffer(text.encode("utf-32-le", "surrogatepass"), dtype=np.uint32))
+                        total[group, : len(part)] += part
+        group, cp = np.nonzero(total)
+        yield pd.DataFrame({"fa": group == 1, "cp": cp.astype(np.int32), "n": total[group, cp]})
+
+    rows = df.select(*present).mapInPandas(count, "fa boolean, cp int, n long").groupBy("fa", "cp").agg(F.sum("n").alias("n")).collect()
+    out: dict[str, dict[str, int]] = {"ar": {}, "fa": {}}
+    for r in rows:
+        out["fa" if r["fa"] else "ar"][chr(r["cp"])] = r["n"]
+    return out
 
 
 FORMS_SCHEMA = T.StructType([T.StructField("field", T.StringType()), T.StructField("kinds", T.ArrayType(T.StringType())), T.StructField("form", T.StringType())])
 
 
-def forms(df: DataFrame, key: str, fields: list[str], rules: dict[str, str], context: list[str] | None = None, only_marked: bool = False) -> DataFrame:
+def forms(df: DataFrame, key: str, fields: list[str], rules: Forms, context: list[str] | None = None, only_marked: bool = False) -> DataFrame:
     """One row per record and field: ``kinds`` of other characters (empty: none) and the value's consistent ``form``, lower-cased.
     The language of a record is told from the fields and ``context`` together."""
     columns = list(dict.fromkeys([*fields, *(context or [])]))
@@ -319,7 +411,7 @@ def forms(df: DataFrame, key: str, fields: list[str], rules: dict[str, str], con
                     v = values[j][i]
                     if not isinstance(v, str):
                         v = None
-                    if v is None or not SUSPECT.search(v):
+                    if v is None or not n.gate.search(v):
                         if only_marked:
                             continue
                         marks, form = (), v

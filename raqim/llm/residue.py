@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from raqim.llm.hosts import site
-from raqim.llm.lookalike import SUSPECT, form_table, normalizer
+from raqim.llm.lookalike import SUSPECT, Forms, form_table, normalizer
 from raqim.session import checkpointed
 
 #: How template languages write a variable, a block or a merge field.
@@ -174,7 +174,7 @@ def _placeholders(out: list, k: int, s: str, field: str, line: str, text: str) -
                 out.append((k, s, field, "placeholder", c, not c or not n, shape))
 
 
-def _candidates(rules: dict[str, str]):
+def _candidates(rules: Forms):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         norm = normalizer(rules)
         for pdf in batches:

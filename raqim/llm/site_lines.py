@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from raqim.llm.hosts import site
-from raqim.llm.lookalike import SUSPECT, character_counts, form_table, language, normalizer
+from raqim.llm.lookalike import Forms, character_counts, form_table, language, normalizer
 from raqim.session import checkpointed
 
 BREAK = re.compile(r"\r\n|\n|\r")
@@ -48,7 +48,7 @@ def line_key(form: str) -> str:
     return DIGITS.sub("0", " ".join(form.lower().split()))
 
 
-def lines(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("snippet", "description"), url: str = "url", rules: dict[str, str] | None = None) -> DataFrame:
+def lines(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("snippet", "description"), url: str = "url", rules: Forms | None = None) -> DataFrame:
     """One row per line that isn't blank: (key, field, line_no from 1, line: 64-bit identifier of site and line key)."""
     fields = tuple(f for f in fields if f in df.columns)
     if rules is None:
@@ -67,7 +67,7 @@ def lines(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("snippet",
                     if not isinstance(v, str):
                         continue
                     for no, line in enumerate(BREAK.split(v), 1):
-                        if SUSPECT.search(line):
+                        if norm.gate.search(line):
                             if lang is None:
                                 lang = language("\n".join(c[i] for c in columns if isinstance(c[i], str)))
                             line = norm.scan(line, lang)[1]
