@@ -53,19 +53,52 @@ JOINERS = ZWNJ + ZWJ
 _RANGES = ((0x300, 0x3FF), (0x400, 0x58F), (0x653, 0x655), (0x1100, 0x11FF), (0x1F00, 0x1FFF), (0x20D0, 0x20FF), (0x2102, 0x214F), (0x2460, 0x24FF), (0x3099, 0x309A), (0x3200, 0x33FF), (0xF900, 0xFDFF), (0xFE10, 0xFE19), (0xFE20, 0xFE6F), (0xFE70, 0xFFEF), (0x1D400, 0x1D7FF), (0x1EE00, 0x1EEFF), (0x1F100, 0x1F1FF), (0x2F800, 0x2FA1F))
 
 
+@lru_cache(maxsize=1)
+def _edges() -> tuple[tuple[str, str], ...]:
+    """(other form, its plain string), from the Unicode data that Python carries: forms, decomposed letters and letters
+    stored twice."""
+    out = []
+    for cp in range(0x80, 0x30000):
+        c = chr(cp)
+        d = U.decomposition(c)
+        if not d:
+            continue
+        if d[0] == "<":
+            ligature = 0xFB00 <= cp <= 0xFB4F or 0xFB50 <= cp <= 0xFDFF or 0xFE70 <= cp <= 0xFEFF
+            if d.split()[0] in FORM_TAGS or (ligature and d.startswith("<compat>")):
+                plain = U.normalize("NFKC", c)
+                if plain.strip() and plain != c and not (ligature and plain[0] == " "):
+                    out.append((c, plain))
+        elif (n := U.normalize("NFC", c)) != c:
+            out.append((c, n))
+        elif len(n := U.normalize("NFD", c)) > 1:
+            out.append((n, c))
+            if len(d.split()) == 2 and len(n) > 2:  # partly composed, as é + a second mark
+                out.append(("".join(chr(int(x, 16)) for x in d.split()), c))
+    return tuple(out)
+
+
+ODD_ASCII, ARABIC, LATIN = re.compile("[\t\x0b\x0c]"), re.compile("[ء-غف-ي]"), re.compile("[A-Za-zÀ-ɏ]")
+
+
 class _Gate:
     """Finds what must be looked at; any other text is in its consistent form already.  Besides single characters these are
     Latin letters between Arabic ones and the reverse."""
 
     def __init__(self, extra: str) -> None:
-        self.single = re.compile("[" + re.escape(INVISIBLE + SPACES + extra) + "".join(f"{chr(a)}-{chr(b)}" for a, b in _RANGES) + "]")
+        all_ = re.escape(INVISIBLE + SPACES + extra) + "".join(f"{chr(a)}-{chr(b)}" for a, b in _RANGES)
+        self.single = re.compile(f"[{all_}]")
+        #: a run of such characters with the one before it; every rule's string is such a run
+        self.part = re.compile(f"[^{all_}]?[{all_}]+", re.DOTALL)
         self.inside = re.compile("[ء-غف-ي][A-Za-zÀ-ɏ]+[ء-غف-ي]|[A-Za-zÀ-ɏ][ء-غف-ي]+[A-Za-zÀ-ɏ]")
 
     def search(self, text: str) -> re.Match | None:
-        return self.single.search(text) or (None if text.isascii() else self.inside.search(text))
+        if text.isascii() and not ODD_ASCII.search(text):
+            return None
+        return self.single.search(text) or (self.inside.search(text) if ARABIC.search(text) and LATIN.search(text) else None)
 
 
-EXTRA = "".join(x for row in ARABIC_LOOKALIKES for x in row[1:] if x != row[0]) + "ۀɡɑɩ"
+EXTRA = "".join(x for row in ARABIC_LOOKALIKES for x in row[1:] if x != row[0]) + "ۀɡɑɩ" + "".join(sorted({c for form, _ in _edges() for c in form[1:] or form} - {c for a, b in _RANGES for c in map(chr, range(a, b + 1))}))
 SUSPECT = _Gate(EXTRA)
 MARK = f"{chr(0x300)}-{chr(0x36F)}{chr(0x64B)}-{chr(0x65F)}{chr(0x670)}{ZWNJ}{ZWJ}"
 WORD = re.compile(rf"[^\W_]+(?:[{MARK}]+[^\W_]*)*")
@@ -103,31 +136,6 @@ def _pairs() -> list[tuple[str, str]]:
     return out
 
 
-@lru_cache(maxsize=1)
-def _edges() -> tuple[tuple[str, str], ...]:
-    """(other form, its plain string), from the Unicode data that Python carries: forms, decomposed letters and letters
-    stored twice."""
-    out = []
-    for cp in range(0x80, 0x30000):
-        c = chr(cp)
-        d = U.decomposition(c)
-        if not d:
-            continue
-        if d[0] == "<":
-            ligature = 0xFB00 <= cp <= 0xFB4F or 0xFB50 <= cp <= 0xFDFF or 0xFE70 <= cp <= 0xFEFF
-            if d.split()[0] in FORM_TAGS or (ligature and d.startswith("<compat>")):
-                plain = U.normalize("NFKC", c)
-                if plain.strip() and plain != c and not (ligature and plain[0] == " "):
-                    out.append((c, plain))
-        elif (n := U.normalize("NFC", c)) != c:
-            out.append((c, n))
-        elif len(n := U.normalize("NFD", c)) > 1:
-            out.append((n, c))
-            if len(d.split()) == 2 and len(n) > 2:  # partly composed, as é + a second mark
-                out.append(("".join(chr(int(x, 16)) for x in d.split()), c))
-    return tuple(out)
-
-
 class Forms(dict):
     """Rewriting rules {string: representative} that hold everywhere, and ``words``: {writing: {member: representative}} for letters
     that are decided by their word."""
@@ -234,7 +242,9 @@ class Normalizer:
         turned = "".join(x for x in self.arabic["ar"] if not SUSPECT.single.search(x))
         #: what must be looked at under these rules: more than SUSPECT where frequency has turned a class of Arabic letters
         self.gate = _Gate(EXTRA + turned) if turned else SUSPECT
-        base = f"{chr(0x370)}-{chr(0x3FF)}{chr(0x400)}-{chr(0x58F)}{re.escape(latin)}"
+        base = f"{chr(0x370)}-{chr(0x3FF)}{chr(0x400)}-{chr(0x58F)}"
+        self.other = re.compile(f"[{base}]")
+        base += re.escape(latin)
         self.foreign = {w: re.compile(f"[{base}{''.join(self.arabic.get(w, ''))}{'ۀ' if w == 'ar' else ''}]") for w in ("ar", "fa", "")}
 
     def scan(self, text: str | None, lang: str | None = None) -> tuple[set[str], str | None]:
@@ -252,14 +262,15 @@ class Normalizer:
         if lang is None:
             lang = language(text)
         out, last = [], 0
-        for end, (n, new) in self.auto.iter_long(text):
-            start = end - n + 1
-            old = text[start : end + 1]
-            if old in JOINERS and self._needed(text, start, end, lang):
-                continue
-            marks.add("invisible" if new == "" else "space" if new == " " else "decomposed" if n > 1 else "form")
-            out += [text[last:start], new]
-            last = end + 1
+        for m in self.gate.part.finditer(text):  # where rules can apply; the automaton's work follows these parts only
+            for end, (n, new) in self.auto.iter_long(m.group()):
+                end += m.start()
+                start = end - n + 1
+                if text[start : end + 1] in JOINERS and self._needed(text, start, end, lang):
+                    continue
+                marks.add("invisible" if new == "" else "space" if new == " " else "decomposed" if n > 1 else "form")
+                out += [text[last:start], new]
+                last = end + 1
         if out:
             text = "".join(out) + text[last:]
         if LOOSE.search(text):
@@ -280,33 +291,41 @@ class Normalizer:
         return lang == "fa" and text[start] == ZWNJ and _script(a) == "A" and _script(b) == "A"
 
     def _words(self, s: str, lang: str, marks: set[str]) -> str:
-        if not self.foreign[lang].search(s) and not SUSPECT.inside.search(s):
+        look = self.foreign[lang]
+        inside = ARABIC.search(s) is not None and LATIN.search(s) is not None and SUSPECT.inside.search(s) is not None
+        if not inside and not look.search(s):
+            return s
+        s = self._rewritten(s, lambda w: self._mixed(w, lang), look, inside, marks)
+        if not self.other.search(s):
             return s
-        s = self._rewritten(s, lambda w, k: self._mixed(w, k, lang), marks)
         own, latin = set(), False  # the scripts of which the value holds genuine words
         for m in WORD.finditer(s):
             w = m.group()
-            k = {_script(c) for c in w} - {""}
-            if len(k) == 1:
-                x = k.pop()
-                latin |= x == "L"
-                if x in "CGH" and any(c not in self.alike for c in w if c.isalpha()):
-                    own.add(x)
-
-        def whole(w: str, k: set[str]) -> tuple[str, bool]:
+            if self.other.search(w):
+                k = {_script(c) for c in w} - {""}
+                if len(k) == 1 and any(c not in self.alike for c in w if c.isalpha()):
+                    own |= k
+            elif not latin:
+                latin = LATIN.match(w) is not None and not ARABIC.search(w)
+
+        def whole(w: str) -> tuple[str, bool]:
             """A word of one other script that is all look-alikes, in a text that has Latin words and no genuine one of that script."""
+            k = {_script(c) for c in w} - {""}
             if latin and len(k) == 1 and k <= {"C", "G", "H"} and not k & own and all(c in self.words["L"] for c in w if c.isalpha()):
                 return self._to("L", w), True
             return w, False
 
-        return self._rewritten(s, whole, marks)
+        return self._rewritten(s, whole, self.other, False, marks)
 
     @staticmethod
-    def _rewritten(s: str, judge, marks: set[str]) -> str:
+    def _rewritten(s: str, judge, look: re.Pattern, all_: bool, marks: set[str]) -> str:
+        """The text with the words that have something to look at (or all of them) as ``judge`` gives them."""
         out, last = [], 0
         for m in WORD.finditer(s):
             w = m.group()
-            new, foreign = judge(w, {_script(c) for c in w} - {""})
+            if not all_ and not look.search(w):
+                continue
+            new, foreign = judge(w)
             if foreign:
                 marks.add("foreign")
             if new != w:
@@ -319,8 +338,9 @@ class Normalizer:
         table = self.words[writing]
         return "".join(table.get(c, c) if not scripts or _script(c) in scripts else c for c in word)
 
-    def _mixed(self, w: str, k: set[str], lang: str) -> tuple[str, bool]:
+    def _mixed(self, w: str, lang: str) -> tuple[str, bool]:
         """(the word as its script has it, whether it holds a letter of another script or language)."""
+        k = {_script(c) for c in w} - {""}
         new, foreign = w, False
         if k & {"C", "G", "H"} and len(k & {"L", "C", "G", "H"}) > 1:
             # the script of most letters that look like no other decides, a choice that rewriting does not change; Latin if none has more

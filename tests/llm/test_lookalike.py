@@ -43,6 +43,11 @@ def test_classes_are_transitive():
 LETTERS = "abcno éß ابكهي" + c(0x200B, 0x200C, 0x200D, 0xA0, 0xFF41, 0xFEFB, 0x301, 0x323, 0x430, 0x436, 0x3BF, 0x3C0, 0x6A9, 0x6CC, 0x6C1, 0x6C0, 0x67E, 0x585, 0x261, 0x212A, 0x1F468, 0x1112, 0x1161)
 
 
+def test_the_gate_lets_no_rule_pass():
+    for x in RULES:
+        assert L.SUSPECT.part.fullmatch(x), ascii(x)
+
+
 @settings(max_examples=2000, deadline=None)
 @given(st.text(alphabet=st.sampled_from(LETTERS), max_size=40), st.sampled_from(["ar", "fa", "", None]))
 def test_form_is_stable(text, lang):
