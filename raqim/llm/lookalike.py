@@ -50,7 +50,7 @@ INVISIBLE = _characters(0xAD, 0x34F, 0x61C, (0x115F, 0x1160), (0x17B4, 0x17B5),
 SPACES = _characters(9, 11, 12, 0x85, 0xA0, 0x1680, (0x2000, 0x200A), 0x202F, 0x205F, 0x3000)
 JOINERS = ZWNJ + ZWJ
 #: Greek, Cyrillic and Armenian letters, which decide by their word; combining marks, styled and presentation forms.
-_RANGES = ((0x300, 0x3FF), (0x400, 0x58F), (0x653, 0x655), (0x1100, 0x11FF), (0x1F00, 0x1FFF), (0x20D0, 0x20FF), (0x2102, 0x214F), (0x2460, 0x24FF), (0x3099, 0x309A), (0x3200, 0x33FF), (0xF900, 0xFDFF), (0xFE10, 0xFE19), (0xFE20, 0xFE6F), (0xFE70, 0xFFEF), (0x10000, 0x1F2FF), (0x2F800, 0x2FA1F))
+_RANGES = ((0x300, 0x3FF), (0x400, 0x58F), (0x653, 0x655), (0x1100, 0x11FF), (0x1F00, 0x1FFF), (0x20D0, 0x20FF), (0x2102, 0x214F), (0x2460, 0x24FF), (0x3099, 0x309A), (0x3200, 0x33FF), (0xF900, 0xFDFF), (0xFE10, 0xFE19), (0xFE20, 0xFE6F), (0xFE70, 0xFFEF), (0x10000, 0x1F2FF), (0x1FBF0, 0x1FBF9), (0x2F800, 0x2FA1F))
 
 
 @lru_cache(maxsize=1)
