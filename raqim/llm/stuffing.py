@@ -1,13 +1,16 @@
 """Problem 2: keyword-stuffed and link-list records.
 
-A snippet is cut into units (lines, and sentences of a line).  Each unit gets the shares the method names: top word and
-two-word phrase, duplicate lines, link text, separators and function words.  What is normal differs by language, so the
-limits of the repetition and function-word shares are quantiles of the units that end like sentences, per language, over
-the whole corpus (a table of one row per language).  A unit beyond its language's limits is no sentence; a record is spam
-if more than half of its snippet's characters lie in such units, or if one keyword occurs five times or more.
+A snippet is cut into units (lines, and sentences of a line).  Each unit gets the shares the method names: its top word, its
+repeated phrases of two, three and four words, link text, separators and function words; the snippet as a whole gives the
+share of its text in lines and sentences that repeat an earlier one, and in phrases it holds three times.  What is normal
+differs by language, so all limits are quantiles of the units that end like sentences, per language, over the whole corpus (a
+table of one row per language); each quantile is held inside a fixed range, so that a corpus of spam cannot move it far.
+A unit beyond its language's limits is no sentence; a record is spam if more than half of its snippet's characters lie in such
+units, or if one keyword occurs five times or more.
 
 Edge cases: rows without a key are left out; null and empty snippets or keywords count as not stuffed; a language with fewer than ``MIN_UNITS`` sentences
-uses the limits of all languages together; keywords are compared in consistent form; repeated rows are judged alike.
+uses the limits of all languages together; keywords are compared in consistent form; repeated rows are judged alike; of an id's
+different keyword values the most repetitive counts.
 """
 
 from __future__ import annotations
@@ -91,8 +94,18 @@ def units(text: str) -> list[str]:
     return out
 
 
-def features(unit: str, lang: str) -> tuple[int, float, float, float, float, float, float, bool]:
-    """(words, top-word share, two-word phrase share, share of different words, function-word share, link share, separators a word, ends like a sentence)."""
+FEATURES = ("words", "top", "pairs", "triples", "quads", "distinct", "function", "links", "separators", "ends")
+
+
+def _repeated(words: list[str], n: int) -> float:
+    """The share of the n-word phrases that occur more than once."""
+    phrases = Counter(zip(*(words[i:] for i in range(n))))  # noqa: B905
+    return sum(c for c in phrases.values() if c > 1) / max(1, len(words) - n + 1)
+
+
+def features(unit: str, lang: str) -> tuple:
+    """The values of FEATURES: words, top-word share, shares of repeated phrases of two to four words, share of different words,
+    function-word share, link share, separators a word, whether it ends like a sentence."""
     links, bare = 0, unit
     if "." in unit.rstrip(".") or "#" in unit:
         bare = TAG.sub(" ", URL.sub(" ", unit))
@@ -100,32 +113,34 @@ def features(unit: str, lang: str) -> tuple[int, float, float, float, float, flo
     words = WORD.findall(bare.lower())
     n = len(words)
     if not n:
-        return 0, 0.0, 0.0, 1.0, 0.0, links / max(1, len(unit)), 0.0, bool(ENDS.search(unit))
+        return 0, 0.0, 0.0, 0.0, 0.0, 1.0, 0.0, links / max(1, len(unit)), 0.0, bool(ENDS.search(unit))
     top = max(Counter(words).values())
     different = len(set(words))
-    repeated = 0.0
+    grams = [0.0, 0.0, 0.0]
     if different < n:
-        pairs = Counter(zip(words, words[1:]))  # noqa: B905
-        repeated = sum(c for c in pairs.values() if c > 1) / max(1, n - 1)
+        for i in (2, 3, 4):
+            grams[i - 2] = _repeated(words, i)
+            if not grams[i - 2]:  # no longer phrase is repeated either
+                break
     function = sum(w in _FUNCTION[lang] for w in words) if lang in _FUNCTION else 0
     if lang == "fr":
         function += len(re.findall(r"\b[ldnsjcqm]['’]", bare.lower()))
-    return n, top / n, repeated, different / n, function / n, links / len(unit), len(SEPARATOR.findall(unit.strip())) / n, bool(ENDS.search(unit))
+    return n, top / n, *grams, different / n, function / n, links / len(unit), len(SEPARATOR.findall(unit.strip())) / n, bool(ENDS.search(unit))
 
 
 def is_stuffed(unit: str, f: tuple, limits: dict[str, float]) -> bool:
     """Whether the unit forms no sentence: links or tags, a list by separators, or terms repeated beyond its language's limits."""
-    n, top, pairs, distinct, function, links, separators, ends = f
-    if links >= 0.5:
+    n, top, pairs, triples, quads, distinct, function, links, separators, ends = f
+    if links > limits["links"]:
         return True
     items = [x for x in SEPARATOR.split(unit) if x and x.strip()]
     if len(items) >= 5 and n:
         size = n / len(items)
-        if (size <= 4.5 or (size <= 6 and function <= 0.05 and not ends)) and (not ends or function <= limits["function"]) and separators >= 0.15 and (function < max(0.12, limits["function"] + 0.05)):
+        if (size <= 4.5 or (size <= 6 and function <= 0.05 and not ends)) and (not ends or function <= limits["function"]) and separators >= limits["separators"] and (function < max(0.12, limits["function"] + 0.05)):
             return True
     if links >= 0.3 and n <= 2 * max(1, len(URL.findall(unit)) + len(TAG.findall(unit))):
         return True
-    if n >= 8 and distinct < limits["distinct"] and function < 0.15 and (top > limits["top"] or pairs > limits["pairs"]):
+    if n >= 8 and distinct < limits["distinct"] and function < 0.15 and (top > limits["top"] or pairs > limits["pairs"] or triples > limits["triples"] or quads > limits["quads"]):
         return True
     return n >= 6 and top >= 0.4 and function < 0.1
 
@@ -148,6 +163,17 @@ def repeats(parts: list[str]) -> list[float]:
     return out
 
 
+def duplicates(parts: list[str]) -> list[bool]:
+    """For each unit of a snippet, whether it repeats an earlier one word for word."""
+    seen: set[str] = set()
+    out = []
+    for u in parts:
+        k = " ".join(u.lower().split())
+        out.append(k in seen)
+        seen.add(k)
+    return out
+
+
 def keyword_repeats(keywords: str) -> int:
     """How often the most frequent keyword occurs."""
     terms = [" ".join(t.lower().split()) for t in KEYWORDS.split(keywords)]
@@ -155,7 +181,10 @@ def keyword_repeats(keywords: str) -> int:
     return max(counts.values(), default=0)
 
 
-UNITS = "id long, lang string, unit string, chars int, words int, top double, pairs double, distinct double, function double, links double, separators double, ends boolean, again double"
+UNITS = (
+    "id long, lang string, unit string, chars int, words int, top double, pairs double, triples double, quads double, distinct double, function double, links double, "
+    "separators double, ends boolean, again double, copies double"
+)
 
 
 def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -169,39 +198,43 @@ def _units(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             text = PLACEHOLDER.sub("x", norm.scan(s)[1] if SUSPECT.search(s) else s)
             lang = tongue(text)
             parts = units(text)
+            twice = duplicates(parts)
+            copies = sum(len(u) for u, d in zip(parts, twice, strict=True) if d) / max(1, sum(map(len, parts)))
             for u, again in zip(parts, repeats(parts), strict=True):
-                out.append((k, lang, u, len(u), *features(u, lang), again))
+                out.append((k, lang, u, len(u), *features(u, lang), again, copies))
         frame = pd.DataFrame(out, columns=names)
         yield frame.astype({"id": "int64", "chars": "int32", "words": "int32", "ends": bool}) if len(out) else frame.astype({"id": "int64"})
 
 
+#: What is taken as the limit: (quantile of the sentences, added to it, least, most, limit where there are too few sentences).
+QUANTILES = {
+    "top": (0.995, 0.0, 0.25, 1.0, 0.34), "pairs": (0.995, 0.0, 0.25, 1.0, 0.25), "triples": (0.995, 0.0, 0.2, 1.0, 0.2), "quads": (0.995, 0.0, 0.15, 1.0, 0.15), "distinct": (0.005, 0.0, 0.0, 0.75, 0.7),
+    "function": (0.02, 0.0, 0.0, 1.0, 0.0), "links": (0.999, 0.1, 0.4, 0.6, 0.5), "separators": (0.995, 0.0, 0.1, 0.2, 0.15), "again": (0.995, 0.0, 0.5, 0.8, 0.5), "copies": (0.995, 0.0, 0.5, 0.8, 0.5),
+}
+BASE_LIMITS = {k: v[4] for k, v in QUANTILES.items()}
+
+
 def limits_by_language(found: DataFrame) -> DataFrame:
-    """Limits of each language from the units that end like sentences, and of all together as language '*'."""
-    sentences = found.filter("ends and words >= 6 and links < 0.2")
-    both = sentences.select("lang", "top", "pairs", "distinct", "function", "again").unionByName(sentences.select(F.lit("*").alias("lang"), "top", "pairs", "distinct", "function", "again"))
-    return both.groupBy("lang").agg(
-        F.count("*").alias("n"),
-        F.percentile_approx("top", 0.995).alias("top"),
-        F.percentile_approx("pairs", 0.995).alias("pairs"),
-        F.percentile_approx("distinct", 0.005).alias("distinct"),
-        F.percentile_approx("function", 0.02).alias("function"),
-        F.percentile_approx("again", 0.995).alias("again"),
-    )
+    """Quantiles of each language from the units that end like sentences, and of all together as language '*'."""
+    sentences = found.filter("ends and words >= 6").select("lang", *QUANTILES)
+    both = sentences.unionByName(sentences.withColumn("lang", F.lit("*")))
+    plain = F.col("links") < 0.2
+    value = lambda k: F.col(k) if k == "links" else F.when(plain, F.col(k))
+    return both.groupBy("lang").agg(F.count("*").alias("n"), *(F.percentile_approx(value(k), q).alias(k) for k, (q, *_) in QUANTILES.items()))
 
 
 def _limits(found: DataFrame) -> dict[str, dict[str, float]]:
     """The limits as a dictionary; one row per known language, so its size is bounded by the list above."""
     rows = {r["lang"]: r.asDict() for r in limits_by_language(found).collect()}
-    base = {"top": 0.34, "pairs": 0.2, "distinct": 0.7, "function": 0.0, "again": 0.5}
     out = {}
     for lang in [*_FUNCTION, "", "*"]:
         r = rows.get(lang)
         if not r or r["n"] < MIN_UNITS:
             r = rows.get("*")
         if not r or r["n"] < MIN_UNITS:
-            r = base
-        # sentences of one language may all be regular; the floors keep a limit from lying inside ordinary prose
-        out[lang] = {"top": max(0.25, r["top"]), "pairs": max(0.25, r["pairs"]), "distinct": min(0.75, r["distinct"]), "function": r["function"], "again": min(0.8, max(0.5, r["again"]))}
+            out[lang] = dict(BASE_LIMITS)
+        else:
+            out[lang] = {k: min(most, max(least, (BASE_LIMITS[k] if r[k] is None else r[k]) + more)) for k, (_, more, least, most, _) in QUANTILES.items()}
     return out
 
 
@@ -212,11 +245,10 @@ def stuffing(df: DataFrame, key: str = "id", share: float = 0.5, max_term: int =
     limits = _limits(found)
 
     def judge(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        columns = ["words", "top", "pairs", "distinct", "function", "links", "separators", "ends"]
         for pdf in batches:
-            rows = pdf[columns].itertuples(index=False, name=None)
+            rows = pdf[list(FEATURES)].itertuples(index=False, name=None)
             own = [limits.get(lang, limits["*"]) for lang in pdf["lang"]]
-            bad = [again > x["again"] or is_stuffed(u, f, x) for u, x, f, again in zip(pdf["unit"], own, rows, pdf["again"], strict=True)]
+            bad = [c > x["copies"] or again > x["again"] or is_stuffed(u, f, x) for u, x, f, again, c in zip(pdf["unit"], own, rows, pdf["again"], pdf["copies"], strict=True)]
             yield pd.DataFrame({"id": pdf["id"], "chars": pdf["chars"], "bad": pdf["chars"] * pd.Series(bad, dtype="int32", index=pdf.index)})
 
     shares = found.mapInPandas(judge, "id long, chars long, bad long").groupBy("id").agg((F.sum("bad") / F.sum("chars")).alias("stuffed"))
@@ -227,5 +259,5 @@ def stuffing(df: DataFrame, key: str = "id", share: float = 0.5, max_term: int =
             n = [keyword_repeats(norm.scan(k)[1]) if isinstance(k, str) and k else 0 for k in pdf["keywords"]]
             yield pd.DataFrame({"id": pdf["id"], "term": pd.Series(n, dtype="int32", index=pdf.index)})
 
-    counted = df.select(F.col(key).alias("id"), "keywords").mapInPandas(terms, "id long, term int").dropDuplicates(["id"])
+    counted = df.select(F.col(key).alias("id"), "keywords").mapInPandas(terms, "id long, term int").groupBy("id").agg(F.max("term").alias("term"))
     return counted.join(shares, "id", "left").select("id", F.coalesce("stuffed", F.lit(0.0)).alias("stuffed"), "term", ((F.coalesce("stuffed", F.lit(0.0)) > share) | (F.col("term") >= max_term)).alias("spam"))

@@ -34,7 +34,7 @@ from raqim.llm.hosts import site
 from raqim.llm.lookalike import INVISIBLE, SPACES, SUSPECT, form_table, normalizer
 from raqim.llm.residue import MARKS, MESSAGES, NAME, PATH, WHOLE, _contexts, is_empty_value, is_filler, trailing_empty
 from raqim.llm.site_lines import line_key
-from raqim.llm.stuffing import SEPARATOR, features, is_stuffed, tongue, units
+from raqim.llm.stuffing import BASE_LIMITS, SEPARATOR, features, is_stuffed, tongue, units
 from raqim.session import checkpointed
 
 BREAK = re.compile(r"\r\n|\n|\r")
@@ -59,7 +59,6 @@ DIGITS = re.compile(r"\d+$")
 FLUSH = 4_000_000
 LISTED = re.compile(r"[|/·•>,،;#»]|\s[-–—]\s|\s{2,}")
 LINKED = re.compile(r"://|www\.|[a-z]\.[a-z]")
-BASE_LIMITS = {"top": 0.25, "pairs": 0.25, "distinct": 0.75, "function": 0.0}
 ENCODINGS = ("characters", "utf8", "utf16", "html", "json", "crlf", "utf8_crlf", "html_utf8")
 #: A limit: at least so long, so many open values there, so many times the mean within 12 of it.
 LEAST_LIMIT, LEAST_PILE, PILE = 80, 8, 3.0

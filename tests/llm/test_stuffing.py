@@ -25,3 +25,23 @@ def test_repeated_sentences_and_lines(spark):
     rows = [(i, s, None, None) for i, s in enumerate(spam)] + [(100 + i, s, None, None) for i, s in enumerate(fine)]
     got = {r.id for r in S.stuffing(spark.createDataFrame(rows, SCHEMA)).filter("spam").collect()}
     assert got == {0, 1}
+
+
+def test_duplicate_lines_and_longer_phrases():
+    assert S.duplicates(["A b", "c", "a  B", "c"]) == [False, False, True, True]
+    n, top, pairs, triples, quads, *_ = S.features("red tea cup now red tea cup now plain", "en")
+    assert n == 9 and (pairs, triples, quads) == (6 / 8, 4 / 7, 2 / 6) and top == 2 / 9
+    assert S.features("a b a c", "en")[2:5] == (0.0, 0.0, 0.0)
+
+
+def test_limits_follow_the_language(spark):
+    linked = [f"Read https://www.example.org/{'abcdefgh'[i % 8] * 14} on the way to the {i} of old" + "." for i in range(120)]
+    rows = [(i, x, None, None) for i, x in enumerate(linked)] + [(1000 + i, ARABIC, None, None) for i in range(60)]
+    found = spark.createDataFrame(rows, SCHEMA).select("id", "snippet").mapInPandas(S._units, S.UNITS)
+    limits = S._limits(found)
+    assert limits["ar"]["links"] == 0.4 < limits["en"]["links"] == 0.6 and limits["de"] == limits["*"]
+
+
+def test_an_id_with_two_keyword_values(spark):
+    rows = [(1, PROSE, "tea", None), (1, PROSE, "tea, tea, tea, tea, tea", None)]
+    assert [(r.id, r.term, r.spam) for r in S.stuffing(spark.createDataFrame(rows, SCHEMA)).collect()] == [(1, 5, True)]
