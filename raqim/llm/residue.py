@@ -40,6 +40,7 @@ PLACEHOLDER = re.compile(
 )
 #: What a program prints for an empty value.
 EMPTY = {"null", "nil", "none", "nan", "undefined", "n/a", "(none)", "(null)", "[object object]", "array", "object", "[object undefined]", "<null>", "#n/a", "#ref!", "inf", "-nan", "nonetype"}
+_EMPTY_STARTS = tuple(x.split()[0] for x in sorted(EMPTY)) + tuple("-|–—:/,;")
 #: Known titles without the site's name, digits masked as 0.
 TITLES = re.compile(
     r"(?:error|erreur|fehler|خطأ|خطا|http|http error|status)[ :#]*0|0 ?[:\-–]? ?(?:not found|forbidden|unauthorized|bad request|service unavailable|gateway time-?out|bad gateway|internal server error|error|too many requests)|"
@@ -116,6 +117,8 @@ def is_empty_value(text: str) -> bool:
     t = text.strip().lower()
     if t in EMPTY:
         return True
+    if not t.startswith(_EMPTY_STARTS):
+        return False
     parts = [p for p in re.split(r"\s+[-|–—:/]\s+|[,;|\n]+|:\s+", t) if p.strip()]
     words = [w for p in parts for w in (p.split() if p.strip() not in EMPTY else [p.strip()])]
     return bool(words) and all(w in EMPTY for w in words)

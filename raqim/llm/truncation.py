@@ -1,8 +1,9 @@
 """Problem 3: values cut off by a field's limit.
 
 Storage limits hide in other units than characters, so each value's length is taken under several encodings (characters,
-UTF-8 bytes, UTF-16 units, HTML-escaped, JSON-escaped, line breaks as CR LF, and combinations) and counted by field and
-encoding; lengths at which values without an end stop pile up are the limits (``limits``).
+UTF-8 bytes, UTF-16 units, HTML-escaped, JSON-escaped, line breaks as CR LF, and combinations) and counted by source, field
+and encoding, and by field and encoding over all sources; lengths at which values without an end stop pile up are the limits
+(``site_limits``, ``limits``).  A source with too few values for limits of its own has those of the field.
 
 Endings are then inspected.  A cut mark or note, a broken character, entity, tag or escape decides at once.  A value that
 ends without a stop is compared with the corpus: its last sentence is reduced to a template of its script's most
@@ -27,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from raqim.llm.hosts import site
@@ -60,8 +61,14 @@ FLUSH = 4_000_000
 LISTED = re.compile(r"[|/·•>,،;#»]|\s[-–—]\s|\s{2,}")
 LINKED = re.compile(r"://|www\.|[a-z]\.[a-z]")
 ENCODINGS = ("characters", "utf8", "utf16", "html", "json", "crlf", "utf8_crlf", "html_utf8")
-#: A limit: at least so long, so many open values there, so many times the mean within 12 of it.
-LEAST_LIMIT, LEAST_PILE, PILE = 80, 8, 3.0
+#: A limit: so many open values there, so many times the mean within 12 of it.
+LEAST_PILE, PILE = 8, 3.0
+#: A source's own limit holds at least this share of its open values of the field.
+SITE_SHARE = 0.04
+#: Headlines of one make pile up at shorter lengths (twice that in bytes); there, a limit must also be the greatest length of its
+#: source's open values.
+HEADLINE = 80
+BYTES = ("utf8", "utf8_crlf", "html_utf8")
 #: A last line is the site's own if it follows so many different texts.
 OWN_LINE = 3
 
@@ -100,10 +107,9 @@ def mark_of(tail: str) -> str:
     last = tail[-1]
     if last == chr(0xFFFD) or 0xD800 <= ord(last) <= 0xDFFF:
         return "character"
-    end = tail[-60:]
-    if ("…" in end or ".." in end or last in "])") and MARK.search(end):
+    near = tail
+    if ("…" in near or ".." in near or last in "])") and MARK.search(near):
         return "mark"
-    near = tail[-200:]
     if "<" in near and (m := TAG.search(near)) and (m.start() == 0 or not near[m.start() - 1].isdigit() or len(m.group()) > 1) and not m.group().startswith("<?"):
         return "tag"
     if "&" in near and (m := ENTITY.search(near)):
@@ -153,7 +159,7 @@ def _hash(text: str) -> int:
     return xxhash.xxh64_intdigest(text) - (1 << 63)
 
 
-def _count_words(fields: list[str], final: bool):
+def _count_words(fields: list[str]):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """How often each word stands anywhere but at the end of its value."""
         counts: dict[str, Counter] = {}
@@ -181,7 +187,7 @@ def _words_frame(counts: dict[str, Counter]) -> pd.DataFrame:
 
 def word_counts(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     """(lang, word, n) over all values of the fields; the last word of a value counts only if something follows it."""
-    return df.select(*fields).mapInPandas(_count_words(list(fields), True), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return df.select(*fields).mapInPandas(_count_words(list(fields)), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 ROWS = "kind string, id long, site string, field string, cut string, fine long, coarse long, last string, line long, before long, value long, about string, lens array<int>, key long, ends long, goes long"
@@ -214,7 +220,7 @@ def _is_listing(text: str, tail: str) -> bool:
 
 def _is_residue(text: str, own: tuple[str, ...]) -> tuple[bool, str]:
     """(residue of problem 5, its context where only the corpus can tell)."""
-    if (len(text) < 200 and is_empty_value(text)) or is_filler(text):
+    if is_empty_value(text) or is_filler(text):
         return True, ""
     if MARKS.search(text):
         for line in BREAK.split(text):
@@ -321,10 +327,10 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
 
 
 def _scanned(df: DataFrame, key: str, fields: tuple[str, ...], counts: DataFrame) -> DataFrame:
-    top = counts.filter(~F.col("word").rlike("^[0-9]+$")).withColumn("r", F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "word"))).filter(F.col("r") <= KNOWN)
     ranks: dict[str, dict[str, int]] = {}
-    for r in top.collect():  # KNOWN words for each of the known languages
-        ranks.setdefault(r["lang"], {})[r["word"]] = r["r"] - 1
+    for group in ("A", "L"):  # the KNOWN most frequent words of each script; each partition gives its own most frequent
+        top = counts.filter((F.col("lang") == group) & ~F.col("word").rlike("^[0-9]+$")).orderBy(F.desc("n"), "word").limit(KNOWN)
+        ranks[group] = {r["word"]: i for i, r in enumerate(top.collect())}
     path = F.lower(F.regexp_extract("url", r"^\s*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*?)/?(?:index\.html?)?(?:[?#].*)?$", 1))
     source = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.coalesce(site(F.col("url")), F.lit("")).alias("site__"), F.coalesce(path, F.lit("")).alias("path__"), *fields)
     # one record of each different value counts for all its copies; only hashes are grouped for it
@@ -342,35 +348,63 @@ def limits(scanned: DataFrame) -> DataFrame:
     near = piles.select("field", "encoding", F.explode(F.array([F.col("length") + d for d in steps])).alias("length"), "open")
     usual = near.groupBy("field", "encoding", "length").agg((F.sum("open") / len(steps)).alias("usual"))
     joined = piles.join(usual, ["field", "encoding", "length"], "left").withColumn("usual", F.coalesce("usual", F.lit(0.0)))
-    return joined.filter((F.col("length") >= LEAST_LIMIT) & (F.col("open") >= LEAST_PILE) & (F.col("open") > PILE * (F.col("usual") + 1)))
+    return joined.filter((F.col("length") >= HEADLINE) & (F.col("open") >= LEAST_PILE) & (F.col("open") > PILE * (F.col("usual") + 1)))
+
+
+def site_limits(open_: DataFrame) -> DataFrame:
+    """(site, field, e: position in ENCODINGS, length, open): lengths at which a source's open values pile up, against their
+    neighbours and against all its open values of the field.  Lengths are counted before they are shuffled."""
+    each = open_.select("site", "field", F.posexplode("lens").alias("e", "length"))
+    counts = each.groupBy("site", "field", "e", "length").agg(F.count("*").alias("open"))
+    total = open_.groupBy("site", "field").agg(F.count("*").alias("all"), F.array(*(F.max(F.get("lens", F.lit(e))) for e in range(len(ENCODINGS)))).alias("greatest"))
+    high = counts.filter(F.col("open") >= LEAST_PILE).join(total, ["site", "field"])
+    headline = F.when(F.col("e").isin([ENCODINGS.index(x) for x in BYTES]), 2 * HEADLINE).otherwise(HEADLINE)
+    high = high.filter((F.col("open") >= SITE_SHARE * F.col("all")) & ((F.col("length") >= headline) | (F.col("length") == F.get("greatest", F.col("e")))))
+    high = high.select("site", "field", "e", F.col("length").alias("at"), "open")
+    steps = [d for d in range(-12, 13) if abs(d) > 1]
+    near = high.withColumn("length", F.explode(F.array([F.col("at") + d for d in steps]))).join(counts.withColumnRenamed("open", "others"), ["site", "field", "e", "length"], "left")
+    usual = near.groupBy("site", "field", "e", "at").agg(F.first("open").alias("open"), (F.sum(F.coalesce("others", F.lit(0))) / len(steps)).alias("usual"))
+    return usual.filter(F.col("open") > PILE * (F.col("usual") + 1)).select("site", "field", "e", F.col("at").alias("length"), "open")
 
 
 def truncated(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("snippet", "description"), extra: tuple[str, ...] = ("title",)) -> DataFrame:
-    """(id, site, field, cut: what shows it) of the values that were cut off."""
-    return _judged(df, key, fields, extra)[0]
+    """(id, site, field, cut: what shows it, limit: the encoding and length of a storage limit that the value reaches, or null) of the
+    values that were cut off."""
+    return _judged(df, key, fields, extra)
 
 
-def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str, ...]) -> tuple[DataFrame, DataFrame]:
+def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str, ...]) -> DataFrame:
     counts = checkpointed(word_counts(df, (*fields, *(e for e in extra if e in df.columns))))
     scanned = _scanned(df, key, fields, counts)
     tails = scanned.filter("kind = 'tail'").select("id", "site", "field", "cut", "fine", "coarse", "last", "line", "before", "value", "about", "lens")
     templates = scanned.filter("kind = 'template'").groupBy("key").agg(F.sum("ends").alias("ends"), F.sum("goes").alias("goes"))
-    found = limits(scanned).select("field", F.array_position(F.array(*map(F.lit, ENCODINGS)), F.col("encoding")).cast("int").alias("e"), F.col("length").cast("int").alias("length"))
-    at = F.broadcast(found.groupBy("field").agg(F.collect_set(F.struct("e", "length")).alias("limits")))  # at most a few lengths an encoding
+    # the highest pile comes first, of equal ones the encoding that is named first
+    in_order = lambda of, by, name: of.groupBy(*by).agg(F.sort_array(F.collect_set(F.struct((-F.col("open")).alias("pile"), "e", "length"))).alias(name))
+    of_field = limits(scanned).select("field", (F.array_position(F.array(*map(F.lit, ENCODINGS)), F.col("encoding")) - 1).cast("int").alias("e"), F.col("length").cast("int").alias("length"), "open")
+    of_field = in_order(of_field, ["field"], "general")  # a row a field
+    of_site = in_order(site_limits(tails), ["site", "field"], "own")
+    tails = tails.join(of_site, ["site", "field"], "left").join(of_field, "field", "left")
+    none = F.array().cast("array<struct<pile:bigint,e:int,length:int>>")
+    all_limits = F.concat(F.coalesce("own", none), F.coalesce("general", none))
+    reached = F.filter(all_limits, lambda x: (F.get("lens", x["e"]) == x["length"]) | (F.get("lens", x["e"]) == x["length"] - 1))
+    name = F.concat(F.element_at(F.array(*map(F.lit, ENCODINGS)), F.get(reached, F.lit(0))["e"] + 1), F.lit(" "), F.get(reached, F.lit(0))["length"].cast("string"))
+    tails = tails.withColumn("limit", F.when(F.size(reached) > 0, name)).drop("lens", "own", "general")
     open_ = tails.filter("cut = ''")
     # the site's own recurring lines, as they stand at the end of values
     own = open_.groupBy("line").agg(F.countDistinct("before").alias("texts")).filter(F.col("texts") >= OWN_LINE).select("line", F.lit(True).alias("recurs"))
-    pieces = open_.filter("last is not null").groupBy("last").agg(F.countDistinct("value").alias("open_ends"))
     words = counts.select(F.concat_ws(" ", "lang", "word").alias("last"), F.col("n").alias("whole"))
+    pieces = open_.filter("last is not null").groupBy("last").agg(F.countDistinct("value").alias("open_ends")).join(words, "last", "left")
+    # a value without a last word or a sentence has keys of its own, so that such values don't meet in one task
+    keyed = open_.withColumns({"last_": F.coalesce("last", F.col("id").cast("string")), "fine": F.when(F.col("fine") == 0, F.xxhash64("id")).otherwise(F.col("fine")), "coarse": F.when(F.col("coarse") == 0, F.xxhash64("id")).otherwise(F.col("coarse"))})
     judged = (
-        open_.join(templates.select(F.col("key").alias("fine"), F.col("ends").alias("e1"), F.col("goes").alias("g1")), "fine", "left")
+        keyed.join(templates.select(F.col("key").alias("fine"), F.col("ends").alias("e1"), F.col("goes").alias("g1")), "fine", "left")
         .join(templates.select(F.col("key").alias("coarse"), F.col("ends").alias("e2"), F.col("goes").alias("g2")), "coarse", "left")
-        .join(words, "last", "left").join(pieces, "last", "left").join(own, "line", "left").join(at, "field", "left")
+        .join(pieces.withColumnRenamed("last", "last_"), "last_", "left").join(own, "line", "left")
     )
     zero = F.lit(0)
     # with all its copies, the value itself is one of the ends
     e1, g1, e2, g2 = (F.coalesce(c, zero) for c in ("e1", "g1", "e2", "g2"))
-    limited = F.coalesce(F.exists("limits", lambda x: (F.element_at("lens", x["e"]) == x["length"]) | (F.element_at("lens", x["e"]) == x["length"] - 1)), F.lit(False))
+    limited = F.col("limit").isNotNull()
     # a cut word is nowhere whole (nor a habitual last word), or is a stump that open ends have more often than sentences do
     stump = (F.length(F.substring_index("last", " ", -1)) <= 4) & (F.col("open_ends") * 2 >= F.coalesce("whole", zero)) & (F.col("open_ends") >= 2)
     enough = e1 + g1 >= 5
@@ -383,17 +417,22 @@ def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str,
         .when(goes_on, F.lit("sentence"))
         .when(limited & ~ends_here & ~F.coalesce("recurs", F.lit(False)), F.lit("limit"))
     )
-    judged = judged.withColumn("cut", cut).filter("cut is not null").select("id", "site", "field", "cut", "about", "value")
-    all_ = tails.filter("cut <> ''").select("id", "site", "field", "cut", "about", "value").union(judged)
+    columns = ["id", "site", "field", "cut", "limit", "about", "value"]
+    judged = judged.withColumn("cut", cut).filter("cut is not null").select(*columns)
+    all_ = tails.filter("cut <> ''").select(*columns).union(judged)
     # placeholders with words on both sides are residue unless the same words surround them in record after record
     text_about = all_.filter("about is not null").groupBy("about").agg(F.countDistinct("value").alias("n")).filter("n >= 2").select("about")
-    kept = all_.filter("about is null").select("id", "site", "field", "cut", "about").union(all_.filter("about is not null").join(text_about, "about", "left_semi").select("id", "site", "field", "cut", "about"))
-    return kept.select("id", "site", "field", "cut"), scanned
+    kept = all_.filter("about is null").union(all_.filter("about is not null").join(text_about, "about", "left_semi").select(*columns))
+    return kept.select("id", "site", "field", "cut", "limit")
 
 
 def report(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("snippet", "description"), extra: tuple[str, ...] = ("title",)) -> DataFrame:
-    """(site, field, values, cut, share): how often each site cuts its values that aren't empty."""
-    found = truncated(df, key, fields, extra).groupBy("site", "field").agg(F.count("*").alias("cut"))
+    """(site, field, values, cut, share, at_limit, limit): how often each site cuts its values that aren't empty, how many of these reach a
+    storage limit, and the limit that most of them reach."""
+    found = truncated(df, key, fields, extra).groupBy("site", "field", "limit").agg(F.count("*").alias("n"))
+    at = F.when(F.col("limit").isNotNull(), F.col("n"))
+    found = found.groupBy("site", "field").agg(F.sum("n").alias("cut"), F.sum(at).alias("at_limit"), F.max(F.when(at.isNotNull(), F.struct("n", "limit"))).alias("most"))
     values = df.select(F.coalesce(site(F.col("url")), F.lit("")).alias("site"), F.explode(F.filter(F.array(*(F.when(F.length(F.trim(f)) > 0, F.lit(f)) for f in fields)), lambda x: x.isNotNull())).alias("field"))
     n = values.groupBy("site", "field").agg(F.count("*").alias("values"))
-    return n.join(found, ["site", "field"], "left").select("site", "field", "values", F.coalesce("cut", F.lit(0)).alias("cut"), (F.coalesce("cut", F.lit(0)) / F.col("values")).alias("share"))
+    cut = F.coalesce("cut", F.lit(0))
+    return n.join(found, ["site", "field"], "left").select("site", "field", "values", cut.alias("cut"), (cut / F.col("values")).alias("share"), F.coalesce("at_limit", F.lit(0)).alias("at_limit"), F.col("most.limit").alias("limit"))

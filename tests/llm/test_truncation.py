@@ -48,3 +48,19 @@ def test_copies_are_no_evidence(spark):
     rows += [(i, "https://s9.example/y", "t", f"The committee in {NAMES[i % 6]} reviews tea before the holiday. Seen {'ab' * (i - 899)} now.\nDemand for tea in Leeds grew by", None, "") for i in range(900, 910)]
     got = {(r.id, r.field) for r in T.truncated(spark.createDataFrame(rows, SCHEMA)).collect()}
     assert got == {(i, "snippet") for i in range(1, 900)}  # the last ten end with a line of their site
+
+
+def test_a_site_with_its_own_limit(spark):
+    r = random.Random(7)
+    words = "tea books maps trains roofs soup wood glass garden office spring holiday week demand committee".split()
+    short = []
+    for i in range(40):  # 60 bytes of UTF-8, cut behind whole words or not
+        text = " ".join(["é" * (i % 5), *(r.choice(words) for _ in range(30))]).strip().encode()[:60].decode("utf-8", "ignore")
+        short.append((i, "https://own.example/p", "t", None, text, ""))
+    rows = short + corpus(600) + [(5000 + i, f"https://s{i % 40}.example/{i}", "t", None, " ".join(r.choice(words) for _ in range(r.randint(4, 12))), "") for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    got = {r.id: (r.cut, r.limit) for r in T.truncated(df).collect()}
+    full = [i for i, *_, d, _ in short if len(d.encode()) == 60]
+    assert len(full) > 30 and sum(got.get(i, ("", ""))[1] == "utf8 60" for i in full) >= 0.9 * len(full)
+    per = {(r.site, r.field): (r.at_limit, r.limit) for r in T.report(df).collect()}
+    assert per["own.example", "description"][1] == "utf8 60" and not any(x[1] for k, x in per.items() if k[0] != "own.example")
