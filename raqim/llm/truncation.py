@@ -28,7 +28,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from raqim.llm.hosts import site
@@ -100,6 +100,20 @@ def lengths(value: str) -> list[int]:
     ]
 
 
+#: The encodings by the unit they count, characters or bytes.
+UNITS_OF = tuple([e for e, x in enumerate(ENCODINGS) if (x in BYTES) == b] for b in (False, True))
+
+
+def coded(lens: list[int]) -> list[int]:
+    """The different lengths of a value by unit, each as unit * 2**40 + (bits of the encodings that give it) * 2**32 + length."""
+    out: dict[int, int] = {}
+    for unit, own in enumerate(UNITS_OF):
+        for e in own:
+            k = unit << 40 | lens[e]
+            out[k] = out.get(k, 0) | 1 << e
+    return [k | bits << 32 for k, bits in out.items()]
+
+
 def mark_of(tail: str) -> str:
     """What shows a cut at the end of the text: mark, character, tag, entity, escape; '' if nothing does."""
     if not tail:
@@ -190,11 +204,11 @@ def word_counts(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     return df.select(*fields).mapInPandas(_count_words(list(fields)), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-ROWS = "kind string, id long, site string, field string, cut string, fine long, coarse long, last string, line long, before long, value long, about string, lens array<int>, key long, ends long, goes long"
+ROWS = "kind string, id long, site string, field string, cut string, fine long, coarse long, last string, line long, before long, value long, about string, lens array<long>, key long, ends long, goes long"
 _ARROW = pa.schema(
     [
         ("kind", pa.string()), ("id", pa.int64()), ("site", pa.string()), ("field", pa.string()), ("cut", pa.string()), ("fine", pa.int64()), ("coarse", pa.int64()), ("last", pa.string()),
-        ("line", pa.int64()), ("before", pa.int64()), ("value", pa.int64()), ("about", pa.string()), ("lens", pa.list_(pa.int32())), ("key", pa.int64()), ("ends", pa.int64()), ("goes", pa.int64()),
+        ("line", pa.int64()), ("before", pa.int64()), ("value", pa.int64()), ("about", pa.string()), ("lens", pa.list_(pa.int64())), ("key", pa.int64()), ("ends", pa.int64()), ("goes", pa.int64()),
     ]
 )
 
@@ -306,7 +320,7 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                     if residue or _is_listing(text, tail):
                         continue
                     last = part[-1] if part and tail[-1:].isalnum() and not DIGITS.match(part[-1]) else ""
-                    rows.append((k, s, f, cut, mine, mine, f"{lang} {last}" if last else None, _hash(f"{s}\n{line_key(tail)}"), _hash(line_key(" ".join(lines[:-1]))) if len(lines) > 1 else 0, _hash(f"{f}\n{raw}"), about or None, lens))
+                    rows.append((k, s, f, cut, mine, mine, f"{lang} {last}" if last else None, _hash(f"{s}\n{line_key(tail)}"), _hash(line_key(" ".join(lines[:-1]))) if len(lines) > 1 else 0, _hash(f"{f}\n{raw}"), about or None, coded(lens)))
             levels = [_template_hashes(np.array(flat, dtype=np.int64), np.array(first, dtype=np.int64), np.array(group, dtype=np.int64), x) for x in (FINE, COARSE)]
             if rows:
                 c = list(zip(*rows, strict=True))
@@ -351,18 +365,30 @@ def limits(scanned: DataFrame) -> DataFrame:
     return joined.filter((F.col("length") >= HEADLINE) & (F.col("open") >= LEAST_PILE) & (F.col("open") > PILE * (F.col("usual") + 1)))
 
 
+def _length(code: Column) -> Column:
+    return code.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
+
+
+def _under(code: Column, e: Column) -> Column:
+    """Whether the length of a code is the value's under encoding e."""
+    return F.getbit(F.shiftright(code, 32), e) == 1
+
+
 def site_limits(open_: DataFrame) -> DataFrame:
     """(site, field, e: position in ENCODINGS, length, open): lengths at which a source's open values pile up, against their
-    neighbours and against all its open values of the field.  Lengths are counted before they are shuffled."""
-    each = open_.select("site", "field", F.posexplode("lens").alias("e", "length"))
-    counts = each.groupBy("site", "field", "e", "length").agg(F.count("*").alias("open"))
-    total = open_.groupBy("site", "field").agg(F.count("*").alias("all"), F.array(*(F.max(F.get("lens", F.lit(e))) for e in range(len(ENCODINGS)))).alias("greatest"))
-    high = counts.filter(F.col("open") >= LEAST_PILE).join(total, ["site", "field"])
-    headline = F.when(F.col("e").isin([ENCODINGS.index(x) for x in BYTES]), 2 * HEADLINE).otherwise(HEADLINE)
-    high = high.filter((F.col("open") >= SITE_SHARE * F.col("all")) & ((F.col("length") >= headline) | (F.col("length") == F.get("greatest", F.col("e")))))
-    high = high.select("site", "field", "e", F.col("length").alias("at"), "open")
+    neighbours in the same unit and against all its open values of the field.  Lengths are counted before they are shuffled."""
+    each = open_.select("site", "field", F.explode("lens").alias("code"))
+    each = each.withColumns({"unit": F.shiftright("code", 40).cast("int"), "length": _length(F.col("code"))})
+    by = [F.sum(_under(F.col("code"), F.lit(e)).cast("int")).alias(f"e{e}") for e in range(len(ENCODINGS))]
+    counts = each.groupBy("site", "field", "unit", "length").agg(F.count("*").alias("n"), *by)
+    greatest = [F.max(F.array_max(F.transform(F.filter("lens", lambda x: F.shiftright(x, 40) == unit), _length))).alias(f"m{unit}") for unit in (0, 1)]  # noqa: B023
+    total = open_.groupBy("site", "field").agg(F.count("*").alias("all"), *greatest)
+    most = F.greatest(*(F.struct(F.col(f"e{e}").alias("open"), F.lit(-e).alias("e")) for e in range(len(ENCODINGS))))
+    high = counts.filter(F.col("n") >= LEAST_PILE).withColumn("most", most).filter(F.col("most.open") >= LEAST_PILE).join(total, ["site", "field"])
+    high = high.filter((F.col("most.open") >= SITE_SHARE * F.col("all")) & ((F.col("length") >= HEADLINE * (F.col("unit") + 1)) | (F.col("length") == F.when(F.col("unit") == 0, F.col("m0")).otherwise(F.col("m1")))))
+    high = high.select("site", "field", "unit", (-F.col("most.e")).alias("e"), F.col("length").alias("at"), F.col("most.open").alias("open"))
     steps = [d for d in range(-12, 13) if abs(d) > 1]
-    near = high.withColumn("length", F.explode(F.array([F.col("at") + d for d in steps]))).join(counts.withColumnRenamed("open", "others"), ["site", "field", "e", "length"], "left")
+    near = high.withColumn("length", F.explode(F.array([F.col("at") + d for d in steps]))).join(counts.select("site", "field", "unit", "length", F.col("n").alias("others")), ["site", "field", "unit", "length"], "left")
     usual = near.groupBy("site", "field", "e", "at").agg(F.first("open").alias("open"), (F.sum(F.coalesce("others", F.lit(0))) / len(steps)).alias("usual"))
     return usual.filter(F.col("open") > PILE * (F.col("usual") + 1)).select("site", "field", "e", F.col("at").alias("length"), "open")
 
@@ -386,7 +412,7 @@ def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str,
     tails = tails.join(of_site, ["site", "field"], "left").join(of_field, "field", "left")
     none = F.array().cast("array<struct<pile:bigint,e:int,length:int>>")
     all_limits = F.concat(F.coalesce("own", none), F.coalesce("general", none))
-    reached = F.filter(all_limits, lambda x: (F.get("lens", x["e"]) == x["length"]) | (F.get("lens", x["e"]) == x["length"] - 1))
+    reached = F.filter(all_limits, lambda x: F.exists("lens", lambda c: _length(c).between(x["length"] - 1, x["length"]) & _under(c, x["e"])))
     name = F.concat(F.element_at(F.array(*map(F.lit, ENCODINGS)), F.get(reached, F.lit(0))["e"] + 1), F.lit(" "), F.get(reached, F.lit(0))["length"].cast("string"))
     tails = tails.withColumn("limit", F.when(F.size(reached) > 0, name)).drop("lens", "own", "general")
     open_ = tails.filter("cut = ''")
@@ -394,6 +420,9 @@ def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str,
     own = open_.groupBy("line").agg(F.countDistinct("before").alias("texts")).filter(F.col("texts") >= OWN_LINE).select("line", F.lit(True).alias("recurs"))
     words = counts.select(F.concat_ws(" ", "lang", "word").alias("last"), F.col("n").alias("whole"))
     pieces = open_.filter("last is not null").groupBy("last").agg(F.countDistinct("value").alias("open_ends")).join(words, "last", "left")
+    # only templates that an open value asks for are kept; they are few beside all
+    asked = open_.select(F.explode(F.array("fine", "coarse")).alias("key")).filter("key <> 0").distinct()
+    templates = checkpointed(templates.join(asked.hint("shuffle_hash"), "key"))
     # a value without a last word or a sentence has keys of its own, so that such values don't meet in one task
     keyed = open_.withColumns({"last_": F.coalesce("last", F.col("id").cast("string")), "fine": F.when(F.col("fine") == 0, F.xxhash64("id")).otherwise(F.col("fine")), "coarse": F.when(F.col("coarse") == 0, F.xxhash64("id")).otherwise(F.col("coarse"))})
     judged = (
