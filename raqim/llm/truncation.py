@@ -402,7 +402,8 @@ def truncated(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("snippe
 def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str, ...]) -> DataFrame:
     counts = checkpointed(word_counts(df, (*fields, *(e for e in extra if e in df.columns))))
     scanned = _scanned(df, key, fields, counts)
-    tails = scanned.filter("kind = 'tail'").select("id", "site", "field", "cut", "fine", "coarse", "last", "line", "before", "value", "about", "lens")
+    # open values are few beside the templates and read by many branches
+    tails = checkpointed(scanned.filter("kind = 'tail'").select("id", "site", "field", "cut", "fine", "coarse", "last", "line", "before", "value", "about", "lens"))
     templates = scanned.filter("kind = 'template'").groupBy("key").agg(F.sum("ends").alias("ends"), F.sum("goes").alias("goes"))
     # the highest pile comes first, of equal ones the encoding that is named first
     in_order = lambda of, by, name: of.groupBy(*by).agg(F.sort_array(F.collect_set(F.struct((-F.col("open")).alias("pile"), "e", "length"))).alias(name))
@@ -414,7 +415,7 @@ def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str,
     all_limits = F.concat(F.coalesce("own", none), F.coalesce("general", none))
     reached = F.filter(all_limits, lambda x: F.exists("lens", lambda c: _length(c).between(x["length"] - 1, x["length"]) & _under(c, x["e"])))
     name = F.concat(F.element_at(F.array(*map(F.lit, ENCODINGS)), F.get(reached, F.lit(0))["e"] + 1), F.lit(" "), F.get(reached, F.lit(0))["length"].cast("string"))
-    tails = tails.withColumn("limit", F.when(F.size(reached) > 0, name)).drop("lens", "own", "general")
+    tails = checkpointed(tails.withColumn("limit", F.when(F.size(reached) > 0, name)).drop("lens", "own", "general"))
     open_ = tails.filter("cut = ''")
     # the site's own recurring lines, as they stand at the end of values
     own = open_.groupBy("line").agg(F.countDistinct("before").alias("texts")).filter(F.col("texts") >= OWN_LINE).select("line", F.lit(True).alias("recurs"))
