@@ -267,7 +267,6 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
         seen: set[tuple[int, str]] = set()  # values counted, where rows are repeated
         for batch in batches:
             rows: list[tuple] = []
-            piles: Counter = Counter()
             flat: list[int] = []  # ranks of all words, sentence by sentence
             first: list[int] = []
             ended: list[bool] = []
@@ -289,18 +288,16 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                         continue
                     cut = mark_of(text)
                     stopped = not cut and ends_sentence(text)
-                    if not stopped:
-                        lens = lengths(raw)
-                        for e, n in zip(ENCODINGS, lens, strict=True):
-                            piles[f, e, n] += 1
                     part: list[str] = []
                     count = bool(counted >> bit & 1) and (k, f) not in seen
                     if count:
                         seen.add((k, f))
+                    elif stopped:
+                        continue
                     get = known.get
                     arabic = lang == "A"
                     mine = -1
-                    for j, line in enumerate(lines):
+                    for j, line in enumerate(lines if count else lines[-1:], 0 if count else len(lines) - 1):
                         sentences = SENTENCE.split(line) if STOPS.search(line) else [line]
                         for m, sentence in enumerate(sentences):
                             part = WORD.findall(sentence.lower())
@@ -320,7 +317,7 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                     if residue or _is_listing(text, tail):
                         continue
                     last = part[-1] if part and tail[-1:].isalnum() and not DIGITS.match(part[-1]) else ""
-                    rows.append((k, s, f, cut, mine, mine, f"{lang} {last}" if last else None, _hash(f"{s}\n{line_key(tail)}"), _hash(line_key(" ".join(lines[:-1]))) if len(lines) > 1 else 0, _hash(f"{f}\n{raw}"), about or None, coded(lens)))
+                    rows.append((k, s, f, cut, mine, mine, f"{lang} {last}" if last else None, _hash(f"{s}\n{line_key(tail)}"), _hash(line_key(" ".join(lines[:-1]))) if len(lines) > 1 else 0, _hash(f"{f}\n{raw}"), about or None, coded(lengths(raw))))
             levels = [_template_hashes(np.array(flat, dtype=np.int64), np.array(first, dtype=np.int64), np.array(group, dtype=np.int64), x) for x in (FINE, COARSE)]
             if rows:
                 c = list(zip(*rows, strict=True))
@@ -333,8 +330,6 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                 kept["goes"].append(prefixes[once[owners]])
             if sum(map(len, kept["goes"])) > FLUSH:
                 yield from _template_rows(kept)
-            if piles:
-                yield _batch_of(len(piles), kind=["pile"] * len(piles), field=[x[0] for x in piles], cut=[x[1] for x in piles], key=[x[2] for x in piles], ends=list(piles.values()))
         yield from _template_rows(kept)
 
     return run
@@ -355,16 +350,6 @@ def _scanned(df: DataFrame, key: str, fields: tuple[str, ...], counts: DataFrame
     return checkpointed(source.mapInArrow(_scan(list(fields), ranks), ROWS))
 
 
-def limits(scanned: DataFrame) -> DataFrame:
-    """(field, encoding, length, open, usual): lengths where values without a stop pile up against their neighbours."""
-    piles = scanned.filter("kind = 'pile'").groupBy("field", F.col("cut").alias("encoding"), F.col("key").alias("length")).agg(F.sum("ends").alias("open"))
-    steps = [d for d in range(-12, 13) if abs(d) > 1]
-    near = piles.select("field", "encoding", F.explode(F.array([F.col("length") + d for d in steps])).alias("length"), "open")
-    usual = near.groupBy("field", "encoding", "length").agg((F.sum("open") / len(steps)).alias("usual"))
-    joined = piles.join(usual, ["field", "encoding", "length"], "left").withColumn("usual", F.coalesce("usual", F.lit(0.0)))
-    return joined.filter((F.col("length") >= HEADLINE) & (F.col("open") >= LEAST_PILE) & (F.col("open") > PILE * (F.col("usual") + 1)))
-
-
 def _length(code: Column) -> Column:
     return code.bitwiseAND(F.lit((1 << 32) - 1)).cast("int")
 
@@ -374,23 +359,45 @@ def _under(code: Column, e: Column) -> Column:
     return F.getbit(F.shiftright(code, 32), e) == 1
 
 
-def site_limits(open_: DataFrame) -> DataFrame:
-    """(site, field, e: position in ENCODINGS, length, open): lengths at which a source's open values pile up, against their
-    neighbours in the same unit and against all its open values of the field.  Lengths are counted before they are shuffled."""
+_BY_ENCODING = [f"e{e}" for e in range(len(ENCODINGS))]
+
+
+def lengths_of(open_: DataFrame) -> DataFrame:
+    """(site, field, unit, length, n: values that have it under any encoding of the unit, e0 ...: by encoding), counted before the shuffle."""
     each = open_.select("site", "field", F.explode("lens").alias("code"))
     each = each.withColumns({"unit": F.shiftright("code", 40).cast("int"), "length": _length(F.col("code"))})
-    by = [F.sum(_under(F.col("code"), F.lit(e)).cast("int")).alias(f"e{e}") for e in range(len(ENCODINGS))]
-    counts = each.groupBy("site", "field", "unit", "length").agg(F.count("*").alias("n"), *by)
+    return each.groupBy("site", "field", "unit", "length").agg(F.count("*").alias("n"), *(F.sum(_under(F.col("code"), F.lit(e)).cast("int")).alias(c) for e, c in enumerate(_BY_ENCODING)))
+
+
+def _high(counts: DataFrame) -> DataFrame:
+    """A row per length and encoding that enough values have it under."""
+    each = F.filter(F.array(*(F.struct(F.col(c).alias("open"), F.lit(e).alias("e")) for e, c in enumerate(_BY_ENCODING))), lambda x: x["open"] >= LEAST_PILE)
+    return counts.filter(F.col("n") >= LEAST_PILE).withColumn("x", F.explode(each)).select("*", "x.open", "x.e").drop("x", "n", *_BY_ENCODING)
+
+
+def _piled(counts: DataFrame, high: DataFrame, by: list[str]) -> DataFrame:
+    """(by, e, length, open) of the lengths ``high`` at which so many more values lie than at their neighbours under the same encoding."""
+    steps = [d for d in range(-12, 13) if abs(d) > 1]
+    near = high.withColumnRenamed("length", "at").withColumn("length", F.explode(F.array([F.col("at") + d for d in steps]))).join(counts, [*by, "unit", "length"], "left")
+    others = F.coalesce(F.get(F.array(*_BY_ENCODING), F.col("e")), F.lit(0))
+    usual = near.groupBy(*by, "e", "at").agg(F.first("open").alias("open"), (F.sum(others) / len(steps)).alias("usual"))
+    return usual.filter(F.col("open") > PILE * (F.col("usual") + 1)).select(*by, "e", F.col("at").alias("length"), "open")
+
+
+def limits(counts: DataFrame) -> DataFrame:
+    """(field, e: position in ENCODINGS, length, open): lengths at which open values of all sources pile up against their neighbours."""
+    whole = counts.groupBy("field", "unit", "length").agg(F.sum("n").alias("n"), *(F.sum(c).alias(c) for c in _BY_ENCODING))
+    return _piled(whole, _high(whole).filter(F.col("length") >= HEADLINE * (F.col("unit") + 1)), ["field"])
+
+
+def site_limits(open_: DataFrame, counts: DataFrame) -> DataFrame:
+    """(site, field, e, length, open): the same by source, against all its open values of the field too."""
     greatest = [F.max(F.array_max(F.transform(F.filter("lens", lambda x: F.shiftright(x, 40) == unit), _length))).alias(f"m{unit}") for unit in (0, 1)]  # noqa: B023
     total = open_.groupBy("site", "field").agg(F.count("*").alias("all"), *greatest)
-    most = F.greatest(*(F.struct(F.col(f"e{e}").alias("open"), F.lit(-e).alias("e")) for e in range(len(ENCODINGS))))
-    high = counts.filter(F.col("n") >= LEAST_PILE).withColumn("most", most).filter(F.col("most.open") >= LEAST_PILE).join(total, ["site", "field"])
-    high = high.filter((F.col("most.open") >= SITE_SHARE * F.col("all")) & ((F.col("length") >= HEADLINE * (F.col("unit") + 1)) | (F.col("length") == F.when(F.col("unit") == 0, F.col("m0")).otherwise(F.col("m1")))))
-    high = high.select("site", "field", "unit", (-F.col("most.e")).alias("e"), F.col("length").alias("at"), F.col("most.open").alias("open"))
-    steps = [d for d in range(-12, 13) if abs(d) > 1]
-    near = high.withColumn("length", F.explode(F.array([F.col("at") + d for d in steps]))).join(counts.select("site", "field", "unit", "length", F.col("n").alias("others")), ["site", "field", "unit", "length"], "left")
-    usual = near.groupBy("site", "field", "e", "at").agg(F.first("open").alias("open"), (F.sum(F.coalesce("others", F.lit(0))) / len(steps)).alias("usual"))
-    return usual.filter(F.col("open") > PILE * (F.col("usual") + 1)).select("site", "field", "e", F.col("at").alias("length"), "open")
+    longest = F.when(F.col("unit") == 0, F.col("m0")).otherwise(F.col("m1"))
+    high = _high(counts).join(total, ["site", "field"])
+    high = high.filter((F.col("open") >= SITE_SHARE * F.col("all")) & ((F.col("length") >= HEADLINE * (F.col("unit") + 1)) | (F.col("length") == longest)))
+    return _piled(counts, high, ["site", "field"])
 
 
 def truncated(df: DataFrame, key: str = "id", fields: tuple[str, ...] = ("snippet", "description"), extra: tuple[str, ...] = ("title",)) -> DataFrame:
@@ -407,9 +414,9 @@ def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str,
     templates = scanned.filter("kind = 'template'").groupBy("key").agg(F.sum("ends").alias("ends"), F.sum("goes").alias("goes"))
     # the highest pile comes first, of equal ones the encoding that is named first
     in_order = lambda of, by, name: of.groupBy(*by).agg(F.sort_array(F.collect_set(F.struct((-F.col("open")).alias("pile"), "e", "length"))).alias(name))
-    of_field = limits(scanned).select("field", (F.array_position(F.array(*map(F.lit, ENCODINGS)), F.col("encoding")) - 1).cast("int").alias("e"), F.col("length").cast("int").alias("length"), "open")
-    of_field = in_order(of_field, ["field"], "general")  # a row a field
-    of_site = in_order(site_limits(tails), ["site", "field"], "own")
+    counted = checkpointed(lengths_of(tails))
+    of_field = in_order(limits(counted), ["field"], "general")  # a row a field
+    of_site = in_order(site_limits(tails, counted), ["site", "field"], "own")
     tails = tails.join(of_site, ["site", "field"], "left").join(of_field, "field", "left")
     none = F.array().cast("array<struct<pile:bigint,e:int,length:int>>")
     all_limits = F.concat(F.coalesce("own", none), F.coalesce("general", none))
