@@ -22,7 +22,7 @@ import json
 import re
 from collections import Counter
 from collections.abc import Iterator
-from html.entities import html5
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -263,6 +263,7 @@ def _template_rows(kept: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch
 def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         norm = normalizer(form_table())
+        words_of, rare = WORD.findall, repeat(KNOWN)
         kept: dict[str, list[np.ndarray]] = {"ends": [], "goes": []}
         seen: set[tuple[int, str]] = set()  # values counted, where rows are repeated
         for batch in batches:
@@ -277,7 +278,7 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                 own = tuple(o for o in (path, s) if len(o) > 4)
                 for bit, f in enumerate(fields):
                     raw = data[f][i]
-                    if not raw or not raw.strip(EDGE):
+                    if not raw or (not raw[0].isalnum() and not raw.strip(EDGE)):
                         continue
                     v = norm.scan(raw)[1] if SUSPECT.search(raw) else raw
                     text = v if v[-1].isalnum() or v[-1] in _CLOSING else TRAIL.sub("", v)
@@ -298,16 +299,18 @@ def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
                     arabic = lang == "A"
                     mine = -1
                     for j, line in enumerate(lines if count else lines[-1:], 0 if count else len(lines) - 1):
+                        line = line.lower()
                         sentences = SENTENCE.split(line) if STOPS.search(line) else [line]
+                        end = len(sentences) - 1
+                        final = j == len(lines) - 1
                         for m, sentence in enumerate(sentences):
-                            part = WORD.findall(sentence.lower())
-                            open_ = not stopped and j == len(lines) - 1 and m == len(sentences) - 1
-                            if not part or (open_ and cut):
+                            part = words_of(sentence)
+                            if not part or (cut and final and m == end):
                                 continue
                             mine = len(first)
                             first.append(len(flat))
-                            flat += [get(w, KNOWN) for w in part]
-                            ended.append(ends_sentence(sentence))
+                            flat.extend(map(get, part, rare))
+                            ended.append(m < end or (stopped if final else ends_sentence(sentence)))  # sentences are split behind stops
                             group.append(arabic)
                             counts.append(count)
                     if stopped:
