@@ -1,7 +1,13 @@
 """Problem 5: template residue, filler text, error pages and notices about scripts.
 
-Lines of one template are *aligned*: what varies from record to record (paths, hosts, numbers, codes, and the placeholder
-itself) is masked, and lines with the same remaining words form a template.  Its masked positions are the slots.
+Records of one template are *aligned*: what varies from record to record (paths, hosts, numbers, codes, and the placeholder
+itself) is masked, and values with the same remaining words form a template.  Its masked positions are the slots.
+
+* A snippet whose whole template recurs on ``TEMPLATE_SITES`` sites, under as many different titles, is not an author's text but the
+  page of a program: an error page, a default, a variable name that was never filled.  No list of words is needed for it.
+* A title that heads such snippets, or others that are residue as a whole, on many sites is that program's title.
+
+What these leave (residue inside an author's sentence, rare messages) is found by fixed patterns:
 
 * A slot that retains a variable name, a default or a blank is residue.  A placeholder among words whose sentence speaks
   of variables, templates or how they are written is no slot but part of a text about placeholders, and is not marked:
@@ -11,8 +17,7 @@ itself) is masked, and lines with the same remaining words form a template.  Its
   server, with the request's path or the host in its slot: a line that repeats the record's own path or host, in a
   template that several records share or whose words are known messages.  Without a path or host, a short snippet that is
   nothing but a known title, or a known message that several sites share word for word, is one too.
-* A title is compared as a whole, without the site's name, with the known messages, and with titles that mostly head
-  records whose text is such a page.
+* A title is compared as a whole, without the site's name, with the known messages.
 
 Edge cases: rows without a key are left out; null and empty values are never marked (a blank that a template printed cannot be told from a missing one);
 repeated rows count once per distinct site in the template counts; texts are processed whole.
@@ -34,9 +39,9 @@ from raqim.session import checkpointed
 
 #: How template languages write a variable, a block or a merge field.
 PLACEHOLDER = re.compile(
-    r"\{\{\{?[^{}\n]{1,60}\}?\}\}|\{%-?[^%\n]{1,80}%\}|<%[=#-]?[^%\n]{1,80}%>|<\?(?:=|php)[^?\n]{1,80}\?>|#\{[^{}\n]{1,60}\}|\$\{[^{}\n]{1,60}\}"
-    r"|\[\[[+*~$!%]?[^\[\]\n]{1,60}\]\]|\*\|[^|\n]{1,60}\|\*|@@[\w.\- ]{1,60}@@|__[^\W_][\w.\-]{0,58}__|%%?(?![0-9A-Fa-f]{2}%)[^\W\d][\w.\-]{1,58}%%?(?![0-9A-Fa-f]{2})"
-    r"|@(?:Model|ViewBag|ViewData)\.[\w.]{1,60}|&lt;[^\W\d][\w.\- ]{0,58}&gt;|(?<![{$#])\{[^\W\d][\w.\-]{1,58}\}(?!\})|\[[A-Z][A-Z_]{3,40}\]"
+    r"\{\{\{?[^{}\n]+\}?\}\}|\{%-?[^%\n]+%\}|<%[=#-]?[^%\n]+%>|<\?(?:=|php)[^?\n]+\?>|#\{[^{}\n]+\}|\$\{[^{}\n]+\}"
+    r"|\[\[[+*~$!%]?[^\[\]\n]+\]\]|\*\|[^|\n]+\|\*|@@[\w.\- ]+@@|__[^\W_][\w.\-]*__|%%?(?![0-9A-Fa-f]{2}%)[^\W\d][\w.\-]+%%?(?![0-9A-Fa-f]{2})"
+    r"|@(?:Model|ViewBag|ViewData)\.[\w.]+|&lt;[^\W\d][\w.\- ]*&gt;|(?<![{$#])\{[^\W\d][\w.\-]+\}(?!\})|\[[A-Z][A-Z_]{3,}\]"
 )
 #: What a program prints for an empty value.
 EMPTY = {"null", "nil", "none", "nan", "undefined", "n/a", "(none)", "(null)", "[object object]", "array", "object", "[object undefined]", "<null>", "#n/a", "#ref!", "inf", "-nan", "nonetype"}
@@ -83,6 +88,8 @@ NAME = re.compile(r"[a-z0-9]\.[a-z]|\.\.\. noscript|\(most recent|Uncaught|\(\):
 BREAK = re.compile(r"\r\n|\n|\r")
 SUFFIX = re.compile(r" (?:\||-|–|—|::|·|») [^|]*$")
 WORDS = re.compile(r"[^\W_]+")
+#: A template without a word or placeholder is a list of links or numbers.
+SPOKEN = re.compile(r"[^\W\d_]{2}|\x02")
 #: Words of texts about placeholders, as they are searched in the sentence around one.
 ABOUT = re.compile(
     r"\b(?:placeholders?|templates?|templating|variables?|syntax|written as|write it as|merge (?:tags?|fields?)|double braces|curly braces|markup|modèles?|gabarits?|syntaxe|s'écrit|balises?|accolades|espaces? réservés?|"
@@ -94,8 +101,12 @@ SENTENCES = re.compile(r"(?<=[.!?؟])\s+|[\r\n]+")
 MESSAGE_LENGTH = 160
 MIN_SHARED = 3
 ABOUT_MIN = 3
-#: A title heads error pages if so many of its records, on so many sites, are such pages.
-TITLE_SITES, TITLE_SHARE = 5, 0.6
+#: A whole snippet's template is a program's if so many sites have it, under so many titles.
+TEMPLATE_SITES = 5
+#: A title heads residue if so large a part of its records, on so many sites, is residue as a whole.
+TITLE_SITES, TITLE_SHARE = 5, 0.4
+#: A path or host shorter than this is found in too many texts to tell whose it is.
+OWN_LEAST = 5
 
 
 def mask(line: str) -> str:
@@ -183,12 +194,16 @@ def _candidates(rules: Forms):
         for pdf in batches:
             out: list[tuple] = []
             for k, s, path, title, snippet in zip(pdf["id"], pdf["site__"], pdf["path__"], pdf["title"], pdf["snippet"], strict=True):
+                head = ""
+                if isinstance(title, str) and title.strip():
+                    text = norm.scan(title, "ar")[1] if SUSPECT.search(title) else title
+                    head = _title(out, k, s, text)
                 if isinstance(snippet, str) and snippet.strip():
                     text = norm.scan(snippet, "ar")[1] if SUSPECT.search(snippet) else snippet
                     _snippet(out, k, s, path, text)
-                if isinstance(title, str) and title.strip():
-                    text = norm.scan(title, "ar")[1] if SUSPECT.search(title) else title
-                    _title(out, k, s, text)
+                    whole = mask(text).lower()
+                    if SPOKEN.search(whole):
+                        out.append((k, s, "snippet", "whole", head, False, xxhash.xxh64_intdigest(whole) - (1 << 63)))
             yield pd.DataFrame(
                 {
                     "id": pd.Series([r[0] for r in out], dtype="int64"), "site": pd.Series([r[1] for r in out], dtype=object), "field": pd.Series([r[2] for r in out], dtype=object),
@@ -202,8 +217,10 @@ def _candidates(rules: Forms):
 
 def _snippet(out: list, k: int, s: str, path: str, text: str) -> None:
     pieces = BREAK.split(text)
-    if (len(text) < 200 and is_empty_value(text)) or any(trailing_empty(x) for x in pieces if x[-1:] in "dlnNLaAtT])D" and x):
+    if is_empty_value(text):
         out.append((k, s, "snippet", "empty", "", True, 0))
+    elif any(trailing_empty(x) for x in pieces if x[-1:] in "dlnNLaAtT])D" and x):
+        out.append((k, s, "snippet", "default", "", True, 0))
     if is_filler(text):
         out.append((k, s, "snippet", "filler", "", True, 0))
     if len(text) <= MESSAGE_LENGTH:
@@ -217,12 +234,12 @@ def _snippet(out: list, k: int, s: str, path: str, text: str) -> None:
         if "/" not in line and not NAME.search(line):
             continue
         low = line.lower()
-        own = (len(path) > 4 and path in low) or (len(s) > 4 and s in low)
+        own = (len(path) >= OWN_LEAST and path in low) or (len(s) >= OWN_LEAST and s in low)
         message = MESSAGES.search(re.sub(r"\d+", "0", low))
         if own or message:
             # the sentence that holds the path or the host, with its words; what precedes it may be an author's text
             for part in re.split(r"(?<=[.!?؟])\s+(?=\S{2,} \S)", low):
-                has = (len(path) > 4 and path in part) or (len(s) > 4 and s in part) or PATH.search(HOST.sub("", part)) is not None
+                has = (len(path) >= OWN_LEAST and path in part) or (len(s) >= OWN_LEAST and s in part) or PATH.search(HOST.sub("", part)) is not None
                 shape = mask(part)
                 said = MESSAGES.search(shape.replace("\x04", "/p").replace("\x03", "h")) or (message and MESSAGES.search(low))
                 if has and said:
@@ -233,21 +250,25 @@ def _snippet(out: list, k: int, s: str, path: str, text: str) -> None:
                 out.append((k, s, "snippet", "page", mask(low), True, 0))
 
 
-def _title(out: list, k: int, s: str, text: str) -> None:
+def _title(out: list, k: int, s: str, text: str) -> str:
+    """The title's template, after its marks."""
     core = title_core(text)
     bare = SUFFIX.sub("", " ".join(text.split()))
-    if len(text) < 120 and (is_empty_value(text) or is_empty_value(bare)):
+    if is_empty_value(text) or is_empty_value(bare):
         out.append((k, s, "title", "empty", core, True, 0))
     if is_filler(text):
         out.append((k, s, "title", "filler", core, True, 0))
     _placeholders(out, k, s, "title", text, text)
     if TITLES.fullmatch(core):
         out.append((k, s, "title", "page", core, True, 0))
-    out.append((k, s, "title", "head", core, False, 0))
+    head = mask(bare).lower().strip(" .!")
+    out.append((k, s, "title", "head", head, False, 0))
+    return head
 
 
 def residue(df: DataFrame, key: str = "id") -> DataFrame:
-    """(id, field, rule) of each value that holds residue; a value may be marked by several rules."""
+    """(id, field, rule) of each value that holds residue; a value may be marked by several rules, of which 'template' is the one
+    that knows no words."""
     path = F.lower(F.regexp_extract("url", r"^\s*[A-Za-z][A-Za-z0-9+.-]*://[^/?#]*(/[^?#]*?)/?(?:index\.html?)?(?:[?#].*)?$", 1))
     source = df.filter(F.col(key).isNotNull()).select(F.col(key).alias("id"), F.coalesce(site(F.col("url")), F.lit("")).alias("site__"), F.coalesce(path, F.lit("")).alias("path__"), "title", "snippet")
     rows = source.mapInPandas(_candidates(form_table()), "id long, site string, field string, rule string, template string, sure boolean, shape long")
@@ -264,9 +285,16 @@ def residue(df: DataFrame, key: str = "id") -> DataFrame:
     shared = shapes.groupBy("template").agg(F.countDistinct("site").alias("sites")).filter(F.col("sites") >= MIN_SHARED)
     pages = shapes.join(shared, "template", "left_semi").select("id", "field", "rule")
 
-    # titles that head such pages
-    page_ids = sure.filter("field = 'snippet' and rule = 'page'").union(pages).select("id").distinct().withColumn("page", F.lit(1))
-    heads = found.filter("rule = 'head'").select("id", "site", "template").join(page_ids, "id", "left")
+    # whole-snippet templates that many sites have under many titles; counted by hash before sites and titles are told apart
+    wholes = found.filter("rule = 'whole'").select("id", "site", F.col("template").alias("head"), "shape")
+    often = wholes.groupBy("shape").agg(F.count("*").alias("n")).filter(F.col("n") >= TEMPLATE_SITES).select("shape")
+    recurring = wholes.join(often, "shape", "left_semi")
+    several = lambda of: recurring.select("shape", of).distinct().groupBy("shape").agg(F.count("*").alias("n")).filter(F.col("n") >= TEMPLATE_SITES).select("shape")
+    templates = recurring.join(several("site"), "shape", "left_semi").join(several("head"), "shape", "left_semi").select("id", F.lit("snippet").alias("field"), F.lit("template").alias("rule"))
+
+    # titles that head snippets which are residue as a whole
+    marked = sure.filter("field = 'snippet' and rule in ('page', 'empty', 'filler')").union(pages).union(templates).select("id").distinct().withColumn("page", F.lit(1))
+    heads = found.filter("rule = 'head'").select("id", "site", "template").join(marked, "id", "left")
     bad = heads.groupBy("template").agg(F.countDistinct("site").alias("sites"), F.avg(F.coalesce("page", F.lit(0))).alias("share")).filter((F.col("sites") >= TITLE_SITES) & (F.col("share") >= TITLE_SHARE))
-    titles = heads.join(bad, "template", "left_semi").select("id", F.lit("title").alias("field"), F.lit("page").alias("rule"))
-    return sure.union(slots).union(pages).union(titles).distinct()
+    titles = heads.join(bad, "template", "left_semi").select("id", F.lit("title").alias("field"), F.lit("template").alias("rule"))
+    return sure.union(slots).union(pages).union(templates).union(titles).distinct()

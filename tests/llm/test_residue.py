@@ -45,3 +45,18 @@ def test_messages_without_a_path(spark):
     fine = [(9, P, "t", "Readers learn how to enable JavaScript in an old browser.", "")]
     got = {(r.id, r.field) for r in R.residue(spark.createDataFrame(rows + fine, SCHEMA)).collect()}
     assert got == {(i, "snippet") for i, *_ in rows}
+
+
+def test_templates_without_known_words(spark):
+    page = [(i, f"https://s{i}.example/a/p{i}", f"Zug {'abcdefgh'[i]} tal | S", f"Kelo munta {i} beri no salop", "") for i in range(6)]
+    headed = [(20 + i, f"https://s{i}.example/b", "Vorim sala", f"Kelo munta {i} beri no salop" if i < 4 else f"An essay of {'abcdefgh'[i]} about rivers and how they bend.", "") for i in range(7)]
+    copies = [(40 + i, f"https://s{i}.example/c", "One title", "A mirrored essay that all sites carry under its title.", "") for i in range(8)]
+    lists = [(60 + i, f"https://s{i}.example/d", f"List {'abcdefgh'[i]}", f"https://a{i}.example/x | https://b{i}.example/y", "") for i in range(8)]
+    got = {(r.id, r.field, r.rule) for r in R.residue(spark.createDataFrame(page + headed + copies + lists, SCHEMA)).collect()}
+    assert got == {(i, "snippet", "template") for i, *_ in page} | {(20 + i, "snippet", "template") for i in range(4)} | {(20 + i, "title", "template") for i in range(7)}
+
+
+def test_long_placeholders_and_values(spark):
+    rows = [(1, P, "t", "Before {{ " + "a_long_name." * 20 + "title }} the team advises.", ""), (2, P, "t", "null, " * 60, ""), (3, P, "undefined " * 30, "Fine.", "")]
+    got = {(r.id, r.field) for r in R.residue(spark.createDataFrame(rows, SCHEMA)).collect()}
+    assert got == {(1, "snippet"), (2, "snippet"), (3, "title")}
