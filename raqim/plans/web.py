@@ -157,6 +157,29 @@ _LISTED = f"""WITH {S.url_parts('crawler_results', 'url', 'id')}, j AS (SELECT *
   l AS (SELECT bare || '#' || CAST(floor(id / {CHUNK}) AS BIGINT) AS map, 'urlset' AS format, c, {S.reason()} AS reason FROM c)"""
 
 
+#: A document of each format that lists one address, as written in XML or JSON.
+FORMATS = {
+    "urlset": '<urlset xmlns:xhtml="x"><url><loc>https://elsewhere.example/en/a</loc><xhtml:link rel="alternate" hreflang="ar-EG" href="%x"/></url></urlset>',
+    "rss": "<rss><channel><title>t</title><item><title>t</title><link>%x</link></item></channel></rss>",
+    "rdf": "<rdf:RDF><item><link><![CDATA[%r]]></link></item></rdf:RDF>",
+    "feed": '<feed xmlns="x"><entry><link rel="alternate" href="%x"/><id>1</id></entry></feed>',
+    "json": '{"version": 1, "pages": [{"title": "t", "url": %j}]}',
+    "url-list": "%r\n\n",
+    "sitemapindex": "<sitemapindex><sitemap><loc>%x</loc><lastmod>2024</lastmod></sitemap></sitemapindex>",
+}
+
+
+def sitemap_formats(spark: SparkSession, d: str) -> DataFrame:
+    """Each result's address as the only one of a document of every format: (id, format, kind, url, reason)."""
+    rows = table(spark, d, "crawler_results").select("id", "url", urls.bare_host(F.col("url")).alias("host")).filter("host <> ''")
+    xml = F.replace(F.replace(F.replace(F.col("url"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
+    json_ = F.regexp_extract(F.to_json(F.struct("url")), r'^\{"url":(.*)\}$', 1)
+    bodies = F.array(*(F.struct(F.lit(name).alias("wanted"), F.replace(F.replace(F.replace(F.lit(body), F.lit("%x"), xml), F.lit("%j"), json_), F.lit("%r"), F.col("url")).alias("body")) for name, body in FORMATS.items()))
+    site = F.concat(F.lit("https://"), F.col("host"), F.lit("/"))
+    documents = rows.select("id", site.alias("base"), site.alias("site"), F.explode(bodies).alias("x")).select("id", "base", "site", "x.body")
+    return sitemaps.listed(documents, "id", "base", "site").select("id", "format", "kind", "url", "reason")
+
+
 def page_links(spark: SparkSession, d: str) -> DataFrame:
     """Each result as a page that links to itself, to a foreign language, a feed and another host: (id, reason, n, score)."""
     from raqim.functions import html
@@ -216,6 +239,12 @@ QUERIES: dict[str, tuple] = {
     "sitemap_listed": (sitemap_listed, f"{_LISTED} SELECT map, format, CASE WHEN reason IS NULL THEN 'page' ELSE 'refused' END AS kind, CASE WHEN reason IS NULL THEN c ELSE '' END AS url, reason FROM l"),
     "sitemap_pages": (sitemap_pages, f"{_LISTED} SELECT DISTINCT map, 'page' AS kind, c AS url FROM l WHERE reason IS NULL"),
     "sitemap_rejections": (sitemap_rejections, f"{_LISTED} SELECT map, reason, count(*) AS n FROM l WHERE reason IS NOT NULL GROUP BY ALL"),
+    "sitemap_formats": (
+        sitemap_formats,
+        f"""{_LISTED.replace("l AS (SELECT bare", "l AS (SELECT id, bare")}, f(format) AS (VALUES {", ".join(f"('{x}')" for x in FORMATS if x != "sitemapindex")})
+          SELECT l.id, f.format, CASE WHEN reason IS NULL THEN 'page' ELSE 'refused' END AS kind, CASE WHEN reason IS NULL THEN c ELSE '' END AS url, reason FROM l CROSS JOIN f
+          UNION ALL SELECT id, 'sitemapindex', 'sitemap', {S.sitemap_form()}, NULL FROM c""",
+    ),
     "page_links": (page_links, _LINKS),
     "seed_urls": (seed_urls, f"WITH {S.url_parts('crawler_sites', 'url', 'id')} SELECT DISTINCT {S.canonical_seed()} AS url FROM parts"),
     "url_tree": (url_tree, _TREE_SQL),

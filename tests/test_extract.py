@@ -83,3 +83,30 @@ def test_seeds_and_rendering(spark):
     assert [r.url for r in seeds.seeds(lines).collect()] == ["https://a.org/"]
     rows = spark.createDataFrame([("h", "i", "d", False), ("h", "i", "d", True), ("h", "", "d", True), ("h", None, None, True), (None, None, None, True)], "html string, interactive string, dumped string, should_hydrate boolean")
     assert [(r.method, r.document) for r in seeds.rendered(rows).collect()] == [("http", "h"), ("browser_interactive", "h\ni"), ("browser_dump_dom", "h\nd"), ("http_only", "h"), ("unavailable", "")]
+
+
+def test_broken_and_nested_markup():
+    e = sitemaps.entries
+    assert e("<urlset><url><loc>/a</loc></url><url><loc>/b</loc>")[1] == [("any", "/a")]
+    assert e('<sm:urlset><sm:url><sm:loc> /a&#38;b </sm:loc><x:link hreflang="AR" href=\'/ar?a=1&amp;b\'/></sm:url><url><loc><![CDATA[/c&d]]></loc></url></sm:urlset>')[1] == [("any", "/ar?a=1&b"), ("any", "/c&d")]
+    assert e("<!-- <url> --><rdf:RDF><item><link>/x</link></item><loc>/first</loc></rdf:RDF>") == ("rdf", [("any", "/first"), ("any", "/x")])
+    assert e('<feed><entry><link href="/1"/><link>/2</link></entry></feed>')[1] == [("any", "/1"), ("any", "/2")]
+    assert e("<sitemapindex><loc>/no</loc><sitemap><loc>/1</loc></sitemap></sitemapindex>")[1] == [("sitemap", "/1")]
+    assert e('[{"children": ["/m"], "link": {"href": "/deep"}, "note": "no"}, "/p", 3, null]')[1] == [("sitemap", "/m"), ("any", "/deep"), ("any", "/p")]
+    assert e("{broken") == ("", []) and e("https://a.org/1\nno") == ("", []) and e("<a><html>")[0] == ""
+    deep = '{"a":' * 900 + '["/x"]' + "}" * 900
+    assert e(deep)[1] == [("any", "/x")]
+
+
+def test_links_once_and_in_order(spark):
+    page = '<link rel="alternate" hreflang="ar" href="/ar/only"><link rel="alternate" hreflang="ar" href="/long-path-1"><body><a href="/b">b</a><a href="/long-path-1">one</a><a href="/long-path-1#x">two</a><a href="/news">n</a><a href="mailto:x">m</a>'
+    f = html.fields(pages(spark, page).withColumn("site", F.lit("https://a.org/")), "html", ("anchors", "links"))
+    rows = sitemaps.page_links(f, "id", "url", "site").collect()
+    assert [(r.url[13:], r.score, r.text) for r in sorted((r for r in rows if r.rank), key=lambda r: r.rank)] == [("/news", 5, "n"), ("/ar/only", 4, ""), ("/long-path-1", 1, "one"), ("/b", 0, "b")]
+    assert [r.reason for r in rows if r.rank is None] == ["unsupported_scheme"]
+
+
+def test_a_sitemap_met_again_is_judged_as_a_page(spark):
+    body = "<urlset><url><loc>https://a.org/sitemap-2.xml</loc></url><url><loc>https://www.a.org/sitemap-2.xml</loc></url></urlset>"
+    df = spark.createDataFrame([(1, "https://a.org/sitemap.xml", "https://a.org/", body)], "id int, base string, site string, body string")
+    assert [(r.kind, r.reason) for r in sorted(sitemaps.listed(df, "id", "base", "site").collect(), key=lambda r: r.pos)] == [("sitemap", None), ("refused", "asset_file")]
