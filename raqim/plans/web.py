@@ -157,6 +157,48 @@ _LISTED = f"""WITH {S.url_parts('crawler_results', 'url', 'id')}, j AS (SELECT *
   l AS (SELECT bare || '#' || CAST(floor(id / {CHUNK}) AS BIGINT) AS map, 'urlset' AS format, c, {S.reason()} AS reason FROM c)"""
 
 
+def _runs(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The results of each host written as an index of sitemaps, discovered by the sites of that host: (sites, walk, pages)."""
+    from raqim.operators import discover
+    from raqim.session import checkpointed
+
+    maps = _sitemaps(spark, d).select(F.concat("site", F.lit("sitemap-"), F.substring_index("map", "#", -1), F.lit(".xml")).alias("url"), "site", "body")
+    entry = F.concat(F.lit("<sitemap><loc>"), F.col("url"), F.lit("</loc></sitemap>"))
+    index = maps.groupBy("site").agg(F.array_join(F.array_sort(F.collect_list(entry)), "").alias("x"))
+    index = index.select(F.concat("site", F.lit("sitemap.xml")).alias("url"), "site", F.concat(F.lit("<sitemapindex>"), F.col("x"), F.lit("</sitemapindex>")).alias("body"))
+    documents = maps.unionByName(index).withColumns({"base": F.col("url"), "ok": F.lit(True), "reason": F.lit(None).cast("string")})
+    listed = checkpointed(sitemaps.listed(documents.withColumnRenamed("url", "document"), "document", "base", "site").select(F.col("document").alias("url"), "format", "pos", "kind", F.col("url").alias("target")))
+    sites = table(spark, d, "crawler_sites").select("id", "url")
+    seeds = sites.select(F.col("id").alias("site_id"), F.concat(F.lit("https://"), urls.bare_host(F.col("url")), F.lit("/sitemap.xml")).alias("url"), F.lit(0).alias("pos"))
+    bodies = spark.createDataFrame(list(enumerate(ROBOTS)), "policy int, body string")
+    rules = robots.parse(bodies, "policy", "body", ("crawler",))[0]
+    rules = sites.select(F.col("id").alias("site_id"), F.pmod("id", F.lit(len(ROBOTS))).cast("int").alias("policy")).join(rules, "policy")
+    walk = checkpointed(discover.sitemap_walk(seeds, documents, listed, rules))
+    return sites, walk, discover.found_pages(walk, listed, rules=rules)
+
+
+def discovered_pages(spark: SparkSession, d: str) -> DataFrame:
+    return _runs(spark, d)[2].select("site_id", "url")
+
+
+def discovery_runs(spark: SparkSession, d: str) -> DataFrame:
+    from raqim.operators import discover
+
+    sites, walk, pages = _runs(spark, d)
+    return discover.runs(sites, walk, pages).select("site_id", "status", "sitemaps", "valid_sitemaps", "pages_added", "feeds_wanted")
+
+
+_RUNS = f"""WITH {S.url_parts('crawler_results', 'url', 'id')}, j AS (SELECT *, bare AS site_bare, '' AS site_port FROM parts WHERE host <> ''), c AS (SELECT *, {S.canonical_discovery()} AS c FROM j),
+  ok AS (SELECT bare, c AS url FROM c WHERE {S.reason()} IS NULL), st AS (WITH {S.url_parts('crawler_sites', 'url', 'id')} SELECT id AS site_id, bare FROM parts),
+  r(policy, rule, allow, weight) AS (VALUES (0, '^/blog/', false, 6), (0, '^/blog/qamar', true, 11), (0, '^/.*suq.*$', false, 4), (1, '^/p/', false, 3), (1, '^/p/', true, 3), (1, '^/news/.*river', false, 11)),
+  p AS (SELECT DISTINCT site_id, url, {_PATH} AS path FROM ok JOIN st USING (bare)),
+  m AS (SELECT site_id, url, max(weight * 2 + CASE WHEN allow THEN 1 ELSE 0 END) AS best FROM p JOIN r ON r.policy = p.site_id % 3 WHERE regexp_matches(path, rule) GROUP BY ALL),
+  pages AS (SELECT p.site_id, p.url FROM p LEFT JOIN m USING (site_id, url) WHERE coalesce(best % 2 = 1, true)),
+  maps AS (SELECT bare, count(DISTINCT floor(id / {CHUNK})) AS n FROM c GROUP BY bare), n AS (SELECT site_id, count(*) AS pages_added FROM pages GROUP BY site_id)"""
+_RUNS_SQL = """SELECT site_id, CASE WHEN coalesce(pages_added, 0) = 0 THEN 'not_pages' ELSE 'completed' END AS status, coalesce(1 + n, 1) AS sitemaps, coalesce(1 + n, 0) AS valid_sitemaps, coalesce(pages_added, 0) AS pages_added,
+  coalesce(pages_added, 0) <= 1 AS feeds_wanted FROM st LEFT JOIN maps USING (bare) LEFT JOIN n USING (site_id)"""
+
+
 #: A document of each format that lists one address, as written in XML or JSON.
 FORMATS = {
     "urlset": '<urlset xmlns:xhtml="x"><url><loc>https://elsewhere.example/en/a</loc><xhtml:link rel="alternate" hreflang="ar-EG" href="%x"/></url></urlset>',
@@ -245,6 +287,8 @@ QUERIES: dict[str, tuple] = {
           SELECT l.id, f.format, CASE WHEN reason IS NULL THEN 'page' ELSE 'refused' END AS kind, CASE WHEN reason IS NULL THEN c ELSE '' END AS url, reason FROM l CROSS JOIN f
           UNION ALL SELECT id, 'sitemapindex', 'sitemap', {S.sitemap_form()}, NULL FROM c""",
     ),
+    "discovered_pages": (discovered_pages, f"{_RUNS} SELECT site_id, url FROM pages"),
+    "discovery_runs": (discovery_runs, f"{_RUNS} {_RUNS_SQL}"),
     "page_links": (page_links, _LINKS),
     "seed_urls": (seed_urls, f"WITH {S.url_parts('crawler_sites', 'url', 'id')} SELECT DISTINCT {S.canonical_seed()} AS url FROM parts"),
     "url_tree": (url_tree, _TREE_SQL),

@@ -13,12 +13,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder that the cluster names in ``spark.checkpoint.dir``; a temporary one only where none is set (tests)."""
-    jsc = spark.sparkContext._jsc.sc()
-    if jsc.getCheckpointDir().isDefined():
+    """Use the shared folder that the cluster names in ``spark.checkpoint.dir``.  Where it names none, a temporary folder will do in local
+    mode (tests); on a cluster it would lie on each machine for itself, so that is an error."""
+    sc = spark.sparkContext
+    if sc._jsc.sc().getCheckpointDir().isDefined():
         return
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    spark.sparkContext.setCheckpointDir(folder or tempfile.mkdtemp(prefix="raqim-checkpoint-"))
+    if not folder and not sc.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    sc.setCheckpointDir(folder or tempfile.mkdtemp(prefix="raqim-checkpoint-"))
 
 
 def checkpointed(df: DataFrame) -> DataFrame:

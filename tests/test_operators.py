@@ -90,8 +90,43 @@ def test_frontier(spark):
     edges = spark.createDataFrame([("r", "a"), ("a", "b"), ("b", "r"), ("r", "b"), ("b", "c")], "parent string, child string")
     start = spark.createDataFrame([("r", "r")], "root string, node string")
     assert {(r.node, r.depth) for r in discover.reach(edges, start).collect()} == {("r", 0), ("a", 1), ("b", 1), ("c", 2)}
-    scored = edges.withColumn("score", F.when(F.col("child") == "b", 9).otherwise(1))
-    assert [r.node for r in discover.best_first(scored, start, 3).orderBy("rank").collect()] == ["r", "b", "a"]
+    chain = spark.createDataFrame([(str(i), str(i + 1)) for i in range(60)], "parent string, child string")
+    assert discover.reach(chain, spark.createDataFrame([("x", "0")], "root string, node string")).agg(F.max("depth")).first()[0] == 60
+
+
+def test_best_first_goes_by_score_over_all_depths(spark):
+    links = [("h", "a", 1, 3), ("h", "b", 9, 1), ("h", "c", 2, 2), ("b", "d", 5, 1), ("b", "h", 9, 2), ("d", "e", 9, 1), ("c", "f", 8, 1), ("z", "y", 1, 1)]
+    edges = spark.createDataFrame(links, "parent string, child string, score int, rank int")
+    start = spark.createDataFrame([("h", "h"), ("z", "z")], "root string, node string")
+    got = discover.best_first(edges, start, 6, 2).orderBy("root", "visit").collect()
+    assert [(r.node, r.depth) for r in got if r.root == "h"] == [("h", 0), ("b", 1), ("d", 2), ("c", 1), ("f", 2), ("a", 1)]
+    assert [r.node for r in got if r.root == "z"] == ["z", "y"]
+    assert discover.best_first(edges, start, 2).count() == 4
+
+
+def test_a_sites_run(spark):
+    sites = spark.createDataFrame([(1, "https://a.org"), (2, "https://b.org"), (3, "https://c.org")], "id long, url string")
+    base = "https://a.org/"
+    docs = [("m0", True, None), ("m1", True, None), ("m2", True, None), ("closed", True, None), ("gone", False, "http_404"), ("bad", True, None)]
+    documents = spark.createDataFrame([(base + u, ok, why) for u, ok, why in docs], "url string, ok boolean, reason string")
+    rows = [("m0", "sitemapindex", i, "sitemap", x) for i, x in enumerate(["m2", "m1", "closed", "gone", "bad"])]
+    rows += [("m2", "urlset", 0, "page", "p2"), ("m2", "urlset", 1, "page", "private/x"), ("m2", "urlset", 2, "sitemap", "m0"), ("m1", "urlset", 0, "page", "p2"), ("m1", "urlset", 1, "page", "p1"), ("closed", "urlset", 0, "page", "hidden"), ("bad", "", None, None, None)]
+    listed = spark.createDataFrame([(base + u, f, p, k, base + t if t else None) for u, f, p, k, t in rows], "url string, format string, pos long, kind string, target string")
+    rules = spark.createDataFrame([(1, False, "/private"), (1, False, "/closed")], "site_id long, allow boolean, pattern string")
+    seeds = spark.createDataFrame([(1, base + "m0", 0), (2, "https://b.org/m", 0)], "site_id long, url string, pos int")
+    walk = discover.sitemap_walk(seeds, documents, listed, rules)
+    got = [(r.url[14:], r.outcome, r.reason) for r in walk.filter("site_id = 1").orderBy("turn").collect()]
+    assert got == [("m0", "parsed", None), ("m2", "parsed", None), ("m1", "parsed", None), ("closed", "skipped", "robots_disallowed"), ("gone", "failed", "http_404"), ("bad", "invalid", "unrecognized_sitemap_format")]
+    assert discover.sitemap_walk(seeds, documents, listed, rules, 2).filter("site_id = 1").count() == 2
+    pages = discover.found_pages(walk, listed, rules=rules)
+    assert [r.url[14:] for r in pages.orderBy("turn", "pos").collect()] == ["p2", "p1"]
+    known = spark.createDataFrame([(1, base + "p2")], "site_id long, url string")
+    assert [r.url[14:] for r in discover.found_pages(walk, listed, known, rules, 2).collect()] == ["p1"] and discover.found_pages(walk, listed, known, rules, 1).count() == 0
+    denied = spark.createDataFrame([(3,)], "site_id long")
+    runs = {r.site_id: (r.status, r.reason, r.sitemaps, r.valid_sitemaps, r.pages_added, r.feeds_wanted) for r in discover.runs(sites, walk, pages, denied).collect()}
+    assert runs == {1: ("completed", None, 6, 3, 2, False), 2: ("not_pages", None, 1, 0, 0, True), 3: ("pending", "robots_txt_unreachable_fail_closed", 0, 0, 0, False)}
+    states = spark.createDataFrame([(1, "completed"), (2, "not_pages"), (3, "pending"), (4, "incomplete"), (5, "pending")], "id long, crawl_status string")
+    assert [r.id for r in discover.chosen_sites(states, limit=None).collect()] == [3, 5, 2] and [r.id for r in discover.chosen_sites(states, True, None).collect()] == [3, 5, 2, 4] and discover.chosen_sites(states).first().id == 3
 
 
 def test_stream(spark, sf, tmp_path):
