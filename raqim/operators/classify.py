@@ -1,8 +1,9 @@
 """Keyword classification of texts over a two-level taxonomy.
 
 The taxonomy is a parameter: a table (category, subcategory or null, keyword).  Its keywords are brought to the searchable
-form and, in Arabic, given the six proclitic prefixes.  Texts become word runs, and their one- to n-word phrases are joined
-by equality with the keywords, so the cost follows the words of a text and not the number of keywords.
+form and, in Arabic, given the six proclitic prefixes.  Texts become word runs; each word meets the keywords that begin with
+it, by equality, and those whose words follow there are hits.  So the cost follows the words of a text and not the number
+of keywords, and no phrase is built that begins like no keyword.
 """
 
 from __future__ import annotations
@@ -11,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from raqim.functions import text
+from raqim.session import checkpointed
 
 PREFIXES = ("ال", "وال", "بال", "لل", "فال", "كال")
 TITLE, DESCRIPTION, TEXT_MOST = 5, 3, 2
@@ -36,25 +38,26 @@ def variants(taxonomy: DataFrame) -> DataFrame:
     return norm.select("category", "subcategory", "keyword", F.explode(F.array_distinct(forms)).alias("variant")).withColumn("words", F.size(F.split("variant", " ")))
 
 
-def phrases(normal: Column, most: int) -> Column:
-    """All runs of 1 to ``most`` words of a searchable text; signs other than letters, digits and spaces end a run."""
+def places(normal: Column, most: int) -> Column:
+    """Each word of a searchable text with the run from it on, of at most ``most`` words, closed by a space: (word, run).  Signs other than
+    letters, digits and spaces end a run."""
     runs = F.filter(F.split(F.regexp_replace(normal, r"[^\p{L}\p{N} ]+", "\n"), "\n"), lambda x: F.trim(x) != "")
     words = F.transform(runs, lambda r: F.filter(F.split(r, " "), lambda w: w != ""))
-    grams = lambda ws: F.flatten(F.transform(F.sequence(F.lit(1), F.least(F.size(ws), F.lit(most))), lambda n: F.transform(F.sequence(F.lit(1), F.size(ws) - n + 1), lambda i: F.array_join(F.slice(ws, i, n), " "))))
-    return F.flatten(F.transform(words, grams))
+    at = lambda ws: F.transform(ws, lambda w, i: F.struct(w.alias("word"), F.concat(F.array_join(F.slice(ws, i + 1, most), " "), F.lit(" ")).alias("run")))
+    return F.flatten(F.transform(words, at))
 
 
 def hits(docs: DataFrame, taxonomy: DataFrame, key: str = "id") -> DataFrame:
     """(key, category, subcategory, keyword, title_hits, description_hits, text_hits, points) of keywords that occur.
     ``docs`` has the key, title, description and body; a title counts as text as well."""
-    forms = variants(taxonomy)
-    most = forms.agg(F.max("words")).first()[0] or 1
-    small = forms.count() <= BROADCAST_KEYWORDS
+    forms = variants(taxonomy).withColumn("word", F.substring_index("variant", " ", 1)).withColumn("variant", F.concat("variant", F.lit(" ")))
+    size = forms.agg(F.max("words").alias("most"), F.count("*").alias("n")).first()
+    most, small = size["most"] or 1, size["n"] <= BROADCAST_KEYWORDS
     t, d = text.searchable(F.col("title")), text.searchable(F.col("description"))
     fields = docs.select(key, t.alias("t"), d.alias("d"), text.searchable(F.col("body")).alias("b"))
     tagged = fields.select(key, F.explode(F.array(F.struct(F.lit("t").alias("f"), F.col("t").alias("x")), F.struct(F.lit("d").alias("f"), F.col("d").alias("x")), F.struct(F.lit("a").alias("f"), F.concat_ws(" ", "t", "d", "b").alias("x")))).alias("s"))
-    grams = tagged.select(key, F.col("s.f").alias("f"), F.explode(phrases(F.col("s.x"), most)).alias("variant"))
-    found = grams.join(F.broadcast(forms) if small else forms, "variant")
+    words = tagged.select(key, F.col("s.f").alias("f"), F.explode(places(F.col("s.x"), most)).alias("p")).select(key, "f", "p.word", "p.run")
+    found = words.join(F.broadcast(forms) if small else forms, "word").filter(F.startswith("run", "variant"))
     count = lambda f: F.sum(F.when(F.col("f") == f, 1).otherwise(0))
     per = found.groupBy(key, "category", "subcategory", "keyword").agg(count("t").alias("title_hits"), count("d").alias("description_hits"), F.least(count("a"), F.lit(TEXT_MOST)).alias("text_hits"))
     return per.withColumn("points", F.col("title_hits") * TITLE + F.col("description_hits") * DESCRIPTION + F.col("text_hits"))
@@ -70,11 +73,21 @@ def category_scores(found: DataFrame, key: str = "id") -> DataFrame:
     return both.select(key, "category", (F.coalesce("own", F.lit(0)) + F.coalesce("below", F.lit(0))).alias("score"), F.coalesce("subcategories", F.array().cast("array<string>")).alias("subcategories"))
 
 
-def boost(scores: DataFrame, marked: DataFrame, category: str, subcategory: str, key: str = "id") -> DataFrame:
-    """Scores with the points of ``marked`` (key, points) added to a category, which is made where it is missing."""
-    extra = marked.select(key, F.lit(category).alias("category"), F.col("points").alias("extra"))
-    both = scores.join(extra, [key, "category"], "full_outer")
-    return both.select(key, "category", (F.coalesce("score", F.lit(0)) + F.coalesce("extra", F.lit(0))).alias("score"), F.coalesce("subcategories", F.array(F.lit(subcategory))).alias("subcategories"))
+#: Of a source whose text matches: the category it speaks for, a subcategory where that is new, the reason and its points.
+SOURCES = "pattern string, category string, subcategory string, keyword string, points int"
+
+
+def boosted(scores: DataFrame, docs: DataFrame, sources: list[tuple[str, str, str, str, int]], key: str = "id") -> tuple[DataFrame, DataFrame]:
+    """(scores, reasons: key, category, keyword, points): each source (a row of SOURCES) whose pattern the searchable text of source_url,
+    title and body holds adds its points to its category, which is made with the subcategory where it is missing.  Of one
+    category's sources the first that matches speaks."""
+    told = F.concat_ws(" ", *(text.searchable(F.col(c)) for c in ("source_url", "title", "body") if c in docs.columns))
+    rows = [F.when(told.rlike(p), F.struct(F.lit(c).alias("category"), F.lit(s).alias("subcategory"), F.lit(k).alias("keyword"), F.lit(n).alias("points"), F.lit(i).alias("i"))) for i, (p, c, s, k, n) in enumerate(sources)]
+    each = docs.select(key, F.explode(F.filter(F.array(*rows), lambda x: x.isNotNull())).alias("x")).groupBy(key, F.col("x.category").alias("category")).agg(F.min_by("x", "x.i").alias("x"))
+    reasons = each.select(key, "category", F.col("x.keyword").alias("keyword"), F.col("x.points").alias("points"), F.col("x.subcategory").alias("subcategory"))
+    both = scores.join(reasons.select(key, "category", F.col("points").alias("extra"), F.col("subcategory").alias("new__")), [key, "category"], "full_outer")
+    out = both.select(key, "category", (F.coalesce("score", F.lit(0)) + F.coalesce("extra", F.lit(0))).alias("score"), F.coalesce("subcategories", F.array("new__")).alias("subcategories"))
+    return out, reasons.drop("subcategory")
 
 
 def best(scores: DataFrame, key: str = "id") -> DataFrame:
@@ -88,27 +101,70 @@ def best(scores: DataFrame, key: str = "id") -> DataFrame:
     return top.select(key, first["category"].alias("category"), first["score"].alias("score"), F.round(F.greatest(F.least(lead, F.lit(0.99)), F.lit(0.05)), 3).alias("confidence"), first["subcategories"].alias("subcategories"), listed.alias("candidates"))
 
 
-def matched_keywords(found: DataFrame, chosen: DataFrame, key: str = "id", most: int = KEYWORDS) -> DataFrame:
-    """(key, keywords): of the best category and its chosen subcategories, by points, each keyword once, at most twelve."""
+def matched_keywords(found: DataFrame, chosen: DataFrame, key: str = "id", most: int = KEYWORDS, reasons: DataFrame | None = None) -> DataFrame:
+    """(key, keywords): of the best category (and the ``reasons`` of its sources) and its chosen subcategories, by points, each keyword once,
+    at most twelve."""
     own = found.join(chosen.select(key, "category", "subcategories"), [key, "category"]).filter(F.col("subcategory").isNull() | F.array_contains("subcategories", F.col("subcategory")))
+    own = own.select(key, "keyword", "points")
+    if reasons is not None:
+        own = own.unionByName(reasons.join(chosen.select(key, "category"), [key, "category"]).select(key, "keyword", F.col("points").cast(own.schema["points"].dataType)))
     per = own.groupBy(key, "keyword").agg(F.max("points").alias("points"))
     ranked = per.withColumn("r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc("points"), "keyword"))).filter(F.col("r") <= most)
     return ranked.groupBy(key).agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "keyword"))), lambda x: x["keyword"]).alias("keywords"))
 
 
+def _occurs(visible: Column, term: Column) -> Column:
+    """Whether a searchable term, or in Arabic one with a proclitic, stands as whole words in a text of which signs are spaces."""
+    has = lambda x: F.instr(visible, F.concat(F.lit(" "), x, F.lit(" "))) > 0
+    with_prefix = F.exists(F.array(*map(F.lit, PREFIXES)), lambda p: has(F.concat(p, term)))
+    return has(term) | (F.rlike(term, F.lit(r"^[\x{0600}-\x{06FF}\s]+$")) & with_prefix)
+
+
+def confirmed_keywords(page: Column, visible: Column) -> Column:
+    """The page's own keywords that its visible text confirms, of at least three letters, in order: (keyword, term)."""
+    plain = F.concat(F.lit(" "), F.regexp_replace(visible, r"[^\p{L}\p{N}]+", " "), F.lit(" "))
+    terms = F.transform(F.filter(F.split(page, r"[,;|]"), lambda x: F.trim(x) != ""), lambda x: F.struct(F.trim(x).alias("keyword"), text.searchable(x).alias("term")))
+    return F.filter(terms, lambda x: (F.length(x["term"]) >= 3) & _occurs(plain, F.regexp_replace(x["term"], r"[^\p{L}\p{N}]+", " ")))
+
+
+def with_confirmed(keywords: Column, confirmed: Column, most: int = ALL_KEYWORDS) -> Column:
+    """Matched keywords followed by confirmed ones that none of them equals in searchable form, sixteen at most in all."""
+    had = F.transform(keywords, text.searchable)
+    new = F.filter(confirmed, lambda x, i: ~F.array_contains(had, x["term"]) & (F.array_position(F.transform(confirmed, lambda y: y["term"]), x["term"]) == i + 1))
+    room = F.greatest(F.lit(most) - F.size(keywords), F.lit(0))
+    return F.concat(keywords, F.slice(F.transform(new, lambda x: x["keyword"]), F.lit(1), room))
+
+
 def index_keywords(values: Column) -> Column:
     """Labels and keywords of a page for the index: cleaned, once each, in order, joined by an Arabic comma."""
     cleaned = F.filter(F.transform(values, lambda x: text.collapse(x, 80)), lambda x: x != "")
     return F.array_join(F.array_distinct(cleaned), "، ")
 
 
-def classify(docs: DataFrame, taxonomy: DataFrame, key: str = "id", default: str = "other") -> DataFrame:
-    """One row per document: category, score, confidence, subcategories, keywords; the default where nothing matches."""
-    from raqim.session import checkpointed
-
+def classify(docs: DataFrame, taxonomy: DataFrame, key: str = "id", default: str = "other", sources: list[tuple[str, str, str, str, int]] = ()) -> DataFrame:
+    """One row per document: category, score, confidence, subcategories, keywords, status, reasons (keyword, title_hits, description_hits,
+    text_hits, points of the category's own keywords and sources) and candidates; the default where nothing matches.  Where ``docs`` has
+    page_keywords, those that the visible text confirms follow the matched ones."""
     found = checkpointed(hits(docs, taxonomy, key))
-    chosen = best(category_scores(found, key), key)
-    words = matched_keywords(found, chosen, key)
+    scores, why = category_scores(found, key), None
+    if sources:
+        scores, why = boosted(scores, docs, list(sources), key)
+    chosen = checkpointed(best(scores, key))
+    words = matched_keywords(found, chosen, key, reasons=why)
+    kinds = [F.col(c).cast("long").alias(c) for c in ("title_hits", "description_hits", "text_hits", "points")]
+    own = found.filter("subcategory is null").select(key, "category", "keyword", *kinds)
+    if why is not None:
+        own = own.unionByName(why.select(key, "category", "keyword", *(F.lit(n).cast("long").alias(c) for c, n in (("title_hits", 0), ("description_hits", 0), ("text_hits", 1))), F.col("points").cast("long").alias("points")))
+    reason = F.struct("keyword", "title_hits", "description_hits", "text_hits", "points")
+    reasons = own.join(chosen.select(key, "category"), [key, "category"]).groupBy(key).agg(F.array_sort(F.collect_list(reason)).alias("reasons"))
     none = F.array().cast("array<string>")
-    joined = docs.select(key).distinct().join(chosen, key, "left").join(words, key, "left")
-    return joined.select(key, F.coalesce("category", F.lit(default)).alias("category"), F.coalesce("score", F.lit(0)).alias("score"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.coalesce("subcategories", none).alias("subcategories"), F.coalesce("keywords", none).alias("keywords"))
+    columns = [key] + [c for c in ("page_keywords",) if c in docs.columns]
+    joined = docs.dropDuplicates([key]).join(chosen, key, "left").join(words, key, "left").join(reasons, key, "left")
+    keywords = F.coalesce("keywords", none)
+    if len(columns) > 1:
+        visible = F.concat_ws(" ", *(text.searchable(F.col(c)) for c in ("title", "description", "body")))
+        keywords = with_confirmed(keywords, F.coalesce(confirmed_keywords(F.col("page_keywords"), visible), F.array().cast("array<struct<keyword:string,term:string>>")))
+    return joined.select(
+        key, F.coalesce("category", F.lit(default)).alias("category"), F.coalesce("score", F.lit(0)).alias("score"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.coalesce("subcategories", none).alias("subcategories"),
+        keywords.alias("keywords"), F.lit("candidate").alias("status"), F.coalesce("reasons", F.array().cast("array<struct<keyword:string,title_hits:bigint,description_hits:bigint,text_hits:bigint,points:bigint>>")).alias("reasons"), "candidates",
+    )

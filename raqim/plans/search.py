@@ -46,23 +46,25 @@ _SUMMARY = f"""WITH b AS (SELECT id, title, description, {_BODY} AS body FROM cr
 _SNIPPET = f"""WITH c AS (SELECT id, {S.collapse('title')} AS t, {S.collapse('description')} AS d FROM crawler_results)
   SELECT id, substr(CASE WHEN t <> '' AND NOT starts_with(lower(d), lower(t)) THEN t || ' — ' || d ELSE d END, 1, 320) AS snippet FROM c"""
 
-PER_CATEGORY = 60
-
 
 def _keywords(spark: SparkSession, d: str) -> DataFrame:
     """(site category, keyword, n) over the keywords of all results."""
     host = urls.bare_host(F.col("url"))
     sites = table(spark, d, "crawler_sites").select(host.alias("host"), "category").dropDuplicates(["host"])
     results = _results(spark, d).select(host.alias("host"), "keywords").select("host", F.explode(F.split("keywords", r"[,،;؛]")).alias("k"))
-    keys = results.select("host", text.searchable(F.col("k")).alias("keyword")).filter(F.length("keyword") >= 3)
+    keys = results.select("host", text.searchable(F.col("k")).alias("keyword")).filter(F.length("keyword") >= 2)
     return keys.join(sites, "host").groupBy("category", "keyword").agg(F.count("*").alias("n"))
 
 
+#: A category of the corpus has a keyword at its top level if the length is a multiple of this, else in a subcategory of that length.
+PARTS = 8
+
+
 def corpus_taxonomy(spark: SparkSession, d: str) -> DataFrame:
-    """The 60 most frequent keywords of each site category, the first half of them at the top level and the rest below a
-    subcategory of the category's name: a taxonomy of the corpus itself, bounded by the number of categories."""
-    ranked = _keywords(spark, d).withColumn("r", F.row_number().over(Window.partitionBy("category").orderBy(F.desc("n"), "keyword"))).filter(F.col("r") <= PER_CATEGORY)
-    return ranked.select("category", F.when(F.col("r") > PER_CATEGORY // 2, F.concat("category", F.lit("_more"))).alias("subcategory"), "keyword")
+    """All keywords of the results of each site category, told apart into a top level and seven subcategories by their length: a taxonomy
+    of the corpus itself."""
+    part = F.length("keyword") % PARTS
+    return _keywords(spark, d).select("category", F.when(part > 0, F.concat_ws("_", "category", part.cast("string"))).alias("subcategory"), "keyword")
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
@@ -84,22 +86,48 @@ def classified(spark: SparkSession, d: str) -> DataFrame:
     return rows.select("id", "category", F.col("score").cast("long").alias("score"), F.col("confidence").cast("double").alias("confidence"))
 
 
+def matched_keywords(spark: SparkSession, d: str) -> DataFrame:
+    """The keywords that decide each result's category, and those of its own that its text confirms: (id, category, subcategories, keywords)."""
+    docs = _docs(spark, d).join(_results(spark, d).select("id", F.col("keywords").alias("page_keywords")), "id")
+    rows = classify.classify(docs, checkpointed(corpus_taxonomy(spark, d)))
+    return rows.select("id", "category", F.array_join("subcategories", ";").alias("subcategories"), F.array_join("keywords", ";").alias("keywords"), F.size("reasons").cast("long").alias("reasons"), F.coalesce(F.size("candidates"), F.lit(0)).cast("long").alias("candidates"))
+
+
 _HOST = f"regexp_replace(lower(regexp_extract(regexp_extract({S.trim('url')}, {S.q(urls.AUTHORITY)}, 1), {S.q(urls.HOST)}, 1)), '^www\\.', '')"
 _GRAMS = "list_transform(list_filter(string_split(regexp_replace({x}, '[^\\p{{L}}\\p{{N}} ]+', chr(10), 'g'), chr(10)), lambda r: trim(r) <> ''), lambda r: list_filter(string_split(r, ' '), lambda w: w <> ''))"
 _FIELDS = "SELECT id, 't' AS f, t AS x FROM n UNION ALL SELECT id, 'd', d FROM n UNION ALL SELECT id, 'a', concat_ws(' ', t, d, b) FROM n"
 _HITS = f"""ks AS (SELECT {_HOST} AS host, {S.searchable('k')} AS keyword FROM (SELECT url, unnest(regexp_split_to_array(keywords, '[,،;؛]')) AS k FROM crawler_results) WHERE k IS NOT NULL),
   st AS (SELECT host, any_value(category) AS category FROM (SELECT {_HOST} AS host, category FROM crawler_sites) GROUP BY host),
-  rk AS (SELECT category, keyword, row_number() OVER (PARTITION BY category ORDER BY count(*) DESC, keyword) AS r FROM ks JOIN st USING (host) WHERE length(keyword) >= 3 GROUP BY category, keyword),
-  tx AS (SELECT category, CASE WHEN r > {PER_CATEGORY // 2} THEN category || '_more' END AS subcategory, keyword FROM rk WHERE r <= {PER_CATEGORY}),
+  rk AS (SELECT DISTINCT category, keyword FROM ks JOIN st USING (host) WHERE length(keyword) >= 2),
+  tx AS (SELECT category, CASE WHEN length(keyword) % {PARTS} > 0 THEN category || '_' || (length(keyword) % {PARTS}) END AS subcategory, keyword FROM rk),
   vs AS (SELECT *, unnest(CASE WHEN regexp_matches(keyword, '^[\\x{{0600}}-\\x{{06FF}}\\s]+$') THEN list_distinct([keyword, {', '.join(f"'{p}' || keyword" for p in classify.PREFIXES)}]) ELSE [keyword] END) AS variant FROM tx),
   n AS (SELECT id, {S.searchable('title')} AS t, {S.searchable('description')} AS d, {S.searchable('snippet')} AS b FROM crawler_results),
   fs AS ({_FIELDS}),
   ws AS (SELECT id, f, unnest({_GRAMS.format(x='x')}) AS w FROM fs),
-  ls AS (SELECT id, f, w, unnest(range(1, 7)) AS k FROM ws),
+  ls AS (SELECT id, f, w, unnest(range(1, (SELECT max(len(string_split(keyword, ' '))) + 1 FROM tx))) AS k FROM ws),
   gs AS (SELECT id, f, array_to_string(w[i:i + k - 1], ' ') AS variant FROM (SELECT id, f, w, k, unnest(range(1, CAST(len(w) - k + 2 AS BIGINT))) AS i FROM ls WHERE len(w) >= k)),
   hs AS (SELECT id, category, subcategory, keyword, count(*) FILTER (f = 't') AS title_hits, count(*) FILTER (f = 'd') AS description_hits, least(count(*) FILTER (f = 'a'), 2) AS text_hits FROM gs JOIN vs USING (variant) GROUP BY ALL),
   h AS (SELECT *, title_hits * 5 + description_hits * 3 + text_hits AS points FROM hs)"""
-_SCORES = f"{_HITS}, sc AS (SELECT id, category, CAST(sum(points) AS BIGINT) AS score FROM h GROUP BY ALL)"
+_SCORES = f"""{_HITS}, sb AS (SELECT id, category, subcategory, sum(points) AS s FROM h WHERE subcategory IS NOT NULL GROUP BY ALL),
+  s5 AS (SELECT * FROM sb QUALIFY row_number() OVER (PARTITION BY id, category ORDER BY s DESC, subcategory) <= 5),
+  sc AS (SELECT id, category, CAST(sum(s) AS BIGINT) AS score FROM (SELECT id, category, points AS s FROM h WHERE subcategory IS NULL UNION ALL SELECT id, category, s FROM s5) GROUP BY id, category)"""
+
+
+_PREFIXED = "'" + "','".join(classify.PREFIXES) + "'"
+_MATCHED = f"""WITH {_SCORES}, rs AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, category) AS r, count(*) OVER (PARTITION BY id) AS n FROM sc), b AS (SELECT id, category, least(n, 5) AS candidates FROM rs WHERE r = 1),
+  bs AS (SELECT id, category, list(subcategory ORDER BY s DESC, subcategory) AS subs FROM s5 JOIN b USING (id, category) GROUP BY id, category),
+  own AS (SELECT h.id, keyword, max(points) AS points, FROM h JOIN b USING (id, category) LEFT JOIN bs USING (id, category) WHERE h.subcategory IS NULL OR list_contains(bs.subs, h.subcategory) GROUP BY h.id, keyword),
+  mk AS (SELECT id, list(keyword ORDER BY points DESC, keyword)[1:12] AS ks FROM own GROUP BY id),
+  rz AS (SELECT h.id, count(*) AS reasons FROM h JOIN b USING (id, category) WHERE h.subcategory IS NULL GROUP BY h.id),
+  vi AS (SELECT id, ' ' || regexp_replace(concat_ws(' ', t, d, b), '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') || ' ' AS v FROM n),
+  pk AS (SELECT id, unnest(string_split_regex(keywords, '[,;|]')) AS k, unnest(range(0, len(string_split_regex(keywords, '[,;|]')))) AS pos FROM crawler_results WHERE keywords IS NOT NULL),
+  pt AS (SELECT id, pos, trim(k) AS keyword, {S.searchable('k')} AS term FROM pk WHERE trim(k) <> ''),
+  pp0 AS (SELECT *, regexp_replace(term, '[^\\p{{L}}\\p{{N}}]+', ' ', 'g') AS w FROM pt WHERE length(term) >= 3),
+  cf AS (SELECT id, pos, keyword, term FROM pp0 JOIN vi USING (id) WHERE contains(v, ' ' || w || ' ') OR (regexp_matches(w, '^[\\x{{0600}}-\\x{{06FF}}\\s]+$') AND len(list_filter([{_PREFIXED}], lambda p: contains(v, ' ' || p || w || ' '))) > 0)),
+  nw AS (SELECT c.id, c.pos, c.keyword FROM (SELECT * FROM cf QUALIFY row_number() OVER (PARTITION BY id, term ORDER BY pos) = 1) c LEFT JOIN mk USING (id) WHERE NOT coalesce(list_contains(mk.ks, c.term), false)),
+  nl AS (SELECT id, list(keyword ORDER BY pos) AS ns FROM nw GROUP BY id)
+  SELECT c.id, coalesce(b.category, 'other') AS category, coalesce(array_to_string(bs.subs, ';'), '') AS subcategories, array_to_string(list_concat(coalesce(mk.ks, []), coalesce(nl.ns, [])[1:16 - len(coalesce(mk.ks, []))]), ';') AS keywords,
+  coalesce(rz.reasons, 0) AS reasons, coalesce(b.candidates, 0) AS candidates FROM crawler_results c LEFT JOIN b USING (id) LEFT JOIN bs ON bs.id = c.id LEFT JOIN mk ON mk.id = c.id LEFT JOIN nl ON nl.id = c.id LEFT JOIN rz ON rz.id = c.id"""
 
 
 def light_extract(spark: SparkSession, d: str) -> DataFrame:
@@ -190,6 +218,7 @@ QUERIES: dict[str, tuple] = {
         f"""WITH {_SCORES}, rs AS (SELECT *, row_number() OVER w AS r, lead(score) OVER w AS nx FROM sc WINDOW w AS (PARTITION BY id ORDER BY score DESC, category)), b AS (SELECT * FROM rs WHERE r = 1)
           SELECT c.id, coalesce(b.category, 'other') AS category, coalesce(b.score, 0) AS score, CASE WHEN b.score IS NULL THEN 0.0 ELSE round(greatest(least((b.score - coalesce(b.nx, 0) + least(b.score, 10)) / 20.0, 0.99), 0.05), 3) END::DOUBLE AS confidence FROM crawler_results c LEFT JOIN b USING (id)""",
     ),
+    "matched_keywords": (matched_keywords, _MATCHED),
     "light_extract": (light_extract, _LIGHT),
     "ingest_rows": (ingest_rows, f"WITH {_INGEST} SELECT id, url, title, search_text, url <> '' AND search_text <> '' AS valid FROM rr"),
     "display_pages": (display_pages, f"WITH {_CANON} SELECT url, title, description, icon_url FROM ok QUALIFY row_number() OVER (PARTITION BY url ORDER BY id) = 1"),

@@ -16,6 +16,13 @@ def test_classification(spark, tmp_path):
     assert hit == {(1, "city hospital"): 6, (1, "clinic"): 3 + 2, (2, "football"): 5 + 2, (2, "team"): 1, (3, "طب"): 5 + 1}
     got = {r.id: (r.category, r.score, float(r.confidence), r.subcategories) for r in classify.classify(docs, tax).collect()}
     assert got[1] == ("health", 11, 0.99, ["hospitals"]) and got[2] == ("sports", 8, 0.8, ["teams"]) and got[4] == ("other", 0, 0.0, []) and got[5][0] == "other"
+    full = {r.id: r for r in classify.classify(docs.withColumn("page_keywords", F.when(F.col("id") == 1, "City Hospital, CLINIC;x|hospital|clin| hospital ")), tax).collect()}
+    assert full[1].keywords == ["city hospital", "clinic", "hospital"] and full[1].status == "candidate" and [(r.keyword, r.points) for r in full[1].reasons] == [("clinic", 5)]
+    assert [(c.category, c.score, c.subcategories) for c in full[2].candidates] == [("sports", 8, ["teams"])] and full[5].candidates is None
+    sourced = docs.withColumn("source_url", F.when(F.col("id").isin(2, 4), "https://clinic-one.org/x"))
+    rules = [("clinic one", "health", "clinics", "clinic_source", 20), ("clinic", "health", "clinics", "later", 50)]
+    got = {r.id: r for r in classify.classify(sourced, tax, sources=rules).collect()}
+    assert (got[2].category, got[2].score, got[2].subcategories, got[2].keywords) == ("health", 20, ["clinics"], ["clinic_source"]) and got[4].category == "health" and got[1].score == 61
     data = {"categories": [{"id": "a", "keywords_ar": ["س ص"], "keywords_en": ["x"], "subcategories": [{"id": "b", "keywords_ar": [], "keywords_en": ["y"]}]}]}
     (tmp_path / "t.json").write_text(json.dumps(data, ensure_ascii=False), encoding="utf-8")
     assert {tuple(r) for r in classify.read_taxonomy(spark, str(tmp_path / "t.json")).collect()} == {("a", None, "س ص"), ("a", None, "x"), ("a", "b", "y")}
