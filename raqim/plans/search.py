@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from raqim.functions import text, urls
 from raqim.operators import classify, extract, ingest, state
 from raqim.plans import sqltext as S
-from raqim.session import checkpointed, table
+from raqim.session import checkpointed, spread, table
 
 
 def _results(spark: SparkSession, d: str) -> DataFrame:
@@ -68,7 +68,7 @@ def corpus_taxonomy(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _docs(spark: SparkSession, d: str) -> DataFrame:
-    return _results(spark, d).select("id", "title", "description", F.col("snippet").alias("body"))
+    return spread(_results(spark, d)).select("id", "title", "description", F.col("snippet").alias("body"))
 
 
 def keyword_hits(spark: SparkSession, d: str) -> DataFrame:
@@ -88,7 +88,7 @@ def classified(spark: SparkSession, d: str) -> DataFrame:
 
 def matched_keywords(spark: SparkSession, d: str) -> DataFrame:
     """The keywords that decide each result's category, and those of its own that its text confirms: (id, category, subcategories, keywords)."""
-    docs = _docs(spark, d).join(_results(spark, d).select("id", F.col("keywords").alias("page_keywords")), "id")
+    docs = spread(_results(spark, d)).select("id", "title", "description", F.col("snippet").alias("body"), F.col("keywords").alias("page_keywords"))
     rows = classify.classify(docs, checkpointed(corpus_taxonomy(spark, d)))
     return rows.select("id", "category", F.array_join("subcategories", ";").alias("subcategories"), F.array_join("keywords", ";").alias("keywords"), F.size("reasons").cast("long").alias("reasons"), F.coalesce(F.size("candidates"), F.lit(0)).cast("long").alias("candidates"))
 
@@ -134,7 +134,7 @@ def light_extract(spark: SparkSession, d: str) -> DataFrame:
     """The results written as HTML pages, and read back."""
     escape = lambda c: F.replace(F.replace(F.replace(F.coalesce(c, F.lit("")), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;"))
     page = F.concat(F.lit("<!doctype html><html><head><title>"), escape(F.col("title")), F.lit('</title><meta name="description" content="'), escape(F.col("description")), F.lit('"></head><body><nav><a href="/">x</a></nav><article><p>'), escape(F.col("snippet")), F.lit("</article><script>var a='<p>no';</script></body></html>"))
-    pages = _results(spark, d).select("id", "url", page.alias("html"))
+    pages = spread(_results(spark, d)).select("id", "url", page.alias("html"))
     return extract.light(pages).select("id", "title", "snippet")
 
 
@@ -145,11 +145,11 @@ _LIGHT = f"""WITH c AS (SELECT id, {_TITLE} AS title, substr({S.strip_tags('desc
 
 
 def ingest_rows(spark: SparkSession, d: str) -> DataFrame:
-    return ingest.rows(_results(spark, d).select("id", "url", "title", "description", "icon_url", "keywords", "snippet")).select("id", "url", "title", "search_text", "valid")
+    return ingest.rows(spread(_results(spark, d)).select("id", "url", "title", "description", "icon_url", "keywords", "snippet")).select("id", "url", "title", "search_text", "valid")
 
 
 def _ingested(spark: SparkSession, d: str) -> DataFrame:
-    return ingest.rows(_results(spark, d).select("id", urls.canonical_discovery(F.col("url")).alias("url"), "title", "description", "icon_url", "keywords", "snippet"))
+    return ingest.rows(spread(_results(spark, d)).select("id", urls.canonical_discovery(F.col("url")).alias("url"), "title", "description", "icon_url", "keywords", "snippet"))
 
 
 def display_pages(spark: SparkSession, d: str) -> DataFrame:
