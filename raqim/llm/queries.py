@@ -7,15 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from raqim.llm import lookalike, mixing, mojibake, neardup, packing, residue, site_lines, stuffing, tokens, truncation
-from raqim.session import checkpointed, table
+from raqim.session import checkpointed, spread, table
 
 
 def _results(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "crawler_results")
+    return spread(table(spark, d, "crawler_results"))
 
 
 def _documents(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "documents")
+    return spread(table(spark, d, "documents"))
 
 
 def p1_found(spark: SparkSession, d: str) -> DataFrame:
