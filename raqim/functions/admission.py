@@ -22,11 +22,18 @@ ARABIC_VALUE = r"(?i)^(?:ar|arabic)(?:[-_.]|$)"
 
 
 def _foreign(query: Column, keys: tuple[str, ...]) -> Column:
-    """Whether one of the parameters names a language other than Arabic."""
-    out = F.lit(False)
-    for k in keys:
-        out = out | urls.let(F.regexp_extract(query, rf"(?:^|&){k}=([^&]*)", 1), lambda v: (v != "") & ~F.rlike(v, F.lit(ARABIC_VALUE)))
-    return out
+    """Whether one of the parameters names a language other than Arabic, keys and values percent-decoded; the first of a key's values counts."""
+    plain = lambda x: F.coalesce(F.try_url_decode(x), x)
+    pairs = F.transform(F.filter(F.split(query, "&"), lambda x: x != ""), lambda x: F.struct(plain(F.regexp_extract(x, "^([^=]*)", 1)).alias("k"), plain(F.regexp_extract(x, "^[^=]*=(.*)$", 1)).alias("v")))
+    of = lambda rows, k: F.coalesce(F.get(F.filter(rows, lambda x: x["k"] == k), F.lit(0))["v"], F.lit(""))
+
+    def judge(rows: Column) -> Column:
+        out = F.lit(False)
+        for k in keys:
+            out = out | ((of(rows, k) != "") & ~F.rlike(of(rows, k), F.lit(ARABIC_VALUE)))
+        return out
+
+    return F.when(F.coalesce(query, F.lit("")) == "", False).otherwise(urls.let(pairs, judge))
 
 
 def decision(raw: Column, site: Column, arabic_first: tuple[str, ...] = ("quran.com",)) -> Column:

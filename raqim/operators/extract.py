@@ -91,10 +91,48 @@ def error_code(error: Column, status: Column, content_type: Column, quality: Col
     )
 
 
-def review_reason(error: Column, status: Column, content_type: Column, quality: Column, text_length: Column, missing: Column) -> Column:
-    """Why a page needs review; ``missing`` is the array of required fields that are empty."""
+def review_reason(error: Column, status: Column, content_type: Column, quality: Column, text_length: Column, missing: Column, browser_error: Column | None = None) -> Column:
+    """Why a page needs review; ``missing`` is the array of required fields that are empty, ``browser_error`` what a renderer reported."""
+    failed = F.lit(False) if browser_error is None else F.coalesce(browser_error, F.lit("")) != ""
     return F.when(error.isNotNull() & (error != ""), F.when(F.instr(error, "timeout") > 0, "fetch_timeout").otherwise("fetch_error")).when(
         ~F.coalesce(status, F.lit(0)).between(200, 399), F.concat(F.lit("http_"), F.when(F.coalesce(status, F.lit(0)) == 0, "unknown").otherwise(status.cast("string")))
     ).when(~F.coalesce(content_type, F.lit("")).rlike("(?i)html"), "not_html").when(quality.isNotNull() & (quality != "") & (quality != "good"), quality).when(
         F.coalesce(text_length, F.lit(0)) < 1, "insufficient_extracted_text"
-    ).when(F.size(missing) > 0, F.concat(F.lit("missing_"), F.array_join(missing, "_"))).otherwise("unknown")
+    ).when(F.size(missing) > 0, F.concat(F.lit("missing_"), F.array_join(missing, "_"))).when(failed, "browser_fallback_failed").otherwise("unknown")
+
+
+def missing_fields() -> Column:
+    """The required fields that are empty, in their order."""
+    return F.filter(F.array(*(F.when(F.coalesce(F.col(f), F.lit("")) == "", F.lit(f)) for f in REQUIRED)), lambda x: x.isNotNull())
+
+
+#: Columns of a fetch that its trace holds, with the most characters of a text.
+TRACE = (("status", "http_status", 0), ("content_type", "content_type", 100), ("response_url", "response_url", 1000), ("fetch_method", "fetch_method", 0), ("duration_ms", "duration_ms", 0), ("fetch_attempts", "fetch_attempts", 0), ("page_attempt", "page_attempt", 0), ("browser_error", "browser_error", 0), ("http_duration_ms", "http_duration_ms", 0))
+
+
+def trace(pages: DataFrame) -> Column:
+    """How a page was fetched, of the columns that are there; numbers that are missing are 0."""
+    out = []
+    for c, name, most in TRACE:
+        if c in pages.columns:
+            number = pages.schema[c].dataType.typeName() in ("integer", "long", "short", "double")
+            value = F.coalesce(F.col(c), F.lit(0)) if number else F.coalesce(F.col(c).cast("string"), F.lit(""))
+            out.append((F.substring(value, 1, most) if most else value).alias(name))
+    return F.struct(*out)
+
+
+def diagnosed(pages: DataFrame) -> DataFrame:
+    """``pages`` (a fetch with its extracted fields, quality, text and error) with ``diagnosis``: reason, missing fields, quality, text length, an excerpt of 300
+    characters, the observed fields (320 characters of a snippet, 500 of others), the error's first 500 characters and the trace."""
+    error = F.col("error") if "error" in pages.columns else F.lit(None).cast("string")
+    browser = F.col("browser_error") if "browser_error" in pages.columns else None
+    length = F.length(text.trim(F.coalesce(F.col("text"), F.lit(""))))
+    observed = F.struct(*(F.substring(F.coalesce(F.col(f), F.lit("")), 1, SNIPPET if f == "snippet" else SUMMARY).alias(f) for f in REQUIRED))
+    return pages.withColumn("missing__", missing_fields()).withColumn("length__", length).withColumn(
+        "diagnosis",
+        F.struct(
+            review_reason(error, F.col("status"), F.col("content_type"), F.col("quality"), F.col("length__"), F.col("missing__"), browser).alias("reason"), F.col("missing__").alias("missing_fields"),
+            F.coalesce(F.nullif("quality", F.lit("")), F.lit("unknown")).alias("quality"), F.col("length__").alias("text_length"), text.collapse(F.col("text"), 300).alias("excerpt"), observed.alias("observed"),
+            F.substring(error, 1, SUMMARY).alias("error"), trace(pages).alias("trace"),
+        ),
+    ).drop("missing__", "length__")

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from raqim.session import checkpointed
+
 
 def acquire(queue: DataFrame, limit: int, attempts: int = 2) -> DataFrame:
     """The next batch, rows as they were before it: pending or queued rows by id (rows in process count as pending again); if there
@@ -57,19 +59,39 @@ def outcome(complete: Column, phase: Column, attempts: Column, retries: int = 1)
     return F.when(complete, "indexed").when((phase == "review") | (F.coalesce(attempts, F.lit(0)) >= retries + 1), "corrupt").otherwise("needs_review")
 
 
+def _numbered(events: DataFrame, order: str) -> DataFrame:
+    """``events`` with n, their place in the order, and of, their number, without one task that sees them all: each partition of a sort
+    by ranges counts for itself and starts where those before it end."""
+    parts = checkpointed(events.repartitionByRange(F.col(order)).withColumn("part__", F.spark_partition_id()))
+    counts = parts.groupBy("part__").agg(F.count("*").alias("c"))  # a row a partition
+    start = counts.select("part__", (F.sum("c").over(Window.orderBy("part__")) - F.col("c")).alias("start__"), F.sum("c").over(Window.partitionBy()).alias("of"))
+    inside = F.row_number().over(Window.partitionBy("part__").orderBy(order))
+    return parts.join(F.broadcast(start), "part__").withColumn("n", F.col("start__") + inside).drop("part__", "start__")
+
+
 def milestones(events: DataFrame, order: str, step: int = 20, group: str | None = None) -> DataFrame:
     """The events at which progress passes a multiple of ``step`` per cent: with n, of and percent.  Per group, where one is named."""
-    part = Window.partitionBy(group) if group else Window.partitionBy()
-    ordered = part.orderBy(order)
-    numbered = events.withColumn("n", F.row_number().over(ordered)).withColumn("of", F.count("*").over(part)).withColumn("percent", F.floor(100 * F.col("n") / F.col("of")).cast("int"))
-    reached = F.floor(F.col("percent") / step) * step
-    return numbered.withColumn("reached", reached.cast("int")).withColumn("before", F.coalesce(F.lag("reached").over(ordered), F.lit(0))).filter("reached > before").drop("before", "reached")
+    if group:
+        part = Window.partitionBy(group)
+        numbered = events.withColumn("n", F.row_number().over(part.orderBy(order))).withColumn("of", F.count("*").over(part))
+    else:
+        numbered = _numbered(events, order)
+    percent = lambda n: F.floor(100 * n / F.col("of")).cast("int")
+    reached = lambda n: F.floor(percent(n) / step)
+    return numbered.withColumn("percent", percent(F.col("n"))).filter(reached(F.col("n")) > reached(F.col("n") - 1))
+
+
+#: Groups into which a site's pages are cut before the limit is applied.
+SALTS = 32
 
 
 def capped(pages: DataFrame, limit: int, site: str = "site_id", order: tuple[str, ...] = ("pos",), accepted: DataFrame | None = None) -> DataFrame:
     """Pages of each site up to its limit, less what was accepted before (site, accepted); with ``left``, how many stay behind."""
-    own = Window.partitionBy(site)
-    numbered = pages.withColumn("n", F.row_number().over(own.orderBy(*order))).withColumn("all", F.count("*").over(own))
+    # each salt of a site gives no more than the limit, so no task holds a whole hot site
+    salted = pages.withColumn("salt__", F.pmod(F.xxhash64(*order), F.lit(SALTS)))
+    few = salted.withColumn("n", F.row_number().over(Window.partitionBy(site, "salt__").orderBy(*order))).filter(F.col("n") <= limit).drop("n", "salt__")
+    numbered = few.withColumn("n", F.row_number().over(Window.partitionBy(site).orderBy(*order))).filter(F.col("n") <= limit)
+    numbered = numbered.join(pages.groupBy(site).agg(F.count("*").alias("all")), site)
     if accepted is not None:
         numbered = numbered.join(accepted.select(site, "accepted"), site, "left")
     else:

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -90,21 +89,65 @@ def integrity(tables: dict[str, DataFrame], unique: dict[str, list[str]], refere
 
 
 class Snapshots:
-    """A table kept as Parquet versions under one folder; a pointer file names the current one.  One writer at a time."""
+    """A table kept as Parquet versions under one folder of any file system that Spark writes to; a pointer file names the current one.
+    One writer at a time."""
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder = spark, folder.rstrip("/")
+        jvm = spark.sparkContext._jvm
+        self._path = jvm.org.apache.hadoop.fs.Path
+        self._rename = jvm.org.apache.hadoop.fs.Options.Rename
+        self._context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(self._path(self.folder).toUri(), spark.sparkContext._jsc.hadoopConfiguration())
 
     def read(self) -> DataFrame:
-        with open(os.path.join(self.folder, "CURRENT")) as f:
-            return self.spark.read.parquet(os.path.join(self.folder, json.load(f)["version"]))
+        pointer = self.spark.read.text(f"{self.folder}/CURRENT", wholetext=True).first()[0]
+        return self.spark.read.parquet(f"{self.folder}/{json.loads(pointer)['version']}")
 
     def replace(self, df: DataFrame) -> DataFrame:
-        """Write a new version, then move the pointer; readers of the old version aren't disturbed."""
+        """Write a new version, then move the pointer in one step; readers of the old version aren't disturbed."""
         version = uuid.uuid4().hex
-        df.write.parquet(os.path.join(self.folder, version))
-        temporary = os.path.join(self.folder, f".{version}")
-        with open(temporary, "w") as f:
-            json.dump({"version": version}, f)
-        os.replace(temporary, os.path.join(self.folder, "CURRENT"))
+        df.write.parquet(f"{self.folder}/{version}")
+        temporary = self._path(f"{self.folder}/_{version}")
+        out = temporary.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).create(temporary, True)
+        out.write(bytearray(json.dumps({"version": version}), "utf-8"))
+        out.close()
+        options = self.spark.sparkContext._gateway.new_array(self._rename, 1)
+        options[0] = self._rename.OVERWRITE
+        self._context.rename(temporary, self._path(f"{self.folder}/CURRENT"), options)
         return self.read()
+
+
+def write_manifest(rows: DataFrame, path: str, key: str = "id") -> None:
+    """A manifest of what was shipped or is to be deleted: one id a line."""
+    rows.select(F.col(key).cast("string").alias("value")).filter("value is not null").distinct().write.mode("overwrite").text(path)
+
+
+def read_manifest(spark: SparkSession, path: str, key: str = "id", kind: str = "long") -> DataFrame:
+    """(key) of a manifest's lines, once each; blank lines and such that are no value of ``kind`` are passed over."""
+    return spark.read.text(path).select(F.expr(f"try_cast(trim(value) as {kind})").alias(key)).filter(F.col(key).isNotNull()).distinct()
+
+
+def shipped_in_chunks(rows: DataFrame, send, size: int, key: str = "id", retries: int = 5, wait=lambda attempt: None) -> DataFrame:
+    """(key) of the rows that ``send(rows of a chunk) -> number accepted`` took, chunk by chunk of at most ``size`` rows on the executors.  A chunk
+    that fails is sent again up to ``retries`` times, after ``wait(attempt)``; one that is not accepted whole is an error."""
+    columns = rows.columns
+
+    def run(batches):
+        import pandas as pd
+
+        for pdf in batches:
+            for at in range(0, len(pdf), size):
+                part = pdf.iloc[at : at + size]
+                for attempt in range(retries + 1):
+                    try:
+                        taken = send(part[columns].to_dict("records"))
+                        break
+                    except OSError:
+                        if attempt == retries:
+                            raise
+                        wait(attempt)
+                if taken != len(part):
+                    raise ValueError(f"{len(part)} rows were sent, {taken} accepted")
+                yield pd.DataFrame({key: part[key]})
+
+    return rows.mapInPandas(run, f"`{key}` {rows.schema[key].dataType.simpleString()}")

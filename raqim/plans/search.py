@@ -113,6 +113,20 @@ _SCORES = f"""{_HITS}, sb AS (SELECT id, category, subcategory, sum(points) AS s
   sc AS (SELECT id, category, CAST(sum(s) AS BIGINT) AS score FROM (SELECT id, category, points AS s FROM h WHERE subcategory IS NULL UNION ALL SELECT id, category, s FROM s5) GROUP BY id, category)"""
 
 
+def reviewed(spark: SparkSession, d: str) -> DataFrame:
+    """Every result diagnosed as a page that was fetched with success: (id, reason, missing, quality, text_length, excerpt)."""
+    rows = _results(spark, d).select("id", "url", "title", "description", "icon_url", "keywords", "snippet", F.col("snippet").alias("text"), F.lit(200).alias("status"), F.lit("text/html").alias("content_type"))
+    rows = rows.withColumn("quality", text.quality(F.col("title"), F.col("description"), F.col("snippet"), F.col("content_type"))["status"])
+    x = F.col("diagnosis")
+    return extract.diagnosed(rows).select("id", x["reason"].alias("reason"), F.array_join(x["missing_fields"], ",").alias("missing"), x["quality"].alias("quality"), x["text_length"].cast("long").alias("text_length"), x["excerpt"].alias("excerpt"))
+
+
+_REVIEWED = f"""WITH c AS (SELECT *, coalesce(title, '') AS t, coalesce(description, '') AS de, coalesce(snippet, '') AS x FROM crawler_results),
+  q AS (SELECT *, CASE WHEN t = '' AND de = '' AND length(x) < 1000 THEN 'not_indexable_api' WHEN regexp_matches(concat_ws(' ', t, de, x), {S.q(text.CHALLENGE)}) THEN 'blocked_challenge' WHEN t <> '' AND length(x) < 20 THEN 'dynamic_content' WHEN length(x) < 300 AND de = '' THEN 'thin_content' ELSE 'good' END AS quality,
+    length({S.trim('x')}) AS text_length, array_to_string(list_filter([{', '.join(f"CASE WHEN coalesce({c}, '') = '' THEN '{c}' END" for c in extract.REQUIRED)}], lambda m: m IS NOT NULL), ',') AS missing FROM c)
+  SELECT id, CASE WHEN quality <> 'good' THEN quality WHEN text_length < 1 THEN 'insufficient_extracted_text' WHEN missing <> '' THEN 'missing_' || replace(missing, ',', '_') ELSE 'unknown' END AS reason, missing, quality, text_length, {S.collapse('snippet', 300)} AS excerpt FROM q"""
+
+
 _PREFIXED = "'" + "','".join(classify.PREFIXES) + "'"
 _MATCHED = f"""WITH {_SCORES}, rs AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY score DESC, category) AS r, count(*) OVER (PARTITION BY id) AS n FROM sc), b AS (SELECT id, category, least(n, 5) AS candidates FROM rs WHERE r = 1),
   bs AS (SELECT id, category, list(subcategory ORDER BY s DESC, subcategory) AS subs FROM s5 JOIN b USING (id, category) GROUP BY id, category),
@@ -219,6 +233,7 @@ QUERIES: dict[str, tuple] = {
           SELECT c.id, coalesce(b.category, 'other') AS category, coalesce(b.score, 0) AS score, CASE WHEN b.score IS NULL THEN 0.0 ELSE round(greatest(least((b.score - coalesce(b.nx, 0) + least(b.score, 10)) / 20.0, 0.99), 0.05), 3) END::DOUBLE AS confidence FROM crawler_results c LEFT JOIN b USING (id)""",
     ),
     "matched_keywords": (matched_keywords, _MATCHED),
+    "reviewed": (reviewed, _REVIEWED),
     "light_extract": (light_extract, _LIGHT),
     "ingest_rows": (ingest_rows, f"WITH {_INGEST} SELECT id, url, title, search_text, url <> '' AND search_text <> '' AS valid FROM rr"),
     "display_pages": (display_pages, f"WITH {_CANON} SELECT url, title, description, icon_url FROM ok QUALIFY row_number() OVER (PARTITION BY url ORDER BY id) = 1"),

@@ -110,3 +110,12 @@ def test_a_sitemap_met_again_is_judged_as_a_page(spark):
     body = "<urlset><url><loc>https://a.org/sitemap-2.xml</loc></url><url><loc>https://www.a.org/sitemap-2.xml</loc></url></urlset>"
     df = spark.createDataFrame([(1, "https://a.org/sitemap.xml", "https://a.org/", body)], "id int, base string, site string, body string")
     assert [(r.kind, r.reason) for r in sorted(sitemaps.listed(df, "id", "base", "site").collect(), key=lambda r: r.pos)] == [("sitemap", None), ("refused", "asset_file")]
+
+
+def test_diagnosis(spark):
+    fields = "url string, title string, description string, icon_url string, keywords string, snippet string, text string, quality string, status int, content_type string, error string, duration_ms long, browser_error string"
+    rows = [("u", "t", "d", "i", "k", "s", " some  text ", "good", 200, "text/html", None, 5, "crashed"), ("u", "t", "", "i", "", "s", "x", "good", 200, "text/html", None, None, None), ("u", None, None, None, None, None, None, None, 503, None, "timeout " * 100, 9, None)]
+    got = [r.diagnosis for r in extract.diagnosed(spark.createDataFrame(rows, fields)).collect()]
+    assert [g.reason for g in got] == ["browser_fallback_failed", "missing_description_keywords", "fetch_timeout"]
+    assert (got[0].text_length, got[0].excerpt, got[0].trace.duration_ms, got[0].trace.http_status) == (10, "some text", 5, 200) and got[1].missing_fields == ["description", "keywords"]
+    assert got[2].quality == "unknown" and len(got[2].error) == 500 and got[2].observed.title == "" and got[2].trace.content_type == ""

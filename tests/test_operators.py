@@ -44,6 +44,17 @@ def test_queue(spark):
     assert [r.percent for r in steps.orderBy("id").collect()] == [20, 40, 60, 80, 100]
 
 
+def test_progress_and_caps_without_one_task(spark):
+    many = spark.range(0, 10_000, 1, 7).select((F.col("id") * 7919 % 10_007).alias("at"))
+    got = queue.milestones(many, "at").orderBy("n").collect()
+    assert [(r.n, r.of, r.percent) for r in got] == [(n, 10_000, n // 100) for n in (2000, 4000, 6000, 8000, 10_000)]
+    pages = spark.range(3000).select(F.when(F.col("id") % 3 > 0, 1).otherwise(2).alias("site_id"), (F.col("id") * 37 % 3001).alias("pos"))
+    capped = queue.capped(pages, 25)
+    want = {s: sorted(r.pos for r in pages.filter(F.col("site_id") == s).collect())[:25] for s in (1, 2)}
+    assert {s: sorted(r.pos for r in capped.filter(F.col("site_id") == s).collect()) for s in (1, 2)} == want
+    assert {(r.site_id, r.left) for r in capped.collect()} == {(1, 1975), (2, 975)}
+
+
 def test_state(spark, tmp_path):
     old = spark.createDataFrame([(1, "a", "x", "t1"), (2, "b", "y", "t1")], "id long, url string, title string, updated_at string")
     new = spark.createDataFrame([(7, "a", "x2", "t2"), (8, "a", "x1", "t1"), (9, "c", "z", "t2")], "id long, url string, title string, updated_at string")
@@ -89,6 +100,25 @@ def test_shipping(spark, tmp_path):
     cursors = spark.createDataFrame([(1, ["a"], 7)], "id long, pendingSitemaps array<string>, currentPageIndex int")
     got = {r.id: r.discovery_cursor for r in state.with_cursor(table_, cursors).collect()}
     assert json.loads(got[1]) == {"pendingSitemaps": ["a"], "currentPageIndex": 7} and got[0] == "{}"
+    state.write_manifest(table_, str(tmp_path / "m"))
+    assert {r.id for r in state.read_manifest(spark, str(tmp_path / "m")).collect()} == set(range(5))
+    sent = state.shipped_in_chunks(table_, lambda rows: len(rows), 2)
+    assert {r.id for r in sent.collect()} == set(range(5))
+    tries = tmp_path / "tries"
+
+    def flaky(rows):
+        n = int(tries.read_text()) if tries.exists() else 0
+        tries.write_text(str(n + 1))
+        if n < 2:
+            raise OSError("again")
+        return len(rows)
+
+    assert state.shipped_in_chunks(table_.coalesce(1), flaky, 9).count() == 5 and tries.read_text() == "3"
+    try:
+        state.shipped_in_chunks(table_, lambda rows: 0, 2).collect()
+        raise AssertionError("rows that were not accepted passed")
+    except Exception as e:
+        assert "accepted" in str(e)
     left, right = state.split_columns(table_, "id", ["discovery_cursor"], [])
     assert left.columns == ["id", "discovery_cursor"] and right.columns == ["id"]
 

@@ -53,3 +53,10 @@ def test_idempotent(spark, many):
     for f in (urls.canonical_crawl, urls.canonical_discovery, urls.canonical_seed, urls.sitemap_form):
         once = run(spark, f, [(u,) for u in many], "u")
         assert run(spark, f, [(u,) for u in once], "u") == once
+
+
+def test_language_parameters_are_decoded(spark):
+    rows = [("https://a.org/x?l%61ng=fr",), ("https://a.org/x?lang=%61r",), ("https://a.org/x?lang=&locale=de",), ("https://a.org/x?slang=fr",), ("https://a.org/x?lang=ar&lang=fr",)]
+    df = spark.createDataFrame(rows, "u string")
+    got = [r.r for r in df.select(admission.decision(F.col("u"), F.lit("https://a.org/"))["reason"].alias("r")).collect()]
+    assert got == ["non_arabic_language_parameter", None, "non_arabic_language_parameter", None, None]
