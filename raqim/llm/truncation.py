@@ -58,6 +58,8 @@ FINE, COARSE, KNOWN = (200, 2), (100, 1), 2000
 DIGITS = re.compile(r"\d+$")
 #: Template hashes that a worker holds before it counts them.
 FLUSH = 4_000_000
+#: Templates in a row.
+PACKED = 8192
 LISTED = re.compile(r"[|/·•>,،;#»]|\s[-–—]\s|\s{2,}")
 LINKED = re.compile(r"://|www\.|[a-z]\.[a-z]")
 ENCODINGS = ("characters", "utf8", "utf16", "html", "json", "crlf", "utf8_crlf", "html_utf8")
@@ -204,11 +206,11 @@ def word_counts(df: DataFrame, fields: tuple[str, ...]) -> DataFrame:
     return df.select(*fields).mapInPandas(_count_words(list(fields)), "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-ROWS = "kind string, id long, site string, field string, cut string, fine long, coarse long, last string, line long, before long, value long, about string, lens array<long>, key long, ends long, goes long"
+ROWS = "kind string, id long, site string, field string, cut string, fine long, coarse long, last string, line long, before long, value long, about string, lens array<long>, keys array<long>, counts array<long>"
 _ARROW = pa.schema(
     [
         ("kind", pa.string()), ("id", pa.int64()), ("site", pa.string()), ("field", pa.string()), ("cut", pa.string()), ("fine", pa.int64()), ("coarse", pa.int64()), ("last", pa.string()),
-        ("line", pa.int64()), ("before", pa.int64()), ("value", pa.int64()), ("about", pa.string()), ("lens", pa.list_(pa.int64())), ("key", pa.int64()), ("ends", pa.int64()), ("goes", pa.int64()),
+        ("line", pa.int64()), ("before", pa.int64()), ("value", pa.int64()), ("about", pa.string()), ("lens", pa.list_(pa.int64())), ("keys", pa.list_(pa.int64())), ("counts", pa.list_(pa.int64())),
     ]
 )
 
@@ -250,14 +252,15 @@ def _is_residue(text: str, own: tuple[str, ...]) -> tuple[bool, str]:
 
 
 def _template_rows(kept: dict[str, list[np.ndarray]]) -> Iterator[pa.RecordBatch]:
-    """Counts of the template hashes that were kept, which are forgotten."""
+    """Counts of the template hashes that were kept, which are forgotten; many to a row, since the other columns are null."""
     for name, values in kept.items():
         if values:
             keys, n = np.unique(np.concatenate(values), return_counts=True)
             values.clear()
             if len(keys):
-                zero = np.zeros(len(keys), dtype=np.int64)
-                yield _batch_of(len(keys), kind=pa.array(["template"] * len(keys)), key=keys, ends=n if name == "ends" else zero, goes=n if name == "goes" else zero)
+                cuts = np.append(np.arange(0, len(keys), PACKED), len(keys)).astype(np.int32)
+                packed = [pa.ListArray.from_arrays(pa.array(cuts), pa.array(x.astype(np.int64))) for x in (keys, n)]
+                yield _batch_of(len(cuts) - 1, kind=pa.array([name] * (len(cuts) - 1)), keys=packed[0], counts=packed[1])
 
 
 def _scan(fields: list[str], ranks: dict[str, dict[str, int]]):
@@ -414,7 +417,8 @@ def _judged(df: DataFrame, key: str, fields: tuple[str, ...], extra: tuple[str,
     scanned = _scanned(df, key, fields, counts)
     # open values are few beside the templates and read by many branches
     tails = checkpointed(scanned.filter("kind = 'tail'").select("id", "site", "field", "cut", "fine", "coarse", "last", "line", "before", "value", "about", "lens"))
-    templates = scanned.filter("kind = 'template'").groupBy("key").agg(F.sum("ends").alias("ends"), F.sum("goes").alias("goes"))
+    each = scanned.filter("kind in ('ends', 'goes')").select("kind", F.inline(F.arrays_zip(F.col("keys").alias("key"), F.col("counts").alias("n"))))
+    templates = each.groupBy("key").agg(*(F.sum(F.when(F.col("kind") == x, F.col("n")).otherwise(0)).alias(x) for x in ("ends", "goes")))
     # the highest pile comes first, of equal ones the encoding that is named first
     in_order = lambda of, by, name: of.groupBy(*by).agg(F.sort_array(F.collect_set(F.struct((-F.col("open")).alias("pile"), "e", "length"))).alias(name))
     counted = checkpointed(lengths_of(tails))
