@@ -74,3 +74,71 @@ def test_two_models_in_one_worker():
         fresh.append(M._labels(m, text)[0])
     for m, want in ((first, fresh[0]), (second, fresh[1]), (first, fresh[0])):
         assert (M._labels(m, text)[0] == want).all()
+
+
+def _emitted(model, state):
+    """(character codes as probabilities alone, neighbours with theirs) of a state, by the characters themselves."""
+    signs = {i: c for c, i in model.alphabet.items()}
+    alone, keys, probs = model.sparse[model.pairs.index(state)]
+    return {signs[i]: float(alone[i]) for i in signs}, {(signs[k // model.n], signs[k % model.n]): float(p) for k, p in zip(keys, probs, strict=True)}
+
+
+def test_training_counts_all_lines(spark, monkeypatch):
+    plain, other = [f"the tin hat no {i}" for i in range(1900)] + ["qzq"], [f"le café est où {i}" for i in range(2300)] + ["le dîner à cinq heures"]
+    late = "x" * 3000 + " jamais trouvé ẞ"
+    rows = [(i, t, "") for i, t in enumerate([*plain, *other, late])] + [(None, "ꙮ", ""), (9999, None, "")]
+    model = M.train(spark.createDataFrame(rows, SCHEMA).repartition(5), rounds=0)
+    assert {"ẞ", "î", "ù"} <= set(model.alphabet) and "ꙮ" not in model.alphabet
+    # by hand: every other line as one, every ordinary line by one weight, built-in words five times
+    weight = min(1, M.USUAL_SHARE * len([*other, late]) / len(plain))
+    lines = [(x, 1) for x in [*other, late]] + [(x, weight) for x in plain] + [(x, 5) for x in M.SEED.values()]
+    for state in (None, ("utf-8", "cp1252", 1), ("utf-8", "latin-1", 2), ("cp1252", "cp850", 1)):
+        single, double, before = {}, {}, {}
+        for x, w in lines:
+            g = x if state is None else M.garble(x, *state)
+            if g is None or state and g == x:
+                continue
+            for c in g:
+                single[c] = single.get(c, 0) + w
+            for a, b in zip(g, g[1:]):
+                double[a, b] = double.get((a, b), 0) + w
+                before[a] = before.get(a, 0) + w
+        alone, pairs = _emitted(model, state)
+        assert alone == pytest.approx({c: 1e-7 + single.get(c, 0) / sum(single.values()) for c in alone}, rel=1e-4)
+        assert pairs == pytest.approx({k: n / (before[k[0]] + 2) for k, n in double.items()}, rel=1e-4)
+    # neither how the lines come nor how the counts are held changes anything
+    whole = M.Model([x for _, x, _ in rows[:-2]])
+    monkeypatch.setattr(M, "DIRECT", 100)
+    monkeypatch.setattr(M, "CHUNK", 50)
+    again = M.Model([x for _, x, _ in rows[:-2]])
+    for m in (whole, again):
+        assert m.alphabet == model.alphabet and m.pairs == model.pairs
+        assert all((x == y).all() for own, its in zip(m.sparse, model.sparse, strict=True) for x, y in zip(own, its, strict=True))
+    text = [TEXTS["fr"] + " " + M.garble(TEXTS["fr"], "utf-8", "mac_roman")]
+    searched = M._labels(again, text)[0]
+    monkeypatch.undo()
+    assert (M._labels(model, text)[0] == searched).all() and searched.any()
+
+
+def test_garbled_lines_do_not_train(spark):
+    own = "Selon la société, l'étude des épices à Paris a précédé l'élargissement du marché et la création du musée."
+    short = "La société a décidé."
+    fine = [(i, f"{own} {i}", "") for i in range(600)]
+    bad = [(1000 + i, M.garble(f"{own} {i}\n{short}", "cp1252", "cp850"), "") for i in range(10)]
+    bad += [(2000, M.garble(short, "cp1252", "cp850"), "")]
+    df = spark.createDataFrame(fine + bad, SCHEMA)
+    assert ("t", "Ú") in _emitted(M.train(df, rounds=0), None)[1]
+    model = M.train(df)
+    assert _emitted(model, None)[1].get(("t", "Ú"), 0) < 1e-3
+    got = {r.doc_id: r.restored for r in M.garbled(df, model=model).collect()}
+    assert got == {i: (f"{own} {i - 1000}\n{short}" if i < 2000 else short) for i, _, _ in bad}
+
+
+def test_a_character_is_not_cut():
+    model = M.Model(["Île verte", "Ïle", "Îlot", "où Θ est", "à 45°"] * 50 + [TEXTS["fr"]] * 50)
+    for t in ("Θ ≈ 45°", "Ω → µ"):
+        line = M.garble(t, "utf-8", "latin-1")
+        labels = M._labels(model, [line])[0]
+        labels[0] = 0  # as where the first of a character's bytes is a letter that often begins a line
+        (a, b, new, failed), = M._spans(model, line, labels)
+        assert (line[:a] + new + line[b:], failed) == (t, 0)
