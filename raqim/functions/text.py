@@ -40,12 +40,16 @@ def strip_tags(c: Column, most: int = 0) -> Column:
     return trim(F.substring(text, 1, most)) if most else text
 
 
+def searchable_parts(c: Column, signs: str) -> Column:
+    """``searchable`` before white space is collapsed, with some ``signs`` left, so that all parts of a list get it at once; null stays."""
+    text = F.regexp_replace(F.lower(c), DIACRITICS, "")
+    text = F.translate(text, "أإآٱةۀىئؤ", "ااااههييو")
+    return F.regexp_replace(text, rf"[^\x{{0600}}-\x{{06FF}}a-z0-9\t\n\x0B\f\r \x{{A0}}\x{{2000}}-\x{{200A}}\x{{202F}}\x{{3000}}{signs}]", " ")
+
+
 def searchable(c: Column) -> Column:
     """The form in which keywords are compared: lower case, no vowel marks, letter variants unified, other signs as spaces."""
-    text = F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), DIACRITICS, "")
-    text = F.translate(text, "أإآٱةۀىئؤ", "ااااههييو")
-    text = F.regexp_replace(text, rf"[^\x{{0600}}-\x{{06FF}}a-z0-9\t\n\x0B\f\r \x{{A0}}\x{{2000}}-\x{{200A}}\x{{202F}}\x{{3000}}]", " ")
-    return collapse(text)
+    return collapse(searchable_parts(F.coalesce(c, F.lit("")), ""))
 
 
 def _let(value: Column, f) -> Column:

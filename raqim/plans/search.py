@@ -51,9 +51,9 @@ def _keywords(spark: SparkSession, d: str) -> DataFrame:
     """(site category, keyword, n) over the keywords of all results."""
     host = urls.bare_host(F.col("url"))
     sites = table(spark, d, "crawler_sites").select(host.alias("host"), "category").dropDuplicates(["host"])
-    results = _results(spark, d).select(host.alias("host"), "keywords").select("host", F.explode(F.split("keywords", r"[,،;؛]")).alias("k"))
-    keys = results.select("host", text.searchable(F.col("k")).alias("keyword")).filter(F.length("keyword") >= 2)
-    return keys.join(sites, "host").groupBy("category", "keyword").agg(F.count("*").alias("n"))
+    results = _results(spark, d).filter("keywords <> ''").select(host.alias("host"), "keywords").join(sites, "host")
+    each = results.select("category", F.explode(F.split("keywords", r"[,،;؛]")).alias("k")).groupBy("category", "k").agg(F.count("*").alias("n"))  # so that each is brought to its searchable form once
+    return each.select("category", text.searchable(F.col("k")).alias("keyword"), "n").filter(F.length("keyword") >= 2).groupBy("category", "keyword").agg(F.sum("n").alias("n"))
 
 
 #: A category of the corpus has a keyword at its top level if the length is a multiple of this, else in a subcategory of that length.

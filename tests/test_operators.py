@@ -28,6 +28,32 @@ def test_classification(spark, tmp_path):
     assert {tuple(r) for r in classify.read_taxonomy(spark, str(tmp_path / "t.json")).collect()} == {("a", None, "س ص"), ("a", None, "x"), ("a", "b", "y")}
 
 
+def test_classification_by_document(spark, monkeypatch):
+    """A taxonomy of more than 50,000 forms is held, no word is shuffled, and the rows are those of the join."""
+    words = [("health", None, "طب"), ("health", None, "Clinic"), ("health", None, "clinic"), ("health", "hospitals", "city hospital"), ("health", "hospitals", "city hospital"), ("sports", None, "football"), ("sports", "teams", "city"), ("news", None, "city hospital clinic"), ("news", "s1", "كرة القدم"), ("sports", "s1", "كرة القدم")]
+    words += [("health", f"h{i}", w) for i, w in enumerate(["one", "two", "three", "four", "five", "six"])] + [(c, None, f"x{i}") for i in range(20) for c in ("many", "more")]
+    filler = spark.range(60_000).selectExpr("'filler' as category", "cast(null as string) as subcategory", "concat('filler', id) as keyword")
+    tax = spark.createDataFrame(words, "category string, subcategory string, keyword string").union(filler)
+    rows = [
+        (1, "City", "hospital clinic", "city\u00a0hospital\n\tclinic", "City Hospital; CLINIC|city hospital,,؟hospital"), (2, "كرة", "القدم؟ كرة القدم", "وكرة، القدم بالكرة", "كرة القدم،طب;القدم|كرة؟القدم"),
+        (2, "clinic clinic", None, "والطب football", None), (3, None, None, None, "abc"), (4, "؟", "one two three four five six", "filler59999 city, hospital", " one ,six؛; seven|"), (5, " ".join(f"x{i}" for i in range(20)), "", " ".join(f"own{i}" for i in range(9)), ",".join(f"own{i % 10}" for i in range(300))),
+        (None, "clinic", "clinic", "clinic", "Clinic"), (6, "٣٤ city_hospital", "K\u212aİ", "x1 x1 x1", ""),
+    ]
+    docs = spark.createDataFrame(rows, "id long, title string, description string, body string, page_keywords string").withColumn("source_url", F.when(F.col("id").isin(1, 3), "https://clinic-one.org"))
+    sources = [("clinic one", "sports", "clinics", "Clinic source", 20), ("clinic", "sports", "later", "later", 50), ("one", "alone", "first", "one", 3)]
+    docs = docs.filter("id <> 2 or page_keywords is not null").unionByName(docs.filter("id = 2 and page_keywords is null").withColumn("page_keywords", F.lit("كرة القدم،طب;القدم|كرة؟القدم")).withColumns({c: F.lit("كرة") for c in ("title",)}))
+    for rules in ((), sources):
+        got = classify.classify(docs, tax, sources=rules)
+        assert "Generate" not in (plan := got._jdf.queryExecution().toString()) and "Join" not in plan
+        with monkeypatch.context() as m:
+            m.setattr(classify, "HELD", 10)
+            want = classify.classify(docs, tax, sources=rules)
+        assert got.schema.simpleString() == want.select(*got.columns).schema.simpleString()
+        order = lambda r: (r.id is None, r.id)
+        assert sorted(got.collect(), key=order) == sorted(want.select(*got.columns).collect(), key=order)
+    assert len(got.filter("id = 5").first().keywords) == 16 and got.count() == 7
+
+
 def test_queue(spark):
     rows = [(1, "u1", "processing", 1), (2, "u2", "needs_review", 1), (3, "u3", "queued", 0), (4, "u4", "corrupt", 3)]
     q = spark.createDataFrame(rows, "id long, url string, crawl_status string, crawl_attempts int")
